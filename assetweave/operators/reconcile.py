@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetweave.functions import text as X
 
@@ -153,7 +153,7 @@ def relation_report(
     per_id = summary.join(cells, "asset_id", "left").join(programs, "asset_id", "left")
     found = F.col("hits") > 0
 
-    def cell(name: str, when_found: bool) -> F.Column:
+    def cell(name: str, when_found: bool) -> Column:
         return F.when(found if when_found else ~found, F.coalesce(F.col(name), F.lit(""))).otherwise(F.lit(""))
 
     return rows.join(per_id, "asset_id").select(
@@ -186,10 +186,10 @@ def relation_summary(rows: DataFrame, summary: DataFrame, pairs: DataFrame) -> D
         return pairs.groupBy(key).count().agg(F.count_if(F.col("count") > 1).alias(name))
 
     parts = [rows_part, ids_part, several("asset_id", "assets_with_programs"), several("program_id", "programs_with_assets")]
-    joined = parts[0].withColumn("_k", F.lit(1))
+    stacked = parts[0]
     for part in parts[1:]:
-        joined = joined.join(part.withColumn("_k", F.lit(1)), "_k")
-    return joined.drop("_k")
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def relation_examples(summary: DataFrame, limit: int = 20) -> DataFrame:
