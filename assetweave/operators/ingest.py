@@ -127,7 +127,7 @@ def vector_documents(typed: DataFrame, wanted: str | None = "1") -> DataFrame:
     # A field left out of the item may stand elsewhere; without another mention there is nothing to search.
     elsewhere = [
         F.col("_asset").isNull() & (J.mentions(payload, *search.aliases("assetId")) > 0),
-        *[filled(item[f]).isNull() & (J.mentions(payload, f) > item[f].isNotNull().cast("int"))
+        *[item.isNotNull() & filled(item[f]).isNull() & (J.mentions(payload, f) > item[f].isNotNull().cast("int"))
           for f in ("modelName", "summary")],
     ]
     rows = rows.withColumn("_search", F.when(elsewhere[0] | elsewhere[1] | elsewhere[2], payload))
@@ -157,7 +157,7 @@ def vector_documents(typed: DataFrame, wanted: str | None = "1") -> DataFrame:
     record = [c for c in RECORD if c in typed.columns]
     return rows.select(
         *record, reason.alias("reject_reason"), asset.alias("row_key"),
-        *[X.present(col).alias(name) for name, col in values.items()],
+        *[F.when(reason.isNull(), X.present(col)).alias(name) for name, col in values.items()],
     )
 
 

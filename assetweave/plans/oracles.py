@@ -77,6 +77,9 @@ def base64_bytes(text: str) -> str:
         THEN octet_length(TRY(from_base64({text}))) END"""
 
 
+FIELDS = ("id", "assetId", "version", "time", "modelName", "source", "summary", "type", "vector", "vectorDimension", "vectorVersion")
+ALL_FIELDS = ("id", "operation", *FIELDS[1:], "modelVersion")
+
 DIMENSION = "CASE WHEN TRY_CAST(trim({0}) AS BIGINT) > 0 THEN TRY_CAST(trim({0}) AS BIGINT) ELSE 1024 END"
 
 ITEM: Ctes = VECTOR + [
@@ -88,7 +91,7 @@ ITEM: Ctes = VECTOR + [
 DOCUMENT: Ctes = ITEM + [
     ("doc0", """SELECT *, coalesce(CASE WHEN d ->> '$.assetId' <> '' THEN d ->> '$.assetId' END, found_asset) AS row_key,
               trim(item ->> '$.vector') AS vec_text FROM item WHERE msg_type = '140'"""),
-    ("document", f"""SELECT "partition", "offset", arrival, row_key,
+    ("doc1", f"""SELECT "partition", "offset", arrival, row_key,
               CASE WHEN trim(coalesce(row_key, '')) = '' THEN 'missing_asset_id' WHEN item IS NULL THEN 'missing_vector_item'
                    WHEN NOT coalesce(vec_text <> '' AND {base64_bytes('vec_text')} = 4 * ({DIMENSION.format("(item ->> '$.vectorDimension')")}), false)
                    THEN 'invalid_vector' END AS reject_reason,
@@ -99,6 +102,8 @@ DOCUMENT: Ctes = ITEM + [
               {present("(item ->> '$.vector')")} AS vector, {present("(item ->> '$.vectorDimension')")} AS "vectorDimension",
               {present("(item ->> '$.version')")} AS "vectorVersion", {present("(item ->> '$.version')")} AS "modelVersion"
               FROM doc0"""),
+    ("document", 'SELECT "partition", "offset", arrival, row_key, reject_reason, ' + ", ".join(
+        f'CASE WHEN reject_reason IS NULL THEN "{c}" END AS "{c}"' for c in ALL_FIELDS) + " FROM doc1"),
     ("valid", "SELECT * FROM document WHERE reject_reason IS NULL"),
 ]
 
@@ -124,7 +129,6 @@ STEPPED: Ctes = DOCUMENT + [
                     FROM step s JOIN narrow n ON n.row_key = s.row_key AND n.rn = s.rn + 1)"""),
 ]
 
-FIELDS = ("id", "assetId", "version", "time", "modelName", "source", "summary", "type", "vector", "vectorDimension", "vectorVersion")
 
 
 def _q(names: tuple[str, ...] | list[str]) -> str:

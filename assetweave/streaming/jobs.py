@@ -9,22 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assetweave.session import new_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State variables with a lifetime need the RocksDB provider. A processing-time operator asks for one more empty batch
+# after every batch, so a run over the available input would never end with empty batches on.
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """State variables with a lifetime need the RocksDB provider; the session's own choice is put back."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for a bounded streaming run; the session's own ones are put back."""
+    before = {name: spark.conf.get(name, None) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def run_available(stream: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -34,7 +41,7 @@ def run_available(stream: DataFrame, name: str, path: str | None = None, checkpo
     """
     spark = stream.sparkSession
     path, checkpoint = path or new_path(spark, name), checkpoint or new_path(spark, f"{name}-checkpoint")
-    with rocksdb_state(spark):
+    with stream_settings(spark):
         query = (
             stream.writeStream.format("parquet").outputMode("append").option("path", path)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
