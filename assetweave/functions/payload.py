@@ -8,7 +8,7 @@ from assetweave.functions import search
 from assetweave.functions.text import strip
 
 JSON_BLANKS = " \t\n\r"
-JSON_OPTIONS = {"allowSingleQuotes": "false"}
+JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "bad"}
 
 # A string that opens with a bracket after optional (possibly escaped) white space.
 EMBEDDED_JSON = r'"(?:\s|\\[nrtbf/]|\\u[0-9a-fA-F]{4})*(?:[\[{]|\\u00[57][bB])'
@@ -28,17 +28,25 @@ def seal(text: Column) -> Column:
 
 
 def parse_strict(text: Column, shape: str) -> Column:
-    """Struct (w, z): `w` is the text parsed with the DDL type `shape`, valid iff `z` equals `seal(text)`.
+    """Struct (w, z, bad): `w` is the text parsed with the DDL type `shape`; see `accepted` for its validity.
 
     `from_json` stops after the first value and ignores what follows. Set as a member of an outer object and
     followed by a hash of itself, the text cannot close the object early and still be followed by that hash.
+    `bad` is set where the text is broken, and where a member has another type than the shape says.
     """
     wrapped = F.concat(F.lit('{"w":'), text, F.lit(',"z":"'), seal(text), F.lit('"}'))
-    return F.from_json(wrapped, f"w {shape}, z string", JSON_OPTIONS)
+    return F.from_json(wrapped, f"w {shape}, z string, bad string", JSON_OPTIONS)
 
 
 def is_json(text: Column) -> Column:
-    return F.coalesce(parse_strict(text, "string")["z"] == seal(text), F.lit(False))
+    parsed = F.array(parse_strict(text, "string"))
+    return F.coalesce(F.exists(parsed, lambda p: p["bad"].isNull() & (p["z"] == seal(text))), F.lit(False))
+
+
+def accepted(parsed: Column, text: Column) -> Column:
+    """Whether the parsed text is strict JSON. A member of another type is no fault, so only such rows are parsed
+    once more without a shape."""
+    return F.coalesce(F.when(parsed["bad"].isNull(), parsed["z"] == seal(text)).otherwise(is_json(text)), F.lit(False))
 
 
 def opening(text: Column) -> Column:

@@ -31,11 +31,12 @@ def decode_messages(topic: DataFrame, body: str = VECTOR_BODY) -> DataFrame:
     quoted = J.opening(F.col("text")) == '"'
     outer = F.when(quoted, J.parse_strict(F.col("text"), "string"))
     decoded = topic.withColumn("text", text).withColumn("_outer", outer)
-    inner = F.when(F.col("_outer")["z"] == J.seal(F.col("text")), F.col("_outer")["w"])
+    inner = F.when(J.accepted(F.col("_outer"), F.col("text")), F.col("_outer")["w"])
     decoded = decoded.withColumn("_json", F.when(quoted, inner).otherwise(F.col("text")))
     parsed = F.when(J.opening(F.col("_json")) == "{", J.parse_strict(F.col("_json"), body))
     decoded = J.once(decoded, "_parsed", parsed)
-    valid = F.coalesce(F.col("_parsed")["z"] == J.seal(F.col("_json")), F.lit(False))
+    decoded = decoded.withColumn("_valid", F.col("_parsed").isNotNull() & J.accepted(F.col("_parsed"), F.col("_json")))
+    valid = F.col("_valid")
     error = (
         F.when(F.col("value").isNull(), "missing")
         .when(F.col("text").isNull(), "not_utf8")

@@ -33,7 +33,7 @@ _ONDEMAND = ("struct<type:string,id:string,operation:string,version:string,time:
 def _strict(topic: DataFrame, shape: str) -> DataFrame:
     text = F.try_validate_utf8(F.col("value").cast("string"))
     rows = J.once(topic.withColumn("_text", text), "_p", J.parse_strict(F.col("_text"), shape))
-    return rows.where(F.col("_p")["z"] == J.seal(F.col("_text"))).withColumn("m", F.col("_p")["w"]).drop("_text", "_p", "value")
+    return rows.where(J.accepted(F.col("_p"), F.col("_text"))).withColumn("m", F.col("_p")["w"]).drop("_text", "_p", "value")
 
 
 def status_envelope(topic: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def status_envelope(topic: DataFrame, channels: Sequence[str] | None = None) ->
     if channels is not None:
         rows = rows.where(F.col("m.channel").isin(*channels))
     rows = J.once(rows, "_d", J.parse_strict(F.col("m.data"), _BODY))
-    rows = rows.where(F.col("_d")["z"] == J.seal(F.col("m.data"))).withColumn("b", F.col("_d")["w"]["body"])
+    rows = rows.where(J.accepted(F.col("_d"), F.col("m.data"))).withColumn("b", F.col("_d")["w"]["body"])
     kind = F.when(F.col("m.activityType").isin(*WIDGET_TYPES), "widget").when(F.col("m.activityType") == ROOM_TYPE, "room")
     state = F.col("m.mgdbStatus")
     numeric = F.try_variant_get(state, "$", "double")
