@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from assetweave.functions.text import is_present, parse_version, strip
+from assetweave.functions.text import let, parse_version, strip
 
 DEFAULT_DIMENSION = 1024
 BYTES_PER_VALUE = 4
@@ -29,28 +29,27 @@ def positive_dimension(col: Column, default: int = DEFAULT_DIMENSION) -> Column:
 
 def is_valid(vector: Column, dimension: Column, default: int = DEFAULT_DIMENSION) -> Column:
     """Not blank, strict base64, and four bytes for each declared value."""
-    length = decoded_length(strip(vector))
-    return is_present(vector) & F.coalesce(
-        length == positive_dimension(dimension, default) * BYTES_PER_VALUE, F.lit(False)
-    )
+    size = let(strip(vector), lambda text: F.when(text != "", decoded_length(text)))
+    return F.coalesce(size == positive_dimension(dimension, default) * BYTES_PER_VALUE, F.lit(False))
 
 
 def status(vector: Column, is_string: Column, dimension: Column) -> Column:
     """Struct (status, bytes, dimension) of one vector value against an expected dimension."""
-    text = strip(vector)
-    length = decoded_length(text)
-    null = F.lit(None).cast("bigint")
+    null, zero = F.lit(None).cast("bigint"), F.lit(0).cast("bigint")
+
+    def outcome(name: Column, size: Column, dim: Column) -> Column:
+        return F.struct(name.alias("status"), size.alias("bytes"), dim.alias("dimension"))
+
+    def measured(length: Column) -> Column:
+        whole = F.when(length % BYTES_PER_VALUE == 0, (length / BYTES_PER_VALUE).cast("bigint"))
+        label = F.when(length == dimension * BYTES_PER_VALUE, "valid").otherwise("length_invalid")
+        return F.when(length.isNull(), outcome(F.lit("base64_invalid"), null, null)).otherwise(outcome(label, length, whole))
 
-    def outcome(name: str | Column, size: Column, dim: Column) -> Column:
-        label = F.lit(name) if isinstance(name, str) else name
-        return F.struct(label.alias("status"), size.alias("bytes"), dim.alias("dimension"))
+    def checked(text: Column) -> Column:
+        return F.when(text == "", outcome(F.lit("blank"), zero, zero)).otherwise(let(decoded_length(text), measured))
 
-    whole = F.when(length % BYTES_PER_VALUE == 0, (length / BYTES_PER_VALUE).cast("bigint"))
-    label = F.when(length == dimension * BYTES_PER_VALUE, "valid").otherwise("length_invalid")
     return (
-        F.when(vector.isNull(), outcome("missing", null, null))
-        .when(~is_string, outcome("not_string", null, null))
-        .when(text == "", outcome("blank", F.lit(0).cast("bigint"), F.lit(0).cast("bigint")))
-        .when(length.isNull(), outcome("base64_invalid", null, null))
-        .otherwise(outcome(label, length, whole))
+        F.when(vector.isNull(), outcome(F.lit("missing"), null, null))
+        .when(~is_string, outcome(F.lit("not_string"), null, null))
+        .otherwise(let(strip(vector), checked))
     )

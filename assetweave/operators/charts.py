@@ -40,25 +40,32 @@ _CHART_DATA = "chartId string, contentClasses string, " + ", ".join(f"{m} string
 _ITEM = "contentId string, chartId string, " + ", ".join(f"{m} string" for m in CONTENT_COLUMNS.values())
 
 
-def class_rollup(listing: Column) -> dict[str, Column]:
-    """Columns of a content-class list: the list itself, and each member's sorted distinct values.
+def class_rollup(df: DataFrame, listing: Column) -> DataFrame:
+    """Add the columns of a content-class list: the list itself, and each member's sorted distinct values.
 
     Text that is not JSON is kept as it is; JSON other than a filled list gives nothing.
     """
-    text = X.present(listing)
-    compact = F.when((J.opening(text) == "[") & J.is_json(text), J.parse_strict(text, "string")["w"])
-    entries = F.from_json(compact, "array<string>")
-    filled = F.when(F.size(entries) > 0, compact)
-    objects = F.filter(entries, lambda e: J.opening(e) == "{")
     shape = ", ".join(f"{m} string" for m in CLASS_COLUMNS.values())
-    members = F.transform(objects, lambda e: F.from_json(e, shape))
+
+    def read(text: Column) -> Column:
+        return X.let(F.struct(J.is_json(text).alias("json"), J.parse_strict(text, "string")["w"].alias("compact")), lambda p: F.struct(
+            F.when(~p["json"], text).when(J.opening(text) == "[", p["compact"]).alias("kept"),
+            F.when(p["json"] & (J.opening(text) == "["), F.from_json(p["compact"], "array<string>")).alias("entries"),
+        ))
+
+    rows = J.once(df, "_classes", F.when(X.is_present(listing), X.let(listing, read)))
+    objects = F.filter(F.col("_classes.entries"), lambda e: J.opening(e) == "{")
+    rows = J.once(rows, "_members", F.transform(objects, lambda e: F.from_json(e, shape)))
+    empty = F.coalesce(F.size("_classes.entries") == 0, F.lit(False))
 
     def joined(member: str) -> Column:
-        values = F.filter(F.transform(members, lambda m: m[member]), X.is_present)
+        values = F.filter(F.transform("_members", lambda m: m[member]), X.is_present)
         return F.nullif(F.array_join(F.array_sort(F.array_distinct(values)), ","), F.lit(""))
 
-    kept = F.when(~J.is_json(text), text).otherwise(filled)
-    return {"content_classes": kept, **{c: joined(m) for c, m in CLASS_COLUMNS.items()}}
+    return rows.withColumns({
+        "content_classes": F.when(~empty, F.col("_classes.kept")),
+        **{c: joined(m) for c, m in CLASS_COLUMNS.items()},
+    }).drop("_classes", "_members")
 
 
 def _head(decoded: DataFrame, kind: str, base: str, test_tables: bool) -> DataFrame:
@@ -92,8 +99,8 @@ def chart_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
 
 def chart_upsert(messages: DataFrame, operate_time: str) -> DataFrame:
     """Chart table after all messages: a release sets its present columns, a withdrawal only marks the row."""
-    rows = messages.where(F.col("reject_reason").isNull())
     release = F.col("class") == "release"
+    rows = class_rollup(messages.where(F.col("reject_reason").isNull()), F.when(release, F.col("chart.contentClasses")))
     columns = {
         "id": F.when(release, F.col("id")),
         "type": F.when(release, "chart"),
@@ -103,7 +110,7 @@ def chart_upsert(messages: DataFrame, operate_time: str) -> DataFrame:
         "message_time": F.when(release, F.col("message_time")),
         "time": F.when(release, F.col("time")),
         **{c: F.when(release, X.present(F.col(f"chart.{m}"))) for c, m in CHART_COLUMNS.items()},
-        **{c: F.when(release, e) for c, e in class_rollup(F.col("chart.contentClasses")).items()},
+        **{c: F.col(c) for c in ("content_classes", *CLASS_COLUMNS)},
     }
     flat = rows.select("target", F.col("id").alias("row_key"), "arrival", *[e.alias(c) for c, e in columns.items()])
     return last_present(flat, ["target", "row_key"], list(columns), F.col("arrival"))

@@ -34,7 +34,7 @@ def _typed(value: Column) -> tuple[Column, Column]:
     """Text of a variant and whether it was a JSON string that does not itself hold an object or array."""
     text = F.try_variant_get(value, "$", "string")
     string = F.schema_of_variant(value) == "STRING"
-    opened = J.opening(X.strip(text)).isin("{", "[") & J.is_json(X.strip(text))
+    opened = J.opening(text).isin("{", "[") & J.is_json(X.strip(text))
     return text, F.coalesce(string & ~opened, F.lit(False))
 
 

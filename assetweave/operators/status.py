@@ -62,9 +62,13 @@ def status_envelope(topic: DataFrame, channels: Sequence[str] | None = None) ->
 
 
 def _side_state(rows: DataFrame, ids: str, table: DataFrame, name: str) -> DataFrame:
-    """Left join of a status side table; a missing row has no effect, a missing state means `1`."""
+    """Left join of a status side table; a missing row has no effect, a missing state means `1`.
+
+    Messages without an id get one of many keys that match nothing, so that they do not all land in one task.
+    """
     side = table.select(F.col("id").alias("_id"), F.coalesce("state", F.lit("1")).alias(name))
-    key = F.when(F.col(ids) != "", F.col(ids))
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.hash("doc_id", "version", "offset"), F.lit(4096)))
+    key = F.when(F.col(ids) != "", F.col(ids)).otherwise(spread)
     return rows.join(side, key == F.col("_id"), "left").drop("_id")
 
 

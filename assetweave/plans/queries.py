@@ -417,8 +417,8 @@ def chart_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def class_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    cells = charts.class_rollup(F.col("chart.contentClasses"))
-    return _charts(spark, sf).select("partition", "offset", *[e.alias(c) for c, e in cells.items()])
+    rows = charts.class_rollup(_charts(spark, sf), F.col("chart.contentClasses"))
+    return rows.select("partition", "offset", "content_classes", *charts.CLASS_COLUMNS)
 
 
 @query

@@ -35,11 +35,6 @@ class Dialect:
             return f"date_format({expr}, 'yyyy-MM-dd{gap}HH:mm:ss')"
         return f"strftime({expr}, '%Y-%m-%d{sep}%H:%M:%S')"
 
-    def millis(self, expr: str) -> str:
-        if self.name == "spark":
-            return f"unix_millis(cast({expr} as timestamp))"
-        return f"epoch_ms({expr})"
-
 
 SPARK, DUCK = Dialect("spark"), Dialect("duckdb")
 
