@@ -116,18 +116,30 @@ def _large_cells(values: DataFrame, cell_values: int) -> DataFrame:
 
 
 def joined_values(hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
-    """For each id and field the sorted distinct values joined by `|`, as columns.
+    """For each id and field the sorted distinct values joined by `|`, as columns, and `large_fields`.
 
-    A cell is built in one task, so cells beyond `cell_values` values are left null here and given in full,
-    row by row, by `large_cell_values`. There are at most values / cell_values of them, which bounds the broadcast.
+    A cell is built in one task, so cells beyond `cell_values` values are left null here, named in `large_fields`,
+    and given in full, row by row, by `large_cell_values`. There are at most values / cell_values of them, which
+    bounds the broadcast.
     """
     values = field_values(hits, fields)
-    large = F.broadcast(_large_cells(values, cell_values))
-    small = values.join(large, ["asset_id", "field"], "left_anti")
-    return small.groupBy("asset_id").agg(*[
-        F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("field") == f, F.col("value")))), "|"), F.lit("")).alias(f)
-        for f in fields
-    ])
+    large = _large_cells(values, cell_values)
+    small = values.join(F.broadcast(large), ["asset_id", "field"], "left_anti").withColumn("_large", F.lit(False))
+    cells = small.unionByName(large.withColumn("_large", F.lit(True)), allowMissingColumns=True)
+    return cells.groupBy("asset_id").agg(
+        *[F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("field") == f, F.col("value")))), "|"), F.lit("")).alias(f)
+          for f in fields],
+        F.array_sort(F.collect_list(F.when(F.col("_large"), F.col("field")))).alias("large_fields"),
+    )
+
+
+def _cell(field: str) -> Column:
+    """Cell of a report: empty without values, null where the values are given row by row."""
+    return F.when(~F.coalesce(F.array_contains("large_fields", field), F.lit(False)), F.coalesce(F.col(field), F.lit("")))
+
+
+def _has_values(fields: Sequence[str]) -> Column:
+    return F.coalesce(*fields).isNotNull() | F.coalesce(F.size("large_fields") > 0, F.lit(False))
 
 
 def large_cell_values(hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
@@ -154,7 +166,7 @@ def relation_report(
     found = F.col("hits") > 0
 
     def cell(name: str, when_found: bool) -> Column:
-        return F.when(found if when_found else ~found, F.coalesce(F.col(name), F.lit(""))).otherwise(F.lit(""))
+        return F.when(found if when_found else ~found, _cell(name)).otherwise(F.lit(""))
 
     return rows.join(per_id, "asset_id").select(
         "row_key",
@@ -198,7 +210,10 @@ def relation_examples(summary: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def enrich_fields(rows: DataFrame, hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
-    """(row_key, fields): the cells to merge into the table; rows without any value are left out."""
+    """(row_key, fields): the cells to merge into the table; rows without any value are left out.
+
+    Large cells are not among them; see `large_cell_values`.
+    """
     cells = joined_values(hits, fields, cell_values).where(F.coalesce(*fields).isNotNull())
     return rows.join(cells, "asset_id").select("row_key", *fields)
 
@@ -209,10 +224,10 @@ def merge_report(
     cells = joined_values(hits, fields, cell_values)
     counts = hits.groupBy("asset_id").agg(F.count(F.lit(1)).alias("_hits"))
     per_id = counts.join(cells, "asset_id", "left")
-    status = F.when(F.coalesce(*fields).isNotNull(), "dry_run" if dry_run else "written").otherwise("not_found")
+    status = F.when(_has_values(fields), "dry_run" if dry_run else "written").otherwise("not_found")
     return rows.join(per_id, "asset_id", "left").select(
         "row_key", "asset_id", F.coalesce("_hits", F.lit(0)).alias("hit_count"), status.alias("write_status"),
-        *[F.coalesce(f, F.lit("")).alias(f) for f in fields],
+        *[_cell(f).alias(f) for f in fields],
     )
 
 

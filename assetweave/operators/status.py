@@ -23,9 +23,9 @@ MARKER_LIFETIME_S = 12 * 60 * 60
 
 _ENVELOPE = ("struct<activityType:int,channel:string,mgdbId:string,mgdbStatus:variant,version:string,time:string,"
              "data:string>")
-_BODY = ("struct<body:struct<activityType:int,mgdbId:string,projectId:string,seasonId:string,testMgdb:string,title:string,"
+_BODY = ("struct<body:struct<activityType:int,mgdbId:string,projectId:string,seasonId:string,testMgdb:variant,title:string,"
          "test:string,roomLabel:struct<firstClassName:string>,shareMaterial:struct<roomTitle:string>,"
-         "roomStatus:string,broadcastStatus:string>>")
+         "roomStatus:variant,broadcastStatus:variant>>")
 _ONDEMAND = ("struct<type:string,id:string,operation:string,version:string,time:string,"
              "data:struct<productInfoPackageId:string,content:struct<PRODUCT_INFO_PACKAGE_ID:string>>>")
 
@@ -84,16 +84,21 @@ def widget_room_status(rows: DataFrame, competitions: DataFrame, seasons: DataFr
     def differs(col: Column, value: str) -> Column:
         return F.coalesce(col != value, F.lit(False))
 
+    def equals(col: Column, value: str) -> Column:
+        """The member is this very text; the number of the same digits, or null, is not."""
+        text = F.try_variant_get(col, "$", "string")
+        return F.coalesce((F.schema_of_variant(col) == "STRING") & (text == value), F.lit(False))
+
     widget_off = (
         differs(F.col("_competition"), "1") | differs(F.col("_season"), "1")
-        | F.coalesce(b["testMgdb"] == "1", F.lit(False)) | has(b["title"]) | F.col("number_zero")
+        | equals(b["testMgdb"], "1") | has(b["title"]) | F.col("number_zero")
     )
-    room_broken = b["roomStatus"].isNull() | ((b["roomStatus"] == "3") & b["broadcastStatus"].isNull())
+    room_broken = b["roomStatus"].isNull() | (equals(b["roomStatus"], "3") & b["broadcastStatus"].isNull())
     room_off = (
         F.coalesce(b["test"] != "", F.lit(False))
         | F.coalesce(b["roomLabel"]["firstClassName"] == TEST_MARKER, F.lit(False))
         | has(b["shareMaterial"]["roomTitle"])
-        | differs(b["roomStatus"], "3") | differs(b["broadcastStatus"], "1")
+        | ~equals(b["roomStatus"], "3") | ~equals(b["broadcastStatus"], "1")
     )
     status = (
         F.when(b["activityType"].isNull(), None)

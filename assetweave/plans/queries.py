@@ -476,7 +476,8 @@ def _accepted(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def status_envelope(spark: SparkSession, sf: str) -> DataFrame:
     rows = status.status_envelope(load(spark, sf, "status_topic"), CHANNELS)
-    return rows.select("partition", "offset", "kind", "doc_id", "version", "number_zero", "b.title", "b.roomStatus")
+    return rows.select("partition", "offset", "kind", "doc_id", "version", "number_zero", "b.title",
+                       F.try_variant_get("b.roomStatus", "$", "string").alias("roomStatus"))
 
 
 @query

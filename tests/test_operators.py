@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetweave.operators import charts, ingest, profile, reconcile, status, upsert
 from assetweave.sinks import files
+from assetweave.sources import tables
 from assetweave.streaming import gates, jobs
 
 DOC = "row_key string, partition int, offset long, version string, time string, source string"
@@ -134,6 +135,10 @@ def test_large_cells_are_given_row_by_row(spark):
                                  "asset_id string, program_id string, name string")
     small = {r["asset_id"]: (r["program_id"], r["name"]) for r in reconcile.joined_values(hits, ["program_id", "name"], 10).collect()}
     assert small == {"hot": (None, "n"), "x": ("p1|p2", None)}
+    rows = spark.createDataFrame([("r1", "hot"), ("r2", "x"), ("r3", "none")], "row_key string, asset_id string")
+    report = {r["row_key"]: (r["hit_count"], r["write_status"], r["program_id"]) for r in reconcile.merge_report(
+        rows, hits, ["program_id"], cell_values=10).collect()}
+    assert report == {"r1": (50, "written", None), "r2": (2, "written", "p1|p2"), "r3": (0, "not_found", "")}
     large = reconcile.large_cell_values(hits, ["program_id", "name"], 10).collect()
     assert sorted(r["value"] for r in large) == [f"p{n:03d}" for n in range(50)]
 
@@ -166,3 +171,56 @@ def test_scored_set(spark):
     assert scored == {"a": 7, "b": 5}
     kept = status.expire_scored(status.decode_scored(lists), 10, lifetime_ms=4)
     assert [r["member"] for r in kept.collect()] == ["a"]
+
+
+def test_map_tables(spark):
+    cells = {"cf:a": bytearray(b"1"), "cf:b": bytearray(b"\xff"), "x:c": bytearray(b"3")}
+    table = spark.createDataFrame([("r1", cells), ("r2", {"cf:a": bytearray(b"2")}), ("r3", {})], "row_key string, cells map<string,binary>")
+    assert {r["column"]: r["present"] for r in profile.map_profile(table).collect()} == {"a": 2, "b": 1, "x:c": 1}
+    assert {r["name"] for r in tables.qualifiers(table).collect()} == {"a", "b", "c"}
+    flat = tables.cells_to_columns(table, ["a", "b"])
+    assert sorted(tuple(r) for r in flat.collect()) == [("r1", "1", "\ufffd"), ("r2", "2", None), ("r3", None, None)]
+    got = {r["column"]: (r["row_count"], r["empty_rows"], r["present"]) for r in profile.table_profile(flat).collect()}
+    assert got == {"a": (3, 1, 2), "b": (3, 1, 1)}
+    assert profile.table_samples(flat, 1).first()["a"] == "1"
+
+
+def test_file_sinks(spark, tmp_path):
+    report = spark.createDataFrame([("a", 'x "q", y', ""), ("b", "line\nbreak", "z")], "k string, v string, w string")
+    files.write_csv(report, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "csv"))
+    assert sorted((r["k"], r["v"]) for r in back.collect()) == [("a", 'x "q", y'), ("b", "line\nbreak")]
+    files.write_json(report, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
+    files.write_samples(report, str(tmp_path / "samples"))
+    assert json.loads(spark.read.text(str(tmp_path / "samples")).orderBy("value").first()["value"])["k"] == "a"
+    files.write_change_log(report.withColumnRenamed("k", "kind"), str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).where("kind = 'a'").count() == 1
+
+
+def test_room_and_widget_rules(spark):
+    def message(n, act, body, **envelope):
+        return (0, n, json.dumps({"activityType": act, "channel": "m", "mgdbId": "e", "mgdbStatus": 1, "version": "5",
+                                  "data": json.dumps({"body": body}), **envelope}))
+
+    widget = {"activityType": 0, "mgdbId": "w"}
+    room = {"activityType": 4, "mgdbId": "roomr", "roomStatus": "3", "broadcastStatus": "1"}
+    cases = [
+        (0, widget, {}, 1), (0, widget, {"mgdbStatus": 0}, 0), (0, widget, {"mgdbStatus": "0"}, 1), (1, widget, {"mgdbStatus": None}, 1),
+        (0, {**widget, "projectId": "p0"}, {}, 0), (0, {**widget, "projectId": "p1"}, {}, 1), (0, {**widget, "projectId": "none"}, {}, 1),
+        (0, {**widget, "seasonId": "s0"}, {}, 0), (0, {**widget, "testMgdb": "1"}, {}, 0), (0, {**widget, "title": "x测试"}, {}, 0),
+        (0, {"mgdbId": "w"}, {}, None), (0, {**widget, "activityType": 9}, {}, 1),
+        (4, room, {}, 1), (4, {**room, "roomStatus": "2"}, {}, 0), (4, {**room, "broadcastStatus": "0"}, {}, 0), (4, {**room, "test": "y"}, {}, 0),
+        (4, {**room, "roomLabel": {"firstClassName": "测试"}}, {}, 0), (4, {**room, "shareMaterial": {"roomTitle": "a测试"}}, {}, 0),
+        (4, {k: v for k, v in room.items() if k != "roomStatus"}, {}, None), (4, {**room, "roomStatus": "3", "broadcastStatus": None}, {}, 0), (4, {**room, "roomStatus": 3}, {}, 0), (0, {**widget, "testMgdb": 1}, {}, 1),
+        (4, {k: v for k, v in room.items() if k != "broadcastStatus"}, {}, None),
+    ]
+    topic = spark.createDataFrame([message(n, act, body, **env) for n, (act, body, env, _) in enumerate(cases)],
+                                  "partition int, offset long, value string")
+    competitions = spark.createDataFrame([("p0", "0"), ("p1", None)], "id string, state string")
+    seasons = spark.createDataFrame([("s0", "0")], "id string, state string")
+    rows = status.widget_room_status(status.status_envelope(topic, ["m"]), competitions, seasons).orderBy("offset").collect()
+    assert [r["status"] for r in rows] == [c[3] for c in cases]
+    assert all(r["offline"] == (r["status"] != 1) for r in rows)
+    assert {r["doc_id"] for r in rows} == {"w", "r"}
+    assert status.status_envelope(topic, ["other"]).count() == 0
