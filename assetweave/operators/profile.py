@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetweave.functions import payload as J, search, text as X, vectors as V
-from assetweave.operators.scan import arrival
+from assetweave.operators.scan import arrival, rows_at
 
 ITEM = "struct<type:string,vectorDimension:string,vector:variant>"
 PROFILE_BODY = ("struct<type:string,assetId:string,asset_id:string,assert_id:string,vector:variant,"
@@ -252,8 +252,7 @@ def first_rows(df: DataFrame, limit: int, counted: Column | None = None, chunk_r
 
 def first_match(documents: DataFrame, key: str = "row_key") -> DataFrame:
     """Earliest record of each key in scan order."""
-    rest = [c for c in documents.columns if c != key]
-    return documents.groupBy(key).agg(F.min_by(F.struct(*rest), arrival()).alias("_row")).select(key, "_row.*")
+    return rows_at(documents, documents.groupBy(key).agg(F.min(arrival()).alias("arrival")))
 
 
 def table_profile(table: DataFrame, key: str = "row_key") -> DataFrame:

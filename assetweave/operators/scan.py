@@ -26,6 +26,12 @@ def arrival(partition: str = "partition", offset: str = "offset") -> Column:
     return F.shiftleft(F.col(partition).cast("bigint"), PARTITION_BITS) + F.col(offset)
 
 
+def rows_at(df: DataFrame, places: DataFrame) -> DataFrame:
+    """The records at the given places of the arrival order. Finding the places on narrow columns first means that
+    wide payloads are never sorted, and are shuffled only when the places are too many to broadcast."""
+    return df.withColumn("arrival", arrival()).join(places.select("arrival"), "arrival", "left_semi").drop("arrival")
+
+
 def _plain(key: str, order: str) -> Runner:
     window = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.functions.text import is_present, parse_time, parse_version
-from assetweave.operators.scan import HOT_ROWS, Runner, arrival, scan_by_key
+from assetweave.operators.scan import HOT_ROWS, Runner, arrival, rows_at, scan_by_key
 
 WRITTEN = "written"
 INVALID = "skipped_invalid_payload"
@@ -142,5 +142,6 @@ def guarded_upsert(
 
 def latest_by_version(documents: DataFrame, columns: Sequence[str], key: str = "row_key") -> DataFrame:
     """Latest record of each key by version, then time, then arrival."""
-    rank = F.struct(parse_version(F.col("version")), parse_time(F.col("time")), arrival())
-    return documents.groupBy(key).agg(F.max_by(F.struct(*columns), rank).alias("_row")).select(key, "_row.*")
+    rank = F.struct(parse_version(F.col("version")), parse_time(F.col("time")), arrival().alias("arrival"))
+    places = documents.groupBy(key).agg(F.max(rank).alias("_top")).select("_top.arrival")
+    return rows_at(documents, places).select(key, *columns)
