@@ -548,7 +548,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def stream_guarded_upsert(spark: SparkSession, sf: str) -> DataFrame:
     path, schema = land(spark, sf, "vector_topic")
     documents = ingest.ingest(topics.stream_files(spark, path, schema)).where("reject_reason IS NULL")
-    return jobs.run_available(gates.guard_stream(documents), "stream-upsert")
+    return jobs.guard_in_batches(documents)
 
 
 @query

@@ -7,7 +7,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetweave.session import new_path
+from assetweave.operators.scan import HOT_ROWS
+from assetweave.operators.upsert import guard_status, guarded_upsert
+from assetweave.session import materialize, new_path
 
 # State variables with a lifetime need the RocksDB provider. A processing-time operator asks for one more empty batch
 # after every batch, so a run over the available input would never end with empty batches on.
@@ -48,3 +50,30 @@ def run_available(stream: DataFrame, name: str, path: str | None = None, checkpo
         )
         query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def guard_in_batches(documents: DataFrame, root: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Guarded upsert of a stream with large micro-batches: (row_key, arrival, status) of each document.
+
+    Every batch runs the batch operator on top of the guard table (key, version, time) of the batch before, so a
+    hot key is split as in a batch job, where the state operator would hand it to one task. Each batch writes its
+    own folders, so that a repeated batch replaces its own output. Started again with the same `root` it goes on.
+    """
+    spark = documents.sparkSession
+    root = root or new_path(spark, "guard")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch, "guard-batch")
+        stored = batch.sparkSession.read.parquet(f"{root}/guard/{batch_id - 1}") if batch_id else None
+        statuses = guard_status(rows, stored, hot_rows=hot_rows)
+        statuses.write.mode("overwrite").parquet(f"{root}/status/batch={batch_id}")
+        table = guarded_upsert(rows, ["version", "time"], stored, hot_rows=hot_rows)
+        table.write.mode("overwrite").parquet(f"{root}/guard/{batch_id}")
+
+    narrow = documents.select("row_key", "partition", "offset", "version", "time")
+    query = (
+        narrow.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/status").drop("batch")

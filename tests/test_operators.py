@@ -87,6 +87,16 @@ def test_streaming_upsert_equals_batch_in_any_number_of_batches(spark, tmp_path)
         assert statuses(out) == expected
 
 
+def test_large_batches_equal_the_model(spark, tmp_path):
+    documents = sorted(random_documents(6, 600), key=lambda d: (d[1], d[2]))
+    expected, _ = model(documents)
+    source, root = str(tmp_path / "in"), str(tmp_path / "guard")
+    for part in (documents[:250], documents[250:]):
+        spark.createDataFrame(part, DOC).coalesce(1).write.mode("append").parquet(source)
+        out = jobs.guard_in_batches(spark.readStream.schema(DOC).parquet(source), root, hot_rows=40)
+    assert statuses(out) == expected
+
+
 def test_streaming_gate_equals_batch(spark, tmp_path):
     rng = random.Random(5)
     rows = [("a" if rng.random() < 0.6 else f"d{rng.randrange(9)}", 0, n, rng.randrange(6)) for n in range(300)]
