@@ -122,15 +122,24 @@ def joined_values(hits: DataFrame, fields: Sequence[str], cell_values: int = CEL
     and given in full, row by row, by `large_cell_values`. There are at most values / cell_values of them, which
     bounds the broadcast.
     """
-    values = field_values(hits, fields)
+    # An id with few hits has small cells, so one aggregate does. Only ids with more hits than a cell may hold values,
+    # at most hits / cell_values of them, have their distinct values counted first.
+    busy = F.broadcast(hits.groupBy("asset_id").count().where(F.col("count") > cell_values).select("asset_id"))
+
+    def joined(values: Column) -> Column:
+        return F.nullif(F.array_join(F.array_sort(values), "|"), F.lit(""))
+
+    quiet = hits.join(busy, "asset_id", "left_anti").groupBy("asset_id").agg(
+        *[joined(F.collect_set(X.present(F.col(f).cast("string")))).alias(f) for f in fields],
+    ).withColumn("large_fields", F.array().cast("array<string>"))
+    values = field_values(hits.join(busy, "asset_id", "left_semi"), fields)
     large = _large_cells(values, cell_values)
     small = values.join(F.broadcast(large), ["asset_id", "field"], "left_anti").withColumn("_large", F.lit(False))
     cells = small.unionByName(large.withColumn("_large", F.lit(True)), allowMissingColumns=True)
-    return cells.groupBy("asset_id").agg(
-        *[F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("field") == f, F.col("value")))), "|"), F.lit("")).alias(f)
-          for f in fields],
+    return quiet.unionByName(cells.groupBy("asset_id").agg(
+        *[joined(F.collect_list(F.when(F.col("field") == f, F.col("value")))).alias(f) for f in fields],
         F.array_sort(F.collect_list(F.when(F.col("_large"), F.col("field")))).alias("large_fields"),
-    )
+    ))
 
 
 def _cell(field: str) -> Column:
