@@ -30,8 +30,8 @@ from tokenizers import Tokenizer
 
 from assetweave.llm.spans import HashTable, hash_spans
 
-CACHED_WORDS = 1_000_000
-BLOCK = 1 << 20
+CACHED_WORDS = 500_000
+BLOCK = 1 << 18
 LONG_WORD = 64
 SYMBOLS = 512  # a byte, and the same byte at the end of a word
 ROOT = 0
@@ -401,60 +401,84 @@ def share(spark: SparkSession, path: str):
     return _shared[key]
 
 
-def text_blocks(texts: pa.Array, most: int = 4_000_000) -> Iterator[list[str | None]]:
-    """The texts of an Arrow batch in blocks of about `most` bytes; a longer text is a block of its own."""
+def text_blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The texts of an Arrow batch in blocks of about `most` characters; a longer text is a block of its own."""
     block, size = [], 0
     for text in texts:
         value = text.as_py()
-        block.append(value)
-        size += len(value or "")
-        if size >= most:
+        if block and size + len(value or "") > most:
             yield block
             block, size = [], 0
+        block.append(value)
+        size += len(value or "")
     if block:
         yield block
 
 
+def id_lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
+
+
+def label_texts(labels: dict[int, str], ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """Labels of the arcs of each text, joined by one space as the library does for a file without a decoder."""
+    names = list(map(labels.get, ids.tolist()))
+    texts = (names[i:j] for i, j in zip(bounds.tolist(), bounds[1:].tolist()))
+    return [" ".join(t if None not in t else [x for x in t if x is not None]) for t in texts]
+
+
+Arrays = Iterator[pa.Array]
+
+
 def encode_column(spark: SparkSession, text: str | Column, path: str, end: int | None = None) -> Column:
     """Ids of a text column, as array<int>; with the id `end` at the end of each text if given."""
     shared = share(spark, path)
 
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(batches: Arrays) -> Arrays:
         encoder = worker_encoder(shared)
         for batch in batches:
-            parts, sizes = [], []
             for block in text_blocks(batch):
                 ids, bounds = encoder.encode(block)
                 if end is not None:
                     ids, bounds = np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))
-                parts.append(ids)
-                sizes.append(np.diff(bounds))
-            offsets = np.concatenate([[0], *sizes]).cumsum()
-            values = np.concatenate([np.zeros(0, np.uint32), *parts]).view(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+                yield id_lists(ids, bounds)
 
-    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(encode, "array<int>")(text)
+    return F.arrow_udf(_typed(encode), "array<int>")(text)
 
 
 def decode_column(spark: SparkSession, ids: str | Column, path: str) -> Column:
-    """Labels of the arcs with the given ids, joined by one space as the library does for a file without a decoder."""
+    """Texts of the labels of a column of ids."""
+    shared = share(spark, path)
+
+    def decode(batches: Arrays) -> Arrays:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                flat = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                sizes = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                yield pa.array(label_texts(shared.value.labels, flat, np.append(0, np.cumsum(sizes))), pa.string())
+
+    return F.arrow_udf(_typed(decode), "string")(ids)
+
+
+def round_trip_column(spark: SparkSession, text: str | Column, path: str) -> Column:
+    """struct(ids, decoded): a text's ids, and the text that these ids decode to, in one pass."""
     shared = share(spark, path)
 
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        labels = shared.value.labels
-        known = max(labels) + 1 == len(labels)
+    def both(batches: Arrays) -> Arrays:
+        encoder = worker_encoder(shared)
         for batch in batches:
-            out = []
-            for row in range(len(batch)):
-                values = batch[row].values
-                found = [] if values is None else values.to_numpy(zero_copy_only=False).tolist()
-                inside = known and (not found or min(found) >= 0 and max(found) < len(labels))
-                out.append(" ".join(map(labels.__getitem__, found if inside else [i for i in found if i in labels])))
-            yield pa.array(out, pa.string())
-
-    decode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(decode, "string")(ids)
+            for block in text_blocks(batch):
+                ids, bounds = encoder.encode(block)
+                texts = pa.array(label_texts(shared.value.labels, ids, bounds), pa.string())
+                yield pa.StructArray.from_arrays([id_lists(ids, bounds), texts], ["ids", "decoded"])
+
+    return F.arrow_udf(_typed(both), "struct<ids:array<int>,decoded:string>")(text)
+
+
+def _typed(function):
+    """The type hints that tell Spark that a function takes and gives a stream of arrays."""
+    function.__annotations__ = {"batches": Arrays, "return": Arrays}
+    return function
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", end: int | None = None) -> DataFrame:

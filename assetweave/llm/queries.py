@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assetweave.llm import bpe, packing, tokenstore
+from assetweave.llm import bpe, exactdup, minhash, packing, tokenstore
 from assetweave.llm.scratch import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,8 +31,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), TOKENIZER)
-    both = bpe.decode(docs, TOKENIZER)
+    docs = documents(spark, sf_dir)
+    both = docs.select("doc_id", bpe.round_trip_column(spark, "text", TOKENIZER).alias("t")).select("doc_id", "t.*")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -50,3 +50,28 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), TOKENIZER, end=0, capacity=SEQUENCE)
+
+
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir), percent=85)
+
+
+@query("op8_exact_dedup")
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exactdup.exact_groups(documents(spark, sf_dir))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op8_exact_dedup"] = """
+WITH n AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+        sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+), k AS (
+    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+        count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+"""
