@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assetweave.llm import bpe, exactdup, minhash, packing, tokenstore
+from assetweave.llm import bpe, exactdup, minhash, packing, secretscan, tokenstore
+from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,3 +76,14 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(documents(spark, sf_dir))
+    of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    of_label = lambda label: F.size(F.filter("spans", lambda s: s["label"] == label)).cast("long").alias(f"n_{label}")
+    return found.select(
+        "doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), of_label("live"), of_label("example"),
+    )
