@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assetweave.llm import bpe, exactdup, minhash, packing, secretscan, tokenstore
+from assetweave.llm import bpe, exactdup, minhash, packing, secretscan, tokenstore, winnowing
 from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
 
@@ -87,3 +87,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"), of_label("live"), of_label("example"),
     )
+
+
+@query("op10_winnowing")
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = texts.withColumn("f", winnowing.fingerprint("text")).select("doc_id", "text", F.col("f.at").alias("at"), F.col("f.hash").alias("hash"))
+    both = winnowing.with_next(own, ["text", "hash"])
+    both = both.withColumn("edited", winnowing.edited(F.col("text"), F.col("next.text")))
+    both = both.withColumn("e", winnowing.fingerprint("edited"))
+    return both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.as_text(F.col("at"), F.col("hash")).alias("fingerprint"),
+        winnowing.as_text(F.col("e.at"), F.col("e.hash")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("hash"), F.col("e.hash")).alias("near_edited"),
+        winnowing.likeness(F.col("hash"), F.col("next.hash")).alias("near_next"),
+    )
