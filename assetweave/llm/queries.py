@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assetweave.llm import bpe, chat, exactdup, minhash, packing, secretscan, tokenstore, winnowing
+from assetweave.llm import bpe, chat, exactdup, minhash, packing, quality, secretscan, tokenstore, winnowing
 from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
 
@@ -144,3 +144,13 @@ SELECT conv_id, count(*) AS n_turns,
     sum(length(t2) + CASE WHEN before IS NULL OR before <> role THEN 13 + length(r2) ELSE 6 END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    graded = quality.classify(documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return graded.select(
+        "doc_id", F.round("quality.expected_grade", 6).alias("expected_grade"), F.round("quality.tail", 6).alias("tail_probability"),
+        (F.col("quality.tail") >= quality.KEEP_TAIL).alias("kept"),
+    )
