@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assetweave.llm import bpe, chat, exactdup, minhash, packing, quality, secretscan, tokenstore, winnowing
+from assetweave.llm import bpe, chat, exactdup, minhash, packing, pii, quality, secretscan, tokenstore, winnowing
 from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
 
@@ -154,3 +154,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.round("quality.expected_grade", 6).alias("expected_grade"), F.round("quality.tail", 6).alias("tail_probability"),
         (F.col("quality.tail") >= quality.KEEP_TAIL).alias("kept"),
     )
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(documents(spark, sf_dir))
+    of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(of_kind, pii.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
