@@ -128,7 +128,7 @@ def pack_lengths(length: np.ndarray, capacity: int) -> list[list[int]]:
         under = order[rooms[order] > 0]
         count = max(2, int(len(under) * DONORS), len(bins) - least)
         donors = set(under[:count].tolist())
-        pool = Pool(capacity)
+        before, pool = [list(b) for b in bins], Pool(capacity)
         for d in sorted(donors):
             for piece in bins[d]:
                 pool.put(int(length[piece]), piece)
@@ -136,9 +136,11 @@ def pack_lengths(length: np.ndarray, capacity: int) -> list[list[int]]:
             improve(pool, bins[b], length, int(rooms[b]))
         rest = [p for size in sorted(pool.ids) for p in pool.ids[size]]
         again = best_fit(length[rest].tolist(), rest, capacity)
-        if len(again) >= len(donors):
-            break
+        if len(again) > len(donors):
+            return before
         bins = [b for i, b in enumerate(bins) if i not in donors] + again
+        if len(again) == len(donors):
+            break
     return bins
 
 
