@@ -161,3 +161,30 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(documents(spark, sf_dir))
     of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(of_kind, pii.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+ORACLES["op2_minhash"] = r"""
+WITH RECURSIVE t AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+    ), lambda x: x <> '') AS w
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) >= 5
+        THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+    FROM t
+), m AS MATERIALIZED (
+    SELECT doc_id, len(g) AS n, CASE WHEN len(g) > 0 THEN min(doc_id) OVER (PARTITION BY g) ELSE doc_id END AS rep FROM s
+), e AS (
+    SELECT s.doc_id AS rep, len(g) AS n, unnest(g) AS sh FROM s JOIN m USING (doc_id) WHERE m.rep = s.doc_id
+), p AS MATERIALIZED (
+    SELECT a.rep AS x, b.rep AS y FROM e a JOIN e b ON a.sh = b.sh AND a.rep < b.rep
+    GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), b AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (
+    SELECT DISTINCT rep AS id, rep AS root FROM m
+    UNION SELECT r.id, b.y FROM r JOIN b ON r.root = b.x
+), c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM m JOIN c ON m.rep = c.id
+"""
