@@ -50,17 +50,22 @@ def ownership(candidates: DataFrame, value: str = "value", owner: str = "owner",
     return by_owner.groupBy(value).agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def scan(
-    docs: DataFrame, text: str = "text", owner: Column | None = None, repository: Column | None = None,
-    keep: list[str] | None = None, many_owners: int = MANY_OWNERS,
-) -> DataFrame:
-    """The columns `keep` with `base` and `spans`, sorted arrays of (start, order, end, kind, label) in code points.
+def scan(docs: DataFrame, text: str = "text", owner: Column | None = None, repository: Column | None = None, many_owners: int = MANY_OWNERS) -> DataFrame:
+    """(doc_id, base, spans): sorted arrays of (start, order, end, kind, label) in code points.
 
-    The label is `live` or `example`.
+    The label is `live` or `example`. The source of a document is its owner, source and language its repository, unless
+    other columns are given.
     """
+    return scanned(docs, text, owner, repository, ["doc_id"], many_owners).select("row.*", "base", "spans")
+
+
+def scanned(
+    docs: DataFrame, text: str, owner: Column | None, repository: Column | None, keep: list[str], many_owners: int = MANY_OWNERS
+) -> DataFrame:
+    """(row, base, spans): `row` is a struct of the columns `keep`, so that no names clash."""
     owner = docs["source"] if owner is None else owner
     repository = F.concat_ws("/", docs["source"], docs["lang"]) if repository is None else repository
-    kept = [docs[c] for c in (keep or ["doc_id"])]
+    kept = [docs[c] for c in keep]
     whole = F.coalesce(docs[text], F.lit(""))
     found = land(docs.select(
         F.struct(*kept).alias("row"), F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"),
@@ -75,7 +80,7 @@ def scan(
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,label:string>>")
     both = found.select("number", "row").join(again, "number", "left").withColumn("all", F.coalesce("all", none))
     return both.select(
-        "row.*", F.filter("all", lambda s: s["order"] < 3).alias("base"),
+        "row", F.filter("all", lambda s: s["order"] < 3).alias("base"),
         F.filter("all", lambda s: (s["order"] < 3) | (s["label"] == "live")).alias("spans"),
     )
 
@@ -104,9 +109,11 @@ def redact(text: Column, spans_: Column, mark: str = "[SECRET]") -> Column:
 
 def redact_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with live secrets masked, and `n_chars` of the new text where that column exists."""
-    names = docs.columns
-    found = scan(docs, text, keep=names)
-    masked = found.withColumn(text, redact(F.col(text), F.col("spans")))
-    if "n_chars" in names:
-        masked = masked.withColumn("n_chars", F.when(F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
-    return masked.select(*names)
+    found = scanned(docs, text, None, None, docs.columns)
+    old = F.col("row")[text]
+    new = redact(old, F.col("spans"))
+    columns = {c: F.col("row")[c] for c in docs.columns} | {text: new}
+    if "n_chars" in docs.columns:
+        size = F.when(old.isNull(), F.col("row")["n_chars"]).otherwise(F.length(new))
+        columns["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return found.select(*[c.alias(name) for name, c in columns.items()])
