@@ -86,7 +86,8 @@ def _head(decoded: DataFrame, kind: str, base: str, test_tables: bool) -> DataFr
 def chart_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
     """Chart description messages with their class (release, withdraw, unsupported) and `reject_reason`."""
     rows = _head(decoded, "chart", "description", test_tables)
-    data = F.when(J.opening(F.col("data")) == "{", F.from_json("data", _CHART_DATA))
+    # Text that was held in a JSON string counts as JSON only as a whole; `from_json` alone would ignore what follows.
+    data = F.when((J.opening(F.col("data")) == "{") & J.is_json(F.col("data")), F.from_json("data", _CHART_DATA))
     rows = J.once(rows.withColumn("_empty", ~F.coalesce(F.col("data") != "", F.lit(False))), "chart", data)
     reason = (
         F.when(F.col("id").isNull(), "blank_id")
@@ -120,8 +121,9 @@ def content_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
     """Content messages with `items`: for each row key the last item of the message, in list order."""
     rows = _head(decoded, "chart_content", "content", test_tables)
     rows = rows.where(F.col("id").isNotNull() & (F.col("class") != "unsupported"))
-    texts = F.when((F.col("class") == "release") & (J.opening(F.col("data")) == "["), F.from_json("data", "array<string>"))
-    objects = F.filter(texts, lambda t: J.opening(t) == "{")
+    is_list = (F.col("class") == "release") & (J.opening(F.col("data")) == "[") & J.is_json(F.col("data"))
+    texts = F.when(is_list, F.from_json("data", "array<string>"))
+    objects = F.filter(texts, lambda t: (J.opening(t) == "{") & J.is_json(t))
     parsed = F.filter(
         F.transform(objects, lambda t: F.from_json(t, _ITEM)),
         lambda i: X.is_present(i["contentId"]) & X.is_present(i["chartId"]),

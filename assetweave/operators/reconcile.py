@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetweave.functions import text as X
+from assetweave.session import materialize
 
 # Package ids searched by default.
 DEFAULT_PACKAGES = ("1", "141")
 # Fields of a document listed in the relation report, with the column of the report.
 REPORT_FIELDS = {"program_id": "program_ids", "product_info_package_id": "product_info_package_ids", "name": "names"}
-# Distinct values a joined cell may hold; larger cells are given row by row.
-CELL_VALUES = 100_000
 
 
 def asset_ids(table: DataFrame, limit: int = 0) -> DataFrame:
@@ -28,6 +27,12 @@ def distinct_ids(rows: DataFrame) -> DataFrame:
     return rows.select("asset_id").distinct()
 
 
+def landed_ids(rows: DataFrame) -> DataFrame:
+    """Distinct ids, landed: a join with them then has a bare shuffle on both sides, which adaptive execution can split
+    where an id is hot. With the aggregate between shuffle and join it could not."""
+    return materialize(distinct_ids(rows), "ids")
+
+
 def package_hits(documents: DataFrame, packages: Sequence[object] | str | None = DEFAULT_PACKAGES) -> DataFrame:
     """Documents with an asset id, of the given packages; no packages means all."""
     wanted = X.package_texts(packages)
@@ -44,12 +49,12 @@ def doc_lookup(
     """Documents of the given ids; `size` keeps the first documents of each id by document id."""
     hits = package_hits(documents, packages)
     hits = hits.select("asset_id", "doc_id", *[f for f in fields if f not in ("asset_id", "doc_id")])
-    hits = hits.join(distinct_ids(ids), "asset_id", "left_semi")
-    if size <= 0:
-        return hits
-    # Spark keeps at most `size` rows of an id on each task before the shuffle (window group limit).
-    place = F.row_number().over(Window.partitionBy("asset_id").orderBy("doc_id"))
-    return hits.withColumn("_place", place).where(F.col("_place") <= size).drop("_place")
+    if size > 0:
+        # Spark keeps at most `size` rows of an id on each task before the shuffle (window group limit), so no id is
+        # hot in the join behind it.
+        place = F.row_number().over(Window.partitionBy("asset_id").orderBy("doc_id"))
+        hits = hits.withColumn("_place", place).where(F.col("_place") <= size).drop("_place")
+    return hits.join(landed_ids(ids), "asset_id", "left_semi")
 
 
 def relation_join(ids: DataFrame, hits: DataFrame) -> DataFrame:
@@ -58,7 +63,7 @@ def relation_join(ids: DataFrame, hits: DataFrame) -> DataFrame:
     An inner join plus the ids without a document, because adaptive execution can split a hot id on either side
     of an inner join, but not on the right side of an outer one.
     """
-    wanted = distinct_ids(ids)
+    wanted = landed_ids(ids)
     found = hits.join(wanted, "asset_id")
     rest = [c for c in hits.columns if c != "asset_id"]
     alone = wanted.join(distinct_ids(hits), "asset_id", "left_anti")
@@ -84,12 +89,13 @@ def missing_diagnosis(summary: DataFrame) -> DataFrame:
 
 
 def program_pairs(ids: DataFrame, hits: DataFrame) -> DataFrame:
-    rows = hits.where(X.is_present(F.col("program_id"))).join(distinct_ids(ids), "asset_id", "left_semi")
-    return rows.select("asset_id", "program_id").distinct()
+    pairs = hits.where(X.is_present(F.col("program_id"))).select("asset_id", "program_id").distinct()
+    return materialize(pairs, "pairs").join(landed_ids(ids), "asset_id", "left_semi")
 
 
 def _many(pairs: DataFrame, one: str, many: str, count: str) -> DataFrame:
-    counts = pairs.groupBy(one).agg(F.count(many).alias(count)).where(F.col(count) > 1)
+    pairs = materialize(pairs, "pairs")
+    counts = materialize(pairs.groupBy(one).agg(F.count(many).alias(count)).where(F.col(count) > 1), "counts")
     return pairs.join(counts, one).select(one, many, count)
 
 
@@ -110,82 +116,71 @@ def field_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
     return rows.where(X.is_present(F.col("value"))).distinct()
 
 
-def _large_cells(values: DataFrame, cell_values: int) -> DataFrame:
-    counts = values.groupBy("asset_id", "field").count()
-    return counts.where(F.col("count") > cell_values).select("asset_id", "field")
+def _joined(values: Column) -> Column:
+    return F.nullif(F.array_join(F.array_sort(values), "|"), F.lit(""))
 
 
-def joined_values(hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
-    """For each id and field the sorted distinct values joined by `|`, as columns, and `large_fields`.
+def joined_values(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """For each id and field the sorted distinct values joined by `|`, as columns, each cell in full.
 
-    A cell is built in one task, so cells beyond `cell_values` values are left null here, named in `large_fields`,
-    and given in full, row by row, by `large_cell_values`. There are at most values / cell_values of them, which
-    bounds the broadcast.
+    Values are made distinct before they are collected, with a partial step on each task. A cell is one value, so it
+    has to fit into a row; `field_values` gives the same values row by row, for ids of any size.
     """
-    # An id with few hits has small cells, so one aggregate does. Only ids with more hits than a cell may hold values,
-    # at most hits / cell_values of them, have their distinct values counted first.
-    busy = F.broadcast(hits.groupBy("asset_id").count().where(F.col("count") > cell_values).select("asset_id"))
-
-    def joined(values: Column) -> Column:
-        return F.nullif(F.array_join(F.array_sort(values), "|"), F.lit(""))
-
-    quiet = hits.join(busy, "asset_id", "left_anti").groupBy("asset_id").agg(
-        *[joined(F.collect_set(X.present(F.col(f).cast("string")))).alias(f) for f in fields],
-    ).withColumn("large_fields", F.array().cast("array<string>"))
-    values = field_values(hits.join(busy, "asset_id", "left_semi"), fields)
-    large = _large_cells(values, cell_values)
-    small = values.join(F.broadcast(large), ["asset_id", "field"], "left_anti").withColumn("_large", F.lit(False))
-    cells = small.unionByName(large.withColumn("_large", F.lit(True)), allowMissingColumns=True)
-    return quiet.unionByName(cells.groupBy("asset_id").agg(
-        *[joined(F.collect_list(F.when(F.col("field") == f, F.col("value")))).alias(f) for f in fields],
-        F.array_sort(F.collect_list(F.when(F.col("_large"), F.col("field")))).alias("large_fields"),
-    ))
-
-
-def _cell(field: str) -> Column:
-    """Cell of a report: empty without values, null where the values are given row by row."""
-    return F.when(~F.coalesce(F.array_contains("large_fields", field), F.lit(False)), F.coalesce(F.col(field), F.lit("")))
-
-
-def _has_values(fields: Sequence[str]) -> Column:
-    return F.coalesce(*fields).isNotNull() | F.coalesce(F.size("large_fields") > 0, F.lit(False))
+    return field_values(hits, fields).groupBy("asset_id").agg(
+        *[_joined(F.collect_list(F.when(F.col("field") == f, F.col("value")))).alias(f) for f in fields],
+    )
 
 
-def large_cell_values(hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
-    values = field_values(hits, fields)
-    return values.join(F.broadcast(_large_cells(values, cell_values)), ["asset_id", "field"], "left_semi")
+def presence(hits: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(asset_id, hit_count, has_values) of each id, without any text."""
+    some = F.coalesce(F.greatest(*[X.is_present(F.col(f).cast("string")) for f in fields], F.lit(False)), F.lit(False))
+    return hits.groupBy("asset_id").agg(F.count(F.lit(1)).alias("hit_count"), F.max(some).alias("has_values"))
 
 
 def relation_report(
-    rows: DataFrame, documents: DataFrame, packages: Sequence[object] | str | None = DEFAULT_PACKAGES,
-    cell_values: int = CELL_VALUES,
+    rows: DataFrame, documents: DataFrame, packages: Sequence[object] | str | None = DEFAULT_PACKAGES
 ) -> DataFrame:
-    """One line for each stored row: its documents in the packages or, if there are none, in all packages."""
-    fields = list(REPORT_FIELDS)
-    summary = id_summary(rows, documents, packages)
+    """One line for each stored row: its documents in the packages or, if there are none, in all packages.
+
+    The documents are reduced to one row an id, with the values inside the packages and all values, and landed; only
+    then do they meet the stored rows.
+    """
     everything = package_hits(documents, None)
     wanted = X.package_texts(packages)
     inside = F.col("product_info_package_id").cast("string").isin(*wanted) if wanted else F.lit(True)
-    # One row per id here, so a line takes its values from the filtered or from all hits, never both.
-    scope = summary.where(F.col("all_hits") > 0).select("asset_id", (F.col("hits") > 0).alias("_filtered"))
-    chosen = everything.join(scope, "asset_id").where(~F.col("_filtered") | inside)
-    cells = joined_values(chosen, fields, cell_values)
-    programs = field_values(chosen, ["program_id"]).groupBy("asset_id").agg(F.count("value").alias("_programs"))
-    per_id = summary.join(cells, "asset_id", "left").join(programs, "asset_id", "left")
-    found = F.col("hits") > 0
-
-    def cell(name: str, when_found: bool) -> Column:
-        return F.when(found if when_found else ~found, _cell(name)).otherwise(F.lit(""))
-
-    return rows.join(per_id, "asset_id").select(
+    inside = F.coalesce(inside, F.lit(False))
+    counts = everything.groupBy("asset_id").agg(F.count_if(inside).alias("hits"), F.count(F.lit(1)).alias("all_hits"))
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in REPORT_FIELDS]))
+    values = everything.select("asset_id", inside.alias("inside"), cells.alias("cell")).select("asset_id", "inside", "cell.*")
+    values = values.where(X.is_present(F.col("value"))).groupBy("asset_id", "field", "value").agg(F.max("inside").alias("inside"))
+
+    def of(field: str, filtered: bool) -> Column:
+        chosen = F.col("field") == field
+        return F.coalesce(_joined(F.collect_list(F.when(chosen & F.col("inside") if filtered else chosen, F.col("value")))), F.lit(""))
+
+    texts = values.groupBy("asset_id").agg(
+        F.count_if((F.col("field") == "program_id") & F.col("inside")).alias("programs"),
+        *[of(f, filtered).alias(f"{f}_{filtered}") for f in REPORT_FIELDS for filtered in (True, False)],
+    )
+    per_id = materialize(counts.join(texts, "asset_id", "left"), "documents-of-ids")
+    found = F.coalesce(F.col("hits") > 0, F.lit(False))
+
+    def cell(name: str, filtered: bool) -> Column:
+        return F.when(found if filtered else ~found, F.coalesce(F.col(f"{name}_{filtered}"), F.lit(""))).otherwise(F.lit(""))
+
+    # As in `relation_join`: an inner join, which can be split on both sides, and the rows without a document.
+    asked = rows.select("row_key", "asset_id")
+    alone = asked.join(per_id.select("asset_id"), "asset_id", "left_anti")
+    both = asked.join(per_id, "asset_id").unionByName(alone, allowMissingColumns=True)
+    return both.select(
         "row_key",
         "asset_id",
         cell("program_id", True).alias("program_ids"),
-        F.when(found, F.coalesce("_programs", F.lit(0))).otherwise(F.lit(0)).alias("program_count"),
-        F.col("hits").alias("hit_count"),
+        F.when(found, F.coalesce("programs", F.lit(0))).otherwise(F.lit(0)).alias("program_count"),
+        F.coalesce("hits", F.lit(0)).alias("hit_count"),
         cell("product_info_package_id", True).alias("product_info_package_ids"),
         cell("name", True).alias("names"),
-        F.when(found, F.lit(0)).otherwise(F.col("all_hits")).alias("unfiltered_hit_count"),
+        F.when(found, F.lit(0)).otherwise(F.coalesce("all_hits", F.lit(0))).alias("unfiltered_hit_count"),
         cell("product_info_package_id", False).alias("unfiltered_product_info_package_ids"),
         cell("program_id", False).alias("unfiltered_program_ids"),
         cell("name", False).alias("unfiltered_names"),
@@ -218,34 +213,39 @@ def relation_examples(summary: DataFrame, limit: int = 20) -> DataFrame:
     return missing_diagnosis(summary).orderBy("asset_id").limit(limit)
 
 
-def enrich_fields(rows: DataFrame, hits: DataFrame, fields: Sequence[str], cell_values: int = CELL_VALUES) -> DataFrame:
-    """(row_key, fields): the cells to merge into the table; rows without any value are left out.
-
-    Large cells are not among them; see `large_cell_values`.
-    """
-    cells = joined_values(hits, fields, cell_values).where(F.coalesce(*fields).isNotNull())
+def enrich_fields(rows: DataFrame, hits: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(row_key, fields): the cells to merge into the table, in full; rows without any value are left out."""
+    cells = materialize(joined_values(hits, fields), "cells")
     return rows.join(cells, "asset_id").select("row_key", *fields)
 
 
-def merge_report(
-    rows: DataFrame, hits: DataFrame, fields: Sequence[str], dry_run: bool = False, cell_values: int = CELL_VALUES
-) -> DataFrame:
-    cells = joined_values(hits, fields, cell_values)
-    counts = hits.groupBy("asset_id").agg(F.count(F.lit(1)).alias("_hits"))
-    per_id = counts.join(cells, "asset_id", "left")
-    status = F.when(_has_values(fields), "dry_run" if dry_run else "written").otherwise("not_found")
-    return rows.join(per_id, "asset_id", "left").select(
-        "row_key", "asset_id", F.coalesce("_hits", F.lit(0)).alias("hit_count"), status.alias("write_status"),
-        *[_cell(f).alias(f) for f in fields],
+def _write_status(dry_run: bool) -> Column:
+    return F.when(F.col("has_values"), "dry_run" if dry_run else "written").otherwise("not_found")
+
+
+def merge_report(rows: DataFrame, hits: DataFrame, fields: Sequence[str], dry_run: bool = False) -> DataFrame:
+    per_id = materialize(presence(hits, fields).join(joined_values(hits, fields), "asset_id", "left"), "cells-of-ids")
+    asked = rows.select("row_key", "asset_id")
+    alone = asked.join(per_id.select("asset_id"), "asset_id", "left_anti")
+    return asked.join(per_id, "asset_id").unionByName(alone, allowMissingColumns=True).select(
+        "row_key", "asset_id", F.coalesce("hit_count", F.lit(0)).alias("hit_count"), _write_status(dry_run).alias("write_status"),
+        *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields],
     )
 
 
-def merge_summary(report: DataFrame) -> DataFrame:
-    return report.agg(
-        F.count(F.lit(1)).alias("scanned"),
-        F.count_if(F.col("hit_count") > 0).alias("matched"),
-        F.count_if(F.col("hit_count") == 0).alias("missing"),
-        F.count_if(F.col("write_status") == "written").alias("written"),
+def merge_summary(rows: DataFrame, hits: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Counts of the enrichment, from presence flags; no cell is built for them."""
+    asked = rows.groupBy("asset_id").agg(F.count(F.lit(1)).alias("rows"))
+    both = asked.join(presence(hits, fields), "asset_id", "left")
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+    return both.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("scanned"),
+        rows_where(F.col("hit_count") > 0).alias("matched"),
+        rows_where(F.col("hit_count").isNull()).alias("missing"),
+        rows_where(F.col("has_values")).alias("written"),
     )
 
 

@@ -24,7 +24,7 @@ MARKER_LIFETIME_S = 12 * 60 * 60
 _ENVELOPE = ("struct<activityType:int,channel:string,mgdbId:string,mgdbStatus:variant,version:string,time:string,"
              "data:string>")
 _BODY = ("struct<body:struct<activityType:int,mgdbId:string,projectId:string,seasonId:string,testMgdb:variant,title:string,"
-         "test:string,roomLabel:struct<firstClassName:string>,shareMaterial:struct<roomTitle:string>,"
+         "test:variant,roomLabel:variant,shareMaterial:variant,"
          "roomStatus:variant,broadcastStatus:variant>>")
 _ONDEMAND = ("struct<type:string,id:string,operation:string,version:string,time:string,"
              "data:struct<productInfoPackageId:string,content:struct<PRODUCT_INFO_PACKAGE_ID:string>>>")
@@ -93,11 +93,25 @@ def widget_room_status(rows: DataFrame, competitions: DataFrame, seasons: DataFr
         differs(F.col("_competition"), "1") | differs(F.col("_season"), "1")
         | equals(b["testMgdb"], "1") | has(b["title"]) | F.col("number_zero")
     )
-    room_broken = b["roomStatus"].isNull() | (equals(b["roomStatus"], "3") & b["broadcastStatus"].isNull())
+    def truthy(col: Column) -> Column:
+        """The member is there and neither null, false, zero nor empty."""
+        zero = (F.schema_of_variant(col) != "STRING") & (F.try_variant_get(col, "$", "double") == 0)
+        empty = F.to_json(col).isin("null", "false", '""', "[]", "{}")
+        return F.coalesce(~(empty | F.coalesce(zero, F.lit(False))), F.lit(False))
+
+    def no_object(col: Column) -> Column:
+        """The member is there, and is null or of another kind."""
+        return F.coalesce(~F.startswith(F.schema_of_variant(col), F.lit("OBJECT")), F.lit(False))
+
+    def member(col: Column, name: str) -> Column:
+        return F.coalesce(F.try_variant_get(col, f"$.{name}", "string"), F.to_json(F.try_variant_get(col, f"$.{name}", "variant")))
+
+    room_broken = no_object(b["roomLabel"]) | no_object(b["shareMaterial"])
+    room_broken = room_broken | b["roomStatus"].isNull() | (equals(b["roomStatus"], "3") & b["broadcastStatus"].isNull())
     room_off = (
-        F.coalesce(b["test"] != "", F.lit(False))
-        | F.coalesce(b["roomLabel"]["firstClassName"] == TEST_MARKER, F.lit(False))
-        | has(b["shareMaterial"]["roomTitle"])
+        truthy(b["test"])
+        | F.coalesce(F.try_variant_get(b["roomLabel"], "$.firstClassName", "string") == TEST_MARKER, F.lit(False))
+        | has(member(b["shareMaterial"], "roomTitle"))
         | ~equals(b["roomStatus"], "3") | ~equals(b["broadcastStatus"], "1")
     )
     status = (

@@ -324,6 +324,8 @@ register("relation_report", IDS + [("inside", f"SELECT asset_id, {_AGG} FROM hit
     CASE WHEN i.n IS NULL THEN coalesce(o.prg, '') ELSE '' END AS unfiltered_program_ids,
     CASE WHEN i.n IS NULL THEN coalesce(o.nam, '') ELSE '' END AS unfiltered_names
     FROM ids r LEFT JOIN inside i USING (asset_id) LEFT JOIN outside o USING (asset_id)""")
+register("relation_values", IDS, "SELECT DISTINCT asset_id, field, value FROM (" + " UNION ALL ".join(
+    f"SELECT asset_id, '{f}' AS field, CAST({f} AS VARCHAR) AS value FROM hits" for f in ("program_id", "product_info_package_id", "name")) + ") WHERE trim(value) <> ''")
 register("enrich_fields", MERGED, """SELECT row_key, program_id, name, category FROM ids JOIN merged USING (asset_id)
     WHERE coalesce(program_id, name, category) IS NOT NULL""")
 _REPORT = """SELECT row_key, asset_id, coalesce(n, 0) AS hit_count, CASE WHEN coalesce(program_id, name, category) IS NOT NULL THEN 'written' ELSE 'not_found' END AS write_status,
@@ -343,7 +345,8 @@ def _chart_head(topic: str, base: str) -> str:
     return f"""SELECT "partition", "offset", {ARRIVAL} AS arrival, j,
         CASE WHEN trim(j ->> '$.tableName') <> '' THEN '{base}_test' ELSE '{base}_prod' END AS target, {present("(j ->> '$.id')")} AS id,
         j ->> '$.operation' AS operation, {_CLASS.format("j ->> '$.operation'")} AS class, {present("(j ->> '$.version')")} AS message_time,
-        strftime({PARSED_TIME.format("(j ->> '$.time')")}, '%Y-%m-%d %H:%M:%S') AS time, j -> '$.data' AS data
+        strftime({PARSED_TIME.format("(j ->> '$.time')")}, '%Y-%m-%d %H:%M:%S') AS time,
+        CASE WHEN json_type(j, '$.data') = 'VARCHAR' AND json_valid(j ->> '$.data') THEN CAST(j ->> '$.data' AS JSON) ELSE j -> '$.data' END AS data
         FROM (SELECT *, CAST(value AS JSON) AS j FROM {topic})"""
 
 
@@ -425,8 +428,9 @@ STATUS_TOPIC: Ctes = duck_ctes("status_topic") + duck_ctes("competition_table")
               FROM st2 LEFT JOIN competition_table k ON k.id = b ->> '$.projectId' LEFT JOIN season_table s ON s.id = b ->> '$.seasonId'"""),
     ("st", """SELECT *, CASE WHEN bact IN (0, 1) THEN CASE WHEN competition <> '1' OR season <> '1' OR coalesce(b ->> '$.testMgdb', '') = '1'
                      OR coalesce(b ->> '$.title', '') LIKE '%测试%' OR number_zero THEN 0 ELSE 1 END
-                   WHEN bact = 4 THEN CASE WHEN b ->> '$.roomStatus' IS NULL OR (b ->> '$.roomStatus' = '3' AND b ->> '$.broadcastStatus' IS NULL) THEN NULL
-                     WHEN coalesce(b ->> '$.test', '') <> '' OR coalesce(b ->> '$.roomLabel.firstClassName', '') = '测试' OR coalesce(b ->> '$.shareMaterial.roomTitle', '') LIKE '%测试%'
+                   WHEN bact = 4 THEN CASE WHEN coalesce(json_type(b, '$.roomLabel'), 'OBJECT') <> 'OBJECT' OR coalesce(json_type(b, '$.shareMaterial'), 'OBJECT') <> 'OBJECT'
+                       OR b ->> '$.roomStatus' IS NULL OR (b ->> '$.roomStatus' = '3' AND b ->> '$.broadcastStatus' IS NULL) THEN NULL
+                     WHEN coalesce(CAST(b -> '$.test' AS VARCHAR), 'null') NOT IN ('null', 'false', '0', '""', '[]', '{}') OR coalesce(b ->> '$.roomLabel.firstClassName', '') = '测试' OR coalesce(b ->> '$.shareMaterial.roomTitle', '') LIKE '%测试%'
                        OR b ->> '$.roomStatus' <> '3' OR b ->> '$.broadcastStatus' <> '1' THEN 0 ELSE 1 END END AS status FROM st3"""),
 ]
 register("status_envelope", STATUS_TOPIC, """SELECT "partition", "offset", kind, doc_id, version, number_zero, b ->> '$.title' AS title, b ->> '$.roomStatus' AS "roomStatus" FROM st""")

@@ -367,6 +367,11 @@ def relation_examples(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.relation_examples(_summary(spark, sf))
 
 
+@query
+def relation_values(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.field_values(_hits(spark, sf), list(reconcile.REPORT_FIELDS))
+
+
 @query
 def enrich_fields(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.enrich_fields(_ids(spark, sf), _hits(spark, sf), list(MERGE_FIELDS))
@@ -379,7 +384,7 @@ def merge_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def merge_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.merge_summary(reconcile.merge_report(_ids(spark, sf), _hits(spark, sf), list(MERGE_FIELDS)))
+    return reconcile.merge_summary(_ids(spark, sf), _hits(spark, sf), list(MERGE_FIELDS))
 
 
 # Charts

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +26,8 @@ def build_session(app: str = "assetweave", master: str | None = None, **conf: st
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # A repeated member of a JSON object counts with its last value.
+        "spark.sql.variant.allowDuplicateKeys": "true",
         **conf,
     }
     for name, value in settings.items():
@@ -35,18 +36,9 @@ def build_session(app: str = "assetweave", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder: there driver and executors are one process.
-    """
+    """The folder all executors can reach: the one the cluster names, or one below the warehouse where none is set."""
     folder = spark.conf.get(SHARED_DIR_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="assetweave-")
-    spark.conf.set(SHARED_DIR_CONF, folder)
-    return folder
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "assetweave-scratch")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -181,13 +181,15 @@ def chart_topic(d: Dialect) -> Recipe:
                             "',\"contentClasses\":' || classes")
             + " || '}'",
         },
+        {"tail": "data || ' x'"},
         {
             "partition": "cast(o_orderkey % 4 as int)",
             "offset": div("o_orderkey - o_orderkey % 4", 4),
             "value": "'{\"id\":\"' || CASE WHEN r % 29 = 0 THEN ' ' ELSE 'D' || chart END || '\",\"type\":\"chart\",\"operation\":\"'"
                      " || operation || '\",\"version\":\"' || cast(1700000000000 + o_orderkey as string) || '\",\"time\":\"'"
                      f" || {d.stamp('o_orderdate')} || '\"' || CASE WHEN r % 19 = 0 THEN ',\"tableName\":\"t\"' ELSE '' END"
-                     " || ',\"data\":' || CASE WHEN r % 31 = 0 THEN '[1]' ELSE data END || '}'",
+                     f" || ',\"data\":' || CASE WHEN r % 31 = 0 THEN '[1]' WHEN r % 31 = 1 THEN {escaped('tail')} WHEN r % 31 = 2 THEN {escaped('data')}"
+                     " ELSE data END || '}'",
         },
     ]
     return "orders", steps
@@ -215,12 +217,14 @@ def chart_content_topic(d: Dialect) -> Recipe:
                     + " || " + pick("r % 9", {0: "',5'", 1: "',' || " + item("' '", "chart", "'3'"),
                                               2: "',' || " + item(first, "chart", "'4'")}, "''") + " || ']'",
         },
+        {"tail": "data || ' junk'"},
         {
             "partition": "cast(o_orderkey % 4 as int)",
             "offset": div("o_orderkey - o_orderkey % 4", 4),
             "value": "'{\"id\":\"' || CASE WHEN r % 29 = 0 THEN '' ELSE chart END || '\",\"type\":\"chart_content\",\"operation\":\"'"
                      " || operation || '\",\"version\":\"' || cast(1700000000000 + o_orderkey as string) || '\",\"time\":\"'"
-                     f" || {d.stamp('o_orderdate', 'T')} || '\",\"data\":' || CASE WHEN r % 37 = 0 THEN '{{}}' ELSE data END || '}}'",
+                     f" || {d.stamp('o_orderdate', 'T')} || '\",\"data\":' || CASE WHEN r % 37 = 0 THEN '{{}}' WHEN r % 37 = 1 THEN {escaped('tail')}"
+                     f" WHEN r % 37 = 2 THEN {escaped('data')} ELSE data END || '}}'",
         },
     ]
     return "orders", steps
@@ -237,9 +241,10 @@ def status_topic(d: Dialect) -> Recipe:
     )
     room = (
         "'{\"activityType\":4,\"mgdbId\":\"room' || key || '\"'"
-        " || " + pick("r % 7", {0: "',\"test\":\"y\"'", 1: "',\"test\":\"\"'"}, "''")
-        + " || " + pick("r % 11", {0: "',\"roomLabel\":{\"firstClassName\":\"测试\"}'"}, "''")
-        + " || " + pick("r % 13", {0: "',\"shareMaterial\":{\"roomTitle\":\"测试间\"}'"}, "''")
+        " || " + pick("r % 7", {0: "',\"test\":\"y\"'", 1: "',\"test\":\"\"'", 2: "',\"test\":0'", 3: "',\"test\":false'",
+                              4: "',\"test\":[]'"}, "''")
+        + " || " + pick("r % 11", {0: "',\"roomLabel\":{\"firstClassName\":\"测试\"}'", 1: "',\"roomLabel\":null'"}, "''")
+        + " || " + pick("r % 13", {0: "',\"shareMaterial\":{\"roomTitle\":\"测试间\"}'", 1: "',\"shareMaterial\":null'"}, "''")
         + " || " + pick("r % 5", {0: "',\"roomStatus\":\"2\"'", 1: "''"}, "',\"roomStatus\":\"3\"'")
         + " || " + pick("r % 3", {0: "',\"broadcastStatus\":\"0\"'"}, "',\"broadcastStatus\":\"1\"'") + " || '}'"
     )

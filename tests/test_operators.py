@@ -140,17 +140,50 @@ def test_first_rows_cuts_at_the_matched_limit(spark):
     assert profile.first_rows(df, 9999, F.col("hit"), chunk_rows=16).count() == 500
 
 
-def test_large_cells_are_given_row_by_row(spark):
-    hits = spark.createDataFrame([("hot", f"p{n:03d}", "n") for n in range(50)] + [("x", "p2", None), ("x", "p1", " ")],
+def test_cells_are_given_in_full(spark):
+    hits = spark.createDataFrame([("hot", f"p{n:03d}", "n") for n in range(500)] * 2 + [("x", "p2", None), ("x", "p1", " "), ("y", " ", None)],
                                  "asset_id string, program_id string, name string")
-    small = {r["asset_id"]: (r["program_id"], r["name"]) for r in reconcile.joined_values(hits, ["program_id", "name"], 10).collect()}
-    assert small == {"hot": (None, "n"), "x": ("p1|p2", None)}
-    rows = spark.createDataFrame([("r1", "hot"), ("r2", "x"), ("r3", "none")], "row_key string, asset_id string")
-    report = {r["row_key"]: (r["hit_count"], r["write_status"], r["program_id"]) for r in reconcile.merge_report(
-        rows, hits, ["program_id"], cell_values=10).collect()}
-    assert report == {"r1": (50, "written", None), "r2": (2, "written", "p1|p2"), "r3": (0, "not_found", "")}
-    large = reconcile.large_cell_values(hits, ["program_id", "name"], 10).collect()
-    assert sorted(r["value"] for r in large) == [f"p{n:03d}" for n in range(50)]
+    every = "|".join(f"p{n:03d}" for n in range(500))
+    cells = {r["asset_id"]: (r["program_id"], r["name"]) for r in reconcile.joined_values(hits, ["program_id", "name"]).collect()}
+    assert cells == {"hot": (every, "n"), "x": ("p1|p2", None)}
+    rows = spark.createDataFrame([("r1", "hot"), ("r2", "x"), ("r3", "none"), ("r4", "y")], "row_key string, asset_id string")
+    report = {r["row_key"]: (r["hit_count"], r["write_status"], r["program_id"]) for r in reconcile.merge_report(rows, hits, ["program_id"]).collect()}
+    assert report == {"r1": (1000, "written", every), "r2": (2, "written", "p1|p2"), "r3": (0, "not_found", ""), "r4": (1, "not_found", "")}
+    assert {r["row_key"]: r["program_id"] for r in reconcile.enrich_fields(rows, hits, ["program_id"]).collect()} == {"r1": every, "r2": "p1|p2"}
+    assert tuple(reconcile.merge_summary(rows, hits, ["program_id"]).first()) == (4, 3, 1, 2)
+    assert sum(r["field"] == "program_id" for r in reconcile.field_values(hits, ["program_id", "name"]).collect()) == 502
+
+
+def test_hot_ids_are_split(spark, tmp_path):
+    """With half of the rows on one id, the joins of documents with ids are marked skewed and split."""
+    hits = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE 'a' || id END AS assert_id", "'d' || id AS doc_id", "'p' || id % 40 AS program_id",
+        "1 AS product_info_package_id", "repeat('n', 50) AS name",
+    )
+    hits.write.parquet(str(tmp_path / "docs"))
+    spark.range(20_000).selectExpr("'r' || id AS row_key", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE 'a' || id END AS asset_id").write.parquet(str(tmp_path / "rows"))
+    documents, rows = spark.read.parquet(str(tmp_path / "docs")), spark.read.parquet(str(tmp_path / "rows"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = reconcile.package_hits(documents, None)
+        queries = {
+            "doc_lookup": reconcile.doc_lookup(documents, rows, None), "relation_join": reconcile.relation_join(rows, found),
+            "relation_report": reconcile.relation_report(rows, documents, None),
+            "enrich_fields": reconcile.enrich_fields(rows, found, ["name"]), "merge_report": reconcile.merge_report(rows, found, ["name"]),
+            "multi_program": reconcile.multi_program(found.select("asset_id", F.col("doc_id").alias("program_id"))),
+        }
+        for name, df in queries.items():
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_chart_contents_mark_former_rows(spark):
