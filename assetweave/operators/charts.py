@@ -134,6 +134,32 @@ def content_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
     return J.once(rows, "items", keyed).drop("data")
 
 
+def content_rejects(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
+    """(partition, offset, pos, reject_reason): content messages that `content_messages` leaves out, without a `pos`,
+    and items of the others that it leaves out, with their place in the list."""
+    rows = _head(decoded, "chart_content", "content", test_tables)
+    whole = (J.opening(F.col("data")) == "[") & J.is_json(F.col("data"))
+    rows = J.once(rows, "_list", F.when(whole, F.from_json("data", "array<string>")))
+    reason = (
+        F.when(F.col("id").isNull(), "blank_id")
+        .when(F.col("class") == "unsupported", "unsupported_operation")
+        .when((F.col("class") == "release") & F.col("_list").isNull(), "data_not_list")
+    )
+    rows = rows.withColumn("_reason", reason)
+    messages = rows.where(F.col("_reason").isNotNull()).select(
+        "partition", "offset", F.lit(None).cast("int").alias("pos"), F.col("_reason").alias("reject_reason")
+    )
+    items = rows.where(F.col("_reason").isNull() & (F.col("class") == "release")).select(
+        "partition", "offset", F.posexplode("_list").alias("pos", "text")
+    )
+    an_object = F.coalesce((J.opening(F.col("text")) == "{") & J.is_json(F.col("text")), F.lit(False))
+    items = J.once(items, "item", F.when(an_object, F.from_json("text", _ITEM)))
+    fault = F.when(F.col("item").isNull(), "item_not_object").when(
+        ~(X.is_present(F.col("item.contentId")) & X.is_present(F.col("item.chartId"))), "blank_item_id"
+    )
+    return messages.unionByName(items.select("partition", "offset", "pos", fault.alias("reject_reason")).where("reject_reason IS NOT NULL"))
+
+
 def _last_of_key(items: Column) -> Column:
     """Of items with the same row key only the last: after sorting by key and place, those whose successor differs."""
     ordered = F.array_sort(items)

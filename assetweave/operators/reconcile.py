@@ -267,6 +267,14 @@ def verify_rows(mapped: DataFrame, stored: DataFrame, fields: Sequence[str], key
     })
 
 
+def verify_totals(verified: DataFrame) -> DataFrame:
+    """For each field the keys whose cells match and those whose cells do not."""
+    return verified.groupBy("field").agg(
+        F.count_if("match").alias("matches"), F.count_if(~F.col("match")).alias("mismatches"),
+        F.count_if(F.col("expected").isNotNull() & F.col("actual").isNull()).alias("missing"),
+    )
+
+
 def lookup_rows(table: DataFrame, keys: DataFrame, columns: Sequence[str], key: str = "row_key") -> DataFrame:
     """Chosen columns of the rows with the given keys; a key without a row gives nothing."""
     return table.select(key, *columns).join(keys.select(key).distinct(), key, "left_semi")

@@ -133,10 +133,16 @@ def guarded_upsert(
     stored: DataFrame | None = None,
     key: str = "row_key",
     hot_rows: int = HOT_ROWS,
+    operate_time: str | None = None,
 ) -> DataFrame:
-    """The table after the guarded upsert of `documents` (a landed table) on top of `stored`."""
+    """The table after the guarded upsert of `documents` (a landed table) on top of `stored`.
+
+    With `operate_time` every written row carries the time of the run in a column of that name.
+    """
     statuses = guard_status(documents, stored, key, hot_rows, presence=columns)
     written = current_rows(documents, statuses, columns, key)
+    if operate_time is not None:
+        written = written.withColumn("operate_time", F.lit(operate_time))
     return written if stored is None else column_merge(stored, written, key)
 
 

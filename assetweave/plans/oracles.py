@@ -275,7 +275,7 @@ register("table_profile", ASSETS, " UNION ALL ".join(
 
 register("write_status_counts", STEPPED, """SELECT status, count(*) AS messages FROM (SELECT status FROM step
     UNION ALL SELECT 'skipped_invalid_payload' FROM document WHERE reject_reason IS NOT NULL) GROUP BY status""")
-register("guarded_upsert", UPSERTED, f"SELECT row_key, {_q(FIELDS)} FROM upserted")
+register("guarded_upsert", UPSERTED, f"SELECT row_key, {_q(FIELDS)}, '2024-01-01 00:00:00' AS operate_time FROM upserted")
 
 
 def joined(field: str) -> str:
@@ -289,10 +289,16 @@ register("column_merge_upsert", MERGED + [
     ("incoming", "SELECT i.row_key, name, category FROM ids i JOIN merged m USING (asset_id) WHERE trim(i.row_key) <> '' AND coalesce(name, category) IS NOT NULL"),
 ], """SELECT s.row_key, "assetId", assert_id, version, "modelName", coalesce(category, summary) AS summary, name, category
     FROM stored s LEFT JOIN incoming i ON s.row_key = i.row_key""")
-register("verify_rows", UPSERTED + [("firsts", "SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY arrival) = 1")], """
-    SELECT *, expected IS NOT DISTINCT FROM actual AS match, CAST(length(expected) AS INTEGER) AS expected_length, CAST(length(actual) AS INTEGER) AS actual_length FROM (""" + " UNION ALL ".join(
+_VERIFY = """SELECT *, expected IS NOT DISTINCT FROM actual AS match, CAST(length(expected) AS INTEGER) AS expected_length, CAST(length(actual) AS INTEGER) AS actual_length FROM (""" + " UNION ALL ".join(
     f"""SELECT coalesce(f.row_key, u.row_key) AS row_key, '{c}' AS field, f."{c}" AS expected, u."{c}" AS actual
-    FROM firsts f FULL JOIN upserted u ON f.row_key = u.row_key""" for c in FIELDS) + ")")
+    FROM firsts f FULL JOIN upserted u ON f.row_key = u.row_key""" for c in FIELDS) + ")"
+_FIRSTS: Ctes = UPSERTED + [("firsts", "SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY arrival) = 1")]
+_LATEST: Ctes = UPSERTED + [("firsts", f"""SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY {PARSED_VERSION.format('version')} DESC NULLS LAST,
+    {PARSED_TIME.format('time')} DESC NULLS LAST, arrival DESC) = 1""")]
+register("verify_rows", _FIRSTS, _VERIFY)
+register("verify_latest", _LATEST, _VERIFY)
+register("verify_totals", _LATEST, f"""SELECT field, count(*) FILTER (match) AS matches, count(*) FILTER (NOT match) AS mismatches,
+    count(*) FILTER (expected IS NOT NULL AND actual IS NULL) AS missing FROM ({_VERIFY}) GROUP BY field""")
 
 # Reconciliation
 
@@ -400,6 +406,13 @@ CONTENTS: Ctes = CONTENT + [
     ("mr", """SELECT ml.target, unnest(list_distinct(wr.row_keys)) AS row_key, ml.place, offline_flg FROM ml JOIN wr
               ON wr.target = ml.target AND wr.chart_id = ml.chart_id AND wr.place = ml.version"""),
 ]
+register("content_rejects", CONTENTS, """SELECT "partition", "offset", CAST(NULL AS INTEGER) AS pos, CASE WHEN id IS NULL THEN 'blank_id'
+        WHEN class = 'unsupported' THEN 'unsupported_operation' ELSE 'data_not_list' END AS reject_reason
+    FROM ct0 WHERE id IS NULL OR class = 'unsupported' OR (class = 'release' AND coalesce(json_type(data), '') <> 'ARRAY')
+    UNION ALL SELECT "partition", "offset", pos, CASE WHEN json_type(item) <> 'OBJECT' THEN 'item_not_object' ELSE 'blank_item_id' END
+    FROM (SELECT "partition", "offset", unnest(CAST(data AS JSON[])) AS item, CAST(generate_subscripts(CAST(data AS JSON[]), 1) - 1 AS INTEGER) AS pos
+        FROM ct1 WHERE class = 'release' AND json_type(data) = 'ARRAY')
+    WHERE json_type(item) <> 'OBJECT' OR coalesce(trim(item ->> '$.chartId'), '') = '' OR coalesce(trim(item ->> '$.contentId'), '') = ''""")
 _CONTENT_COLS = {"id": "row_key", "content_id": "content_id", "chart_id": "chart_id", "type": "'chart_content'", "message_time": "message_time", "time": "time",
                  **{n: present(f"(item ->> '$.{m}')") for n, m in (("content_type", "contentType"), ("rank", "rank"), ("chart_score", "chartScore"), ("is_shield", "isShield"))}}
 register("chart_content_upsert", CONTENTS + [

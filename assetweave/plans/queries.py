@@ -278,7 +278,7 @@ def write_status_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def guarded_upsert(spark: SparkSession, sf: str) -> DataFrame:
     documents = stages.valid_documents(spark, sf)
-    return upsert.guarded_upsert(documents, ingest.subset_fields(documents))
+    return upsert.guarded_upsert(documents, ingest.subset_fields(documents), operate_time="2024-01-01 00:00:00")
 
 
 @query
@@ -298,6 +298,18 @@ def verify_rows(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.verify_rows(first, upsert.guarded_upsert(documents, fields), fields)
 
 
+@query
+def verify_latest(spark: SparkSession, sf: str) -> DataFrame:
+    documents = stages.valid_documents(spark, sf)
+    fields = ingest.subset_fields(documents)
+    return reconcile.verify_rows(upsert.latest_by_version(documents, fields), upsert.guarded_upsert(documents, fields), fields)
+
+
+@query
+def verify_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.verify_totals(verify_latest(spark, sf))
+
+
 # Reconciliation
 
 
@@ -397,6 +409,11 @@ def _charts(spark: SparkSession, sf: str) -> DataFrame:
     return stages.stage(spark, sf, "chart_messages", build)
 
 
+@query
+def content_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return charts.content_rejects(ingest.decode_messages(load(spark, sf, "chart_content_topic"), charts.CHART_BODY))
+
+
 def _contents(spark: SparkSession, sf: str) -> DataFrame:
     def build() -> DataFrame:
         return charts.content_messages(ingest.decode_messages(load(spark, sf, "chart_content_topic"), charts.CHART_BODY))
