@@ -92,16 +92,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_winnowing")
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = texts.withColumn("f", winnowing.fingerprint("text")).select("doc_id", "text", F.col("f.at").alias("at"), F.col("f.hash").alias("hash"))
-    both = winnowing.with_next(own, ["text", "hash"])
-    both = both.withColumn("edited", winnowing.edited(F.col("text"), F.col("next.text")))
-    both = both.withColumn("e", winnowing.fingerprint("edited"))
+    own = texts.withColumn("f", winnowing.fingerprint("text"))
+    both = winnowing.with_next(own, ["text", "f"])
+    both = both.select(
+        "doc_id", "text", "f", winnowing.edited(F.col("text"), F.col("next.text")).alias("edited"), F.col("next.f").alias("g"),
+        (F.length("text") - F.floor(F.length("text") / 2)).alias("keep"),
+    ).withColumn("e", winnowing.spliced("edited", "keep", "f", "g"))
     return both.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        winnowing.as_text(F.col("at"), F.col("hash")).alias("fingerprint"),
+        winnowing.as_text(F.col("f.at"), F.col("f.hash")).alias("fingerprint"),
         winnowing.as_text(F.col("e.at"), F.col("e.hash")).alias("edited_fingerprint"),
-        winnowing.likeness(F.col("hash"), F.col("e.hash")).alias("near_edited"),
-        winnowing.likeness(F.col("hash"), F.col("next.hash")).alias("near_next"),
+        winnowing.likeness(F.col("f.hash"), F.col("e.hash")).alias("near_edited"),
+        winnowing.likeness(F.col("f.hash"), F.col("g.hash")).alias("near_next"),
     )
 
 

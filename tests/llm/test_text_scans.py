@@ -198,6 +198,18 @@ def test_fingerprints_equal_brute_force(spark):
         assert got[i] == [(p, value[text[p:p + k]]) for p in sorted(chosen)]
 
 
+def test_spliced_fingerprints_equal_those_of_the_text(spark):
+    rng = random.Random(8)
+    texts = [t for t in winnowing_texts() if t is not None]
+    texts += ["".join(rng.choice("abcdefgh é😀 ") for _ in range(n)) for n in (1100, 1500, 2000, 2047, 5000, 90)] + ["ab" * 1500, "y" * 3000]
+    pairs = [(a, b, len(a) - len(a) // 2, a[:len(a) - len(a) // 2] + b[:len(a) // 2]) for a in texts for b in rng.sample(texts, 6) + [""]]
+    df = spark.createDataFrame(pairs, "a string, b string, keep int, edited string")
+    df = df.withColumn("f", winnowing.fingerprint("a")).withColumn("g", winnowing.fingerprint("b"))
+    both = df.select(F.length("edited").alias("n"), winnowing.fingerprint("edited").alias("x"), winnowing.spliced("edited", "keep", "f", "g").alias("y"))
+    assert both.where("n >= 1024").count() > 50
+    assert both.where("x <> y OR y IS NULL").count() == 0
+
+
 def test_a_shared_passage_shares_a_fingerprint(spark):
     rng = random.Random(9)
     noise = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
