@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from assetweave.operators import charts, ingest, profile, reconcile, status, upsert
@@ -123,11 +124,29 @@ def test_column_merge_keeps_unmentioned_columns(spark):
 
 def test_snapshot_merge_touches_only_needed_buckets(spark, tmp_path):
     path = str(tmp_path / "snapshot")
-    files.write_snapshot(spark.range(100).selectExpr("cast(id as string) row_key", "cast(id as string) v"), path, buckets=8)
-    incoming = spark.createDataFrame([("5", "new"), ("x", "add")], "row_key string, v string")
+    rows = spark.range(400).selectExpr("cast(id as string) row_key", "cast(id as string) v")
+    files.write_snapshot(rows, path, buckets=8)
+    written = list((tmp_path / "snapshot" / "version-0").rglob("part-*.parquet"))
+    assert len({f.name.split("-")[1] for f in written}) > 8  # more write tasks than buckets
+    incoming = spark.createDataFrame([("5", "new", 1), ("x", "add", 2)], "row_key string, v string, w int")
     assert 1 <= files.merge_snapshot(spark, path, incoming, buckets=8) <= 2
-    rows = {r["row_key"]: r["v"] for r in files.read_snapshot(spark, path).collect()}
-    assert rows == {**{str(n): str(n) for n in range(100)}, "5": "new", "x": "add"}
+    got = {r["row_key"]: (r["v"], r["w"]) for r in files.read_snapshot(spark, path).collect()}
+    assert got == {**{str(n): (str(n), None) for n in range(400)}, "5": ("new", 1), "x": ("add", 2)}
+    assert files.merge_snapshot(spark, path, incoming.limit(0), buckets=8) == 0
+
+
+def test_a_failed_snapshot_merge_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    files.write_snapshot(spark.createDataFrame([("a", "1")], "row_key string, v string"), path, buckets=4)
+    broken = spark.createDataFrame([("a", "2"), ("b", "x")], "row_key string, v string").selectExpr("row_key", "if(row_key = 'b', raise_error('no'), v) v")
+    with pytest.raises(Exception, match="no"):
+        files.merge_snapshot(spark, path, broken, buckets=4)
+    assert [tuple(r) for r in files.read_snapshot(spark, path).collect()] == [("a", "1")]
+    assert files.merge_snapshot(spark, path, spark.createDataFrame([("a", "3")], "row_key string, v string"), buckets=4) == 1
+    assert [tuple(r) for r in files.read_snapshot(spark, path).collect()] == [("a", "3")]
+    empty = str(tmp_path / "empty")
+    files.write_snapshot(spark.createDataFrame([], "row_key string, v string"), empty, buckets=4)
+    assert files.read_snapshot(spark, empty).count() == 0
 
 
 def test_first_rows_cuts_at_the_matched_limit(spark):
