@@ -275,6 +275,7 @@ register("table_profile", ASSETS, " UNION ALL ".join(
 
 register("write_status_counts", STEPPED, """SELECT status, count(*) AS messages FROM (SELECT status FROM step
     UNION ALL SELECT 'skipped_invalid_payload' FROM document WHERE reject_reason IS NOT NULL) GROUP BY status""")
+register("guarded_upsert_chunked", UPSERTED, f"SELECT row_key, {_q(FIELDS)} FROM upserted")
 register("guarded_upsert", UPSERTED, f"SELECT row_key, {_q(FIELDS)}, '2024-01-01 00:00:00' AS operate_time FROM upserted")
 
 

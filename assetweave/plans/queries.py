@@ -281,6 +281,13 @@ def guarded_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.guarded_upsert(documents, ingest.subset_fields(documents), operate_time="2024-01-01 00:00:00")
 
 
+@query
+def guarded_upsert_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table with keys of over 500 rows cut into chunks, as keys of over a million rows are by default."""
+    documents = stages.valid_documents(spark, sf)
+    return upsert.guarded_upsert(documents, ingest.subset_fields(documents), hot_rows=500)
+
+
 @query
 def column_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     stored = load(spark, sf, "asset_table").where(X.is_present(F.col("row_key")))

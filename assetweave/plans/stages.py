@@ -20,6 +20,11 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _stages[key]
 
 
+def forget() -> None:
+    """Build every stage anew from now on."""
+    _stages.clear()
+
+
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector topic with payload, error and resolved type."""
     def build() -> DataFrame:
