@@ -25,10 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from assetweave.llm.spans import HashTable, hash_spans
+from assetweave.llm.streams import Arrays, arrow_stream
 
 CACHED_WORDS = 500_000
 BLOCK = 1 << 18
@@ -426,9 +427,6 @@ def label_texts(labels: dict[int, str], ids: np.ndarray, bounds: np.ndarray) ->
     return [" ".join(t if None not in t else [x for x in t if x is not None]) for t in texts]
 
 
-Arrays = Iterator[pa.Array]
-
-
 def encode_column(spark: SparkSession, text: str | Column, path: str, end: int | None = None) -> Column:
     """Ids of a text column, as array<int>; with the id `end` at the end of each text if given."""
     shared = share(spark, path)
@@ -442,7 +440,7 @@ def encode_column(spark: SparkSession, text: str | Column, path: str, end: int |
                     ids, bounds = np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))
                 yield id_lists(ids, bounds)
 
-    return F.arrow_udf(_typed(encode), "array<int>")(text)
+    return arrow_stream(encode, "array<int>")(text)
 
 
 def decode_column(spark: SparkSession, ids: str | Column, path: str) -> Column:
@@ -457,7 +455,7 @@ def decode_column(spark: SparkSession, ids: str | Column, path: str) -> Column:
                 sizes = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 yield pa.array(label_texts(shared.value.labels, flat, np.append(0, np.cumsum(sizes))), pa.string())
 
-    return F.arrow_udf(_typed(decode), "string")(ids)
+    return arrow_stream(decode, "string")(ids)
 
 
 def round_trip_column(spark: SparkSession, text: str | Column, path: str) -> Column:
@@ -472,13 +470,7 @@ def round_trip_column(spark: SparkSession, text: str | Column, path: str) -> Col
                 texts = pa.array(label_texts(shared.value.labels, ids, bounds), pa.string())
                 yield pa.StructArray.from_arrays([id_lists(ids, bounds), texts], ["ids", "decoded"])
 
-    return F.arrow_udf(_typed(both), "struct<ids:array<int>,decoded:string>")(text)
-
-
-def _typed(function):
-    """The type hints that tell Spark that a function takes and gives a stream of arrays."""
-    function.__annotations__ = {"batches": Arrays, "return": Arrays}
-    return function
+    return arrow_stream(both, "struct<ids:array<int>,decoded:string>")(text)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", end: int | None = None) -> DataFrame:

@@ -32,8 +32,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     # A store leaves the memory of its executor when its part of a batch is done.
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",

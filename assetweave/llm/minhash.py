@@ -31,6 +31,7 @@ from assetweave.llm.components import components
 from assetweave.llm.scratch import land
 from assetweave.llm.shingles import WORDS, shingle_hashes, shingle_sets, text_words
 from assetweave.llm.spans import mix
+from assetweave.llm.streams import arrow_stream, give_back
 
 ROWS = 7
 BANDS = 50
@@ -95,8 +96,7 @@ def signature_column(text: str | Column, words: int = WORDS) -> Column:
                 [pa.array(c, f.type) for c, f in zip(columns, _SIGNATURE_TYPE)], fields=list(_SIGNATURE_TYPE)
             )
 
-    sign.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(sign, SIGNATURE)(text)
+    return arrow_stream(sign, SIGNATURE)(text)
 
 
 def set_column(text: str | Column, words: int = WORDS) -> Column:
@@ -110,8 +110,7 @@ def set_column(text: str | Column, words: int = WORDS) -> Column:
                 ["digest", "shingles"],
             )
 
-    sets.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(sets, "struct<digest:binary,shingles:binary>")(text)
+    return arrow_stream(sets, "struct<digest:binary,shingles:binary>")(text)
 
 
 def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -250,6 +249,7 @@ def near_groups(docs: DataFrame, percent: int = 85, words: int = WORDS) -> DataF
         rows = rows.sort_by("digest").combine_chunks()
         sets_ = _bytes(rows["shingles"], np.uint64)
         found = bucket_links(rows["digest"].to_pylist(), rows["component"].to_pylist(), _bytes(rows["signature"], np.uint8), sets_, percent)
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
 
     more = land(dealt.groupBy("key", "i", "j").applyInArrow(search, "a binary, b binary"), "more-links")

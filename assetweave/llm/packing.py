@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.llm.bpe import encode_column
 from assetweave.llm.scratch import land
+from assetweave.llm.streams import arrow_stream
 
 SHARD = 50_000
 ROUNDS = 50
@@ -195,8 +196,7 @@ def cut_column(ids: str | Column, capacity: int) -> Column:
                 at += size
             yield pa.array(rows, PIECE_TYPE)
 
-    cut.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(cut, PIECE)(ids)
+    return arrow_stream(cut, PIECE)(ids)
 
 
 PIECE_TYPE = pa.list_(pa.struct([

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from assetweave.llm.streams import arrow_stream
+
 # Kinds in their order, and the base patterns.
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -319,11 +321,10 @@ def fit_on(docs: DataFrame, most: int = MOST_WINDOWS) -> Model:
             rows = [[dict(zip(("window", "kind", "start", "end"), x)) for x in samples(t.as_py())] for t in batch]
             yield pa.array(rows, _SAMPLE_TYPE)
 
-    cut.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     some = docs.where(docs["text"].rlike("[0-9@]") & docs["doc_id"].isNotNull()).select(docs["doc_id"].alias("doc_id")).distinct()
     chosen = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(10 * most)
     texts = docs.select(docs["doc_id"], docs["text"]).join(F.broadcast(chosen), "doc_id")
-    found = texts.select(F.inline(F.arrow_udf(cut, _SAMPLE)("text"))).distinct()
+    found = texts.select(F.inline(arrow_stream(cut, _SAMPLE)("text"))).distinct()
     kinds = [found.where(F.col("kind") == "") if plain else found.where(F.col("kind") != "") for plain in (False, True)]
     rows = [r for part in kinds for r in part.orderBy(F.xxhash64("window"), "window", "start").limit(most).collect()]
     return train([tuple(r) for r in rows])
@@ -346,8 +347,7 @@ def spans_column(docs: DataFrame, text: str | Column, model: Model) -> Column:
                 ["base", "spans"],
             )
 
-    scan.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(scan, f"struct<base:{SPANS},spans:{SPANS}>")(text)
+    return arrow_stream(scan, f"struct<base:{SPANS},spans:{SPANS}>")(text)
 
 
 def scan(docs: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.llm.shingles import _BLANK, _LOWER
 from assetweave.llm.spans import hash_spans, mix
+from assetweave.llm.streams import arrow_stream
 
 MOST_RATED = 6000
 MOST_FEATURES = 20_000
@@ -153,8 +154,7 @@ def feature_column(text: str | Column, most: int = MOST_FEATURES) -> Column:
         for batch in batches:
             yield pa.array([features(t.as_py())[:most] for t in batch], pa.list_(pa.int32()))
 
-    hashed.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(hashed, "array<int>")(text)
+    return arrow_stream(hashed, "array<int>")(text)
 
 
 def train(docs: DataFrame, ratings: DataFrame, top: int, most: int = MOST_RATED) -> Model | None:
@@ -182,8 +182,7 @@ def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text:
                 [pa.array(tails.sum(axis=1)), pa.array(tails[:, keep_grade - 1])], ["expected_grade", "tail"]
             )
 
-    grade.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return docs.withColumn("quality", F.arrow_udf(grade, "struct<expected_grade:double,tail:double>")(docs[text]))
+    return docs.withColumn("quality", arrow_stream(grade, "struct<expected_grade:double,tail:double>")(docs[text]))
 
 
 TOP, KEEP_GRADE, KEEP_TAIL = 2, 2, 0.6

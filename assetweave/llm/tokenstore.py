@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from assetweave.llm.bpe import encode_column
 from assetweave.llm.scratch import partitions_for
+from assetweave.llm.streams import arrow_stream
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
@@ -35,8 +36,7 @@ def crc32_column(ids: str | Column) -> Column:
             ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)) * 4
             yield pa.array([zlib.crc32(data[i:j]) for i, j in zip([0, *ends.tolist()], ends.tolist())], pa.int64())
 
-    crc.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(crc, "bigint")(ids)
+    return arrow_stream(crc, "bigint")(ids)
 
 
 def write_tokens(
