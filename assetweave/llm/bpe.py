@@ -55,8 +55,9 @@ class Automaton:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            self.spec = file.read()
-        spec = json.loads(self.spec)
+            spec = json.load(file)
+        # The library's normalizer and splitter without its model, which the tables replace.
+        self.path, self.bare = path, json.dumps(spec | {"model": spec["model"] | {"vocab": {}, "merges": []}, "added_tokens": []})
         model, self.specials = spec["model"], {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
@@ -207,7 +208,7 @@ class Encoder:
 
     def __init__(self, automaton: Automaton):
         self.a = automaton
-        library = Tokenizer.from_str(automaton.spec)
+        library = Tokenizer.from_str(automaton.bare)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.special = regex.compile("(" + "|".join(map(regex.escape, automaton.specials)) + ")") if automaton.specials else None
         self.byte_of = byte_symbols()
@@ -385,10 +386,9 @@ _encoders: dict[str, Encoder] = {}
 def worker_encoder(shared) -> Encoder:
     """The encoder of this Python worker for a broadcast automaton."""
     automaton = shared.value
-    key = automaton.spec[:200] + str(len(automaton.spec))
-    if key not in _encoders:
-        _encoders[key] = Encoder(automaton)
-    return _encoders[key]
+    if automaton.path not in _encoders:
+        _encoders[automaton.path] = Encoder(automaton)
+    return _encoders[automaton.path]
 
 
 _shared: dict[tuple[str, str], object] = {}

@@ -6,9 +6,11 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 Arrays = Iterator[pa.Array]
+BATCH_ROWS = 1000
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def give_back() -> None:
@@ -21,6 +23,12 @@ def give_back() -> None:
         pass
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark send at most `BATCH_ROWS` texts to a Python worker at once, unless the session asks for less or more."""
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+
+
 def arrow_stream(function: Callable[[Arrays], Arrays], returns: str) -> Callable[..., Column]:
     """An Arrow UDF from a function of batches to batches."""
 
@@ -28,5 +36,6 @@ def arrow_stream(function: Callable[[Arrays], Arrays], returns: str) -> Callable
         yield from function(batches)
         give_back()
 
+    bound_batches(SparkSession.active())
     run.__annotations__ = {"batches": Arrays, "return": Arrays}
     return F.arrow_udf(run, returns)
