@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from assetweave.functions.payload import once
 from assetweave.llm import bpe, chat, exactdup, minhash, packing, pii, quality, secretscan, tokenstore, winnowing
 from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
@@ -92,14 +93,16 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_winnowing")
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = texts.withColumn("f", winnowing.fingerprint("text"))
+    own = once(texts, "f", winnowing.fingerprint("text"))
     both = winnowing.with_next(own, ["text", "f"])
     both = both.select(
         "doc_id", "text", "f", winnowing.edited(F.col("text"), F.col("next.text")).alias("edited"), F.col("next.f").alias("g"),
         (F.length("text") - F.floor(F.length("text") / 2)).alias("keep"),
-    ).withColumn("e", winnowing.spliced("edited", "keep", "f", "g"))
+    )
+    # Generated columns: every use of a plain one would evaluate the fingerprint again.
+    both = once(once(both, "whole", F.col("edited")), "e", winnowing.spliced("whole", "keep", "f", "g"))
     return both.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("whole", 256).alias("edited_sha256"),
         winnowing.as_text(F.col("f.at"), F.col("f.hash")).alias("fingerprint"),
         winnowing.as_text(F.col("e.at"), F.col("e.hash")).alias("edited_fingerprint"),
         winnowing.likeness(F.col("f.hash"), F.col("e.hash")).alias("near_edited"),
