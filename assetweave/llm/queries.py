@@ -93,8 +93,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_winnowing")
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = once(texts, "f", winnowing.fingerprint("text"))
-    both = winnowing.with_next(own, ["text", "f"])
+    both = winnowing.with_next(texts, ["text", "f"], lambda df: once(df, "f", winnowing.fingerprint("text")))
     both = both.select(
         "doc_id", "text", "f", winnowing.edited(F.col("text"), F.col("next.text")).alias("edited"), F.col("next.f").alias("g"),
         (F.length("text") - F.floor(F.length("text") / 2)).alias("keep"),
