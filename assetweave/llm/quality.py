@@ -2,8 +2,10 @@
 
 One weight vector over hashed text features gives a score; ordered thresholds cut it into grades:
 P(grade <= j) = sigmoid(threshold_j - score). From these come the expected grade and the tail probability of the grade
-that is asked for. Features of a text are its distinct words without punctuation, and bins of a few shares (symbols,
-capitals, distinct words, repeated words), all hashed into 2^FEATURE_BITS weights.
+that is asked for. Features of a text are its distinct words without punctuation, bins of a few shares (symbols, capitals,
+distinct words, repeated words), and the beginnings of `STEM` characters that at least two of its words have, with the
+levels of `STEM_SHARES` that their share of the words reaches: they show families of words whose forms are each rare.
+Words and bins are hashed into 2^FEATURE_BITS weights, beginnings into as many others.
 
 The model is fitted on the driver on at most `MOST_RATED` rated texts, those with the smallest hashes of their doc_id; each
 is at most `MOST_FEATURES` numbers there (all its features are used when it is scored). Scoring is one scan without a shuffle.
@@ -29,6 +31,9 @@ from assetweave.llm.streams import arrow_stream
 MOST_RATED = 6000
 MOST_FEATURES = 20_000
 FEATURE_BITS = 18
+WEIGHTS = 2 << FEATURE_BITS  # of words and bins, then of word beginnings
+STEM = 5  # characters of a word's beginning
+STEM_SHARES = (0.005, 0.01)
 LEAST_TEXTS = 5  # a feature of fewer rated texts has no weight
 SCREEN = 4  # standard deviations
 PART = 1 << 20
@@ -53,7 +58,7 @@ def _bin(kind: int, share: float, edges: tuple[float, ...]) -> int:
 
 def features(text: str | None) -> np.ndarray:
     """Distinct hashed features of a text, sorted."""
-    found, words, symbols, upper, letters, again, size = [], [], 0, 0, 0, 0, 0
+    found, words, begun, symbols, upper, letters, again, size = [], [], [], 0, 0, 0, 0, 0
     for part in _parts((text or "").encode()):
         data = np.frombuffer(part, np.uint8)
         inside = np.concatenate([[False], ~_BLANK[data], [False]])
@@ -64,6 +69,7 @@ def features(text: str | None) -> np.ndarray:
         letters_in = np.concatenate([[False], _WORD[data], [False]])
         turns = np.flatnonzero(letters_in[1:] != letters_in[:-1])
         found.append(np.unique(hash_spans(lower, turns[::2], turns[1::2])))
+        begun.append(_beginnings(data, lower, turns[::2], turns[1::2]))
         words.append(np.unique(hashes))
         again += int((hashes[1:] == hashes[:-1]).sum())
         symbols += int((~_KEEPS[data]).sum())
@@ -78,7 +84,24 @@ def features(text: str | None) -> np.ndarray:
         _bin(3, distinct / total, (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)), _bin(4, again / total, fine), _bin(5, float(size), (1, 5, 10, 30, 100, 1000, 10000)),
     ]
     found.append(mix(np.array(bins, np.uint64) + np.uint64(1 << 40)))
-    return np.unique((np.concatenate(found) >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
+    plain = np.unique((np.concatenate(found) >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
+    return np.concatenate([plain, _levels(begun, total) + np.int32(1 << FEATURE_BITS)])
+
+
+def _beginnings(data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the beginnings of the words of at least STEM characters, and their counts."""
+    places = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where characters start
+    first, after = np.searchsorted(places, starts), np.searchsorted(places, ends)
+    long = after - first >= STEM
+    return np.unique(hash_spans(lower, starts[long], places[first[long] + STEM]), return_counts=True)
+
+
+def _levels(begun: list[tuple[np.ndarray, np.ndarray]], total: int) -> np.ndarray:
+    """Hashed features of the beginnings of two words or more: one for each share they reach."""
+    stems, place = np.unique(np.concatenate([h for h, _ in begun]), return_inverse=True)
+    counts = np.bincount(place, np.concatenate([c for _, c in begun]), len(stems))
+    reached = [mix(stems[(counts >= 2) & (counts >= share * total)] + np.uint64(k)) for k, share in enumerate(STEM_SHARES)]
+    return np.unique((np.concatenate(reached) >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
 
 
 @dataclass
@@ -93,7 +116,7 @@ class Model:
 
 def screened(column: np.ndarray, row: np.ndarray, grades: np.ndarray, top: int) -> np.ndarray:
     """Features of enough texts that go with one of the grade borders more than chance would make them."""
-    count = np.bincount(column, minlength=1 << FEATURE_BITS)
+    count = np.bincount(column, minlength=WEIGHTS)
     strength = np.zeros(len(count))
     for border in range(1, top + 1):
         above = (grades >= border).astype(float)
@@ -111,7 +134,7 @@ def fit(texts: list[np.ndarray], grades: np.ndarray, top: int) -> Model | None:
     sizes = np.array([len(t) for t in texts])
     column, row = np.concatenate(texts), np.repeat(np.arange(len(texts)), sizes)
     known = screened(column, row, grades, top)
-    number = np.full(1 << FEATURE_BITS, -1, np.int64)
+    number = np.full(WEIGHTS, -1, np.int64)
     number[known] = np.arange(len(known))
     use = number[column] >= 0
     column, row = number[column[use]], row[use]
@@ -138,8 +161,8 @@ def fit(texts: list[np.ndarray], grades: np.ndarray, top: int) -> Model | None:
         by_cut = np.cumsum(by_threshold[::-1])[::-1] * np.concatenate([[1.0], np.exp(cuts[1:])])
         slope = np.concatenate([rarity * np.bincount(column, by_score[row], len(known)) + RIDGE * weights, by_cut])
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
-        params = params - RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    full = np.zeros(1 << FEATURE_BITS, np.float32)
+        params = params - RATE * (1 - (step - 1) / STEPS) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    full = np.zeros(WEIGHTS, np.float32)
     full[known] = params[:len(known)] * rarity
     cuts = params[len(known):]
     return Model(full, np.cumsum(np.concatenate([cuts[:1], np.exp(cuts[1:])])))
@@ -171,7 +194,7 @@ def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text:
     """All columns, and struct `quality`: expected_grade and tail, the probability of `keep_grade` or better."""
     if model is None:
         return docs.withColumn("quality", F.struct(F.lit(float(top)).alias("expected_grade"), F.lit(1.0).alias("tail")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^FEATURE_BITS weights: 1 MB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB of weights
 
     def grade(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value

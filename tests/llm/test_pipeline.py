@@ -31,6 +31,31 @@ def test_classifier_on_held_out_ratings():
     assert shown[grades[cut:] == 0].mean() < shown[grades[cut:] == 1].mean() < shown[grades[cut:] == 2].mean()
 
 
+def test_classifier_finds_toxic_texts_of_all_languages():
+    found = duckdb.sql(
+        "SELECT d.text, CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END, lang FROM '/root/testdata/sf0.1/documents.parquet' d "
+        "JOIN '/root/testdata/sf0.1/labels.parquet' l USING (doc_id) ORDER BY hash(doc_id)"
+    ).fetchall()
+    texts, grades, lang = [quality.features(t) for t, _, _ in found], np.array([g for _, g, _ in found]), np.array([l for *_, l in found])
+    cut = 2600
+    model = quality.fit(texts[:cut], grades[:cut], 2)
+    kept = model.tails(np.array([model.weights[t].sum() for t in texts[cut:]]))[:, 1] >= quality.KEEP_TAIL
+    toxic, lang = grades[cut:] == 1, lang[cut:]
+    assert kept[toxic].mean() < 0.2
+    for one in ("en", "de", "fr", "es"):
+        assert kept[toxic & (lang == one)].mean() < 0.3
+        assert kept[(grades[cut:] == 2) & (lang == one)].mean() > 0.98
+
+
+def test_beginnings_count_words_of_one_family():
+    def beginnings(text):
+        return {int(f) for f in quality.features(text) if f >= 1 << quality.FEATURE_BITS}
+
+    assert beginnings("réêabc x réêabd y") == beginnings("réêabe u réêabf v") != set()
+    assert beginnings("réêabc x y") == set() == beginnings("réêa réêa")
+    assert len(beginnings("abcdea abcdeb " + "x " * 300)) == 1
+
+
 def test_gradient_follows_the_likelihood(monkeypatch):
     monkeypatch.setattr(quality, "RIDGE", 0.0)
     monkeypatch.setattr(quality, "SCREEN", 0.0)
