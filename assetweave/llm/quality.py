@@ -7,8 +7,8 @@ distinct words, repeated words), and the beginnings of `STEM` characters that at
 levels of `STEM_SHARES` that their share of the words reaches: they show families of words whose forms are each rare.
 Words and bins are hashed into 2^FEATURE_BITS weights, beginnings into as many others.
 
-The model is fitted on the driver on at most `MOST_RATED` rated texts, those with the smallest hashes of their doc_id; each
-is at most `MOST_FEATURES` numbers there (all its features are used when it is scored). Scoring is one scan without a shuffle.
+The model is fitted on the driver on at most `MOST_RATED` rated texts, those with the smallest hashes of their doc_id, with
+all their features; a text has at most as many as there are weights. Scoring is one scan without a shuffle.
 
 Defined results: null and empty texts have no words, and are scored by their bins alone; rows without a rating grade
 or doc_id are not used to fit; of several ratings of a document the lowest counts; with fewer than two grades among
@@ -29,7 +29,6 @@ from assetweave.llm.spans import hash_spans, mix
 from assetweave.llm.streams import arrow_stream
 
 MOST_RATED = 6000
-MOST_FEATURES = 20_000
 FEATURE_BITS = 18
 WEIGHTS = 2 << FEATURE_BITS  # of words and bins, then of word beginnings
 STEM = 5  # characters of a word's beginning
@@ -114,15 +113,16 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
-def screened(column: np.ndarray, row: np.ndarray, grades: np.ndarray, top: int) -> np.ndarray:
+def screened(texts: list[np.ndarray], grades: np.ndarray, top: int) -> np.ndarray:
     """Features of enough texts that go with one of the grade borders more than chance would make them."""
-    count = np.bincount(column, minlength=WEIGHTS)
-    strength = np.zeros(len(count))
+    by_grade = np.zeros((top + 1, WEIGHTS))
+    for text, grade in zip(texts, grades):
+        by_grade[grade, text] += 1  # the features of a text are distinct
+    count, strength = by_grade.sum(axis=0), np.zeros(WEIGHTS)
     for border in range(1, top + 1):
-        above = (grades >= border).astype(float)
-        share = above.mean()
+        share = (grades >= border).mean()
         if 0 < share < 1:
-            excess = np.bincount(column, above[row], len(count)) - count * share
+            excess = by_grade[border:].sum(axis=0) - count * share
             strength = np.maximum(strength, np.abs(excess) / np.sqrt(np.maximum(count, 1) * share * (1 - share)))
     return np.flatnonzero((count >= LEAST_TEXTS) & (strength >= SCREEN))
 
@@ -131,13 +131,11 @@ def fit(texts: list[np.ndarray], grades: np.ndarray, top: int) -> Model | None:
     """Maximum likelihood with a ridge, by Adam on all texts at once; None if there are fewer than two grades."""
     if len(np.unique(grades)) < 2:
         return None
-    sizes = np.array([len(t) for t in texts])
-    column, row = np.concatenate(texts), np.repeat(np.arange(len(texts)), sizes)
-    known = screened(column, row, grades, top)
-    number = np.full(WEIGHTS, -1, np.int64)
+    known = screened(texts, grades, top)
+    number = np.full(WEIGHTS, -1, np.int32)
     number[known] = np.arange(len(known))
-    use = number[column] >= 0
-    column, row = number[column[use]], row[use]
+    texts = [n[n >= 0] for n in (number[t] for t in texts)]
+    column, row = np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     # Rare features count for more, so that common words do not outweigh them in long texts.
     rarity = np.log(len(texts) / np.bincount(column, minlength=len(known)).clip(1)) + 0.1
     share = np.array([(grades <= j).mean() for j in range(top)]).clip(1e-3, 1 - 1e-3)
@@ -172,10 +170,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def feature_column(text: str | Column, most: int = MOST_FEATURES) -> Column:
+def feature_column(text: str | Column) -> Column:
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([features(t.as_py())[:most] for t in batch], pa.list_(pa.int32()))
+            yield pa.array([features(t.as_py()) for t in batch], pa.list_(pa.int32()))
 
     return arrow_stream(hashed, "array<int>")(text)
 
@@ -187,7 +185,7 @@ def train(docs: DataFrame, ratings: DataFrame, top: int, most: int = MOST_RATED)
     texts = docs.select(docs["doc_id"], docs["text"]).join(F.broadcast(chosen), "doc_id")
     rows = texts.select("doc_id", "grade", feature_column("text").alias("features")).toArrow().sort_by("doc_id")
     grades = np.clip(rows["grade"].to_numpy().astype(np.int64), 0, top)
-    return fit([np.array(x.values) if x.values is not None else np.zeros(0, np.int32) for x in rows["features"]], grades, top)
+    return fit([x.values.to_numpy() if x.values is not None else np.zeros(0, np.int32) for x in rows["features"]], grades, top)
 
 
 def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text: str = "text") -> DataFrame:

@@ -76,6 +76,12 @@ def test_long_texts_have_the_features_of_all_their_parts(monkeypatch):
     assert set(quality.features(text)) == set(whole)
 
 
+def test_rated_texts_are_fitted_with_all_their_features(docs):
+    text = " ".join(f"w{i}" for i in range(30_000))
+    row = docs([(1, text)]).select(quality.feature_column("text").alias("features")).first()
+    assert row["features"] == quality.features(text).tolist() and len(row["features"]) > 20_000
+
+
 def test_classifier_without_ratings_nulls_and_nothing(spark, docs):
     rows = docs([(1, "a b c"), (2, None), (2, None), (None, "")])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
