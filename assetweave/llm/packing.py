@@ -1,11 +1,13 @@
 """Packing of documents into sequences: best fit, then a local search by swaps.
 
 Documents longer than a sequence are cut into full pieces and a last one. Full pieces are sequences of their own. All other
-pieces are dealt out by a hash into shards of about `SHARD` pieces, each packed by one task, so a shard costs at most
-its last sequence. In a shard, best-fit decreasing gives a first packing. The search then takes the emptiest bins as
-donors. Every other underfull bin exchanges none, one or two of its pieces for one or two larger ones of the donors (moves,
-one for one, one for two, two for one), if that brings it closest to full. Each exchange raises the sum of squared
-fills, and the donors' rest is packed again into fewer bins; it ends when no bin gets empty any more.
+pieces are dealt out by a hash into shards of about `SHARD` pieces, each packed by one task. In a shard, best-fit
+decreasing gives a first packing. The search then takes the emptiest bins as donors. Every other underfull bin exchanges
+none, one or two of its pieces for one or two larger ones of the donors (moves, one for one, one for two, two for one),
+if that brings it closest to full. Each exchange raises the sum of squared fills, and the donors' rest is packed again
+into fewer bins. A round that saves no bin is undone, and the next share of `DONORS` is tried; the search ends at the
+lower bound, or when no share saves a bin. The underfull bins of all shards are then dealt out anew, whole, and
+searched once more.
 
 Defined results: a null or empty text is a piece of its end id alone; repeated rows are packed each; an empty table
 gives no rows; ties go to the smaller piece number. Offsets in a sequence are gapless.
@@ -26,8 +28,7 @@ from assetweave.llm.scratch import land
 from assetweave.llm.streams import arrow_stream
 
 SHARD = 50_000
-ROUNDS = 50
-DONORS = 0.03  # share of the underfull bins that give their pieces away in a round
+DONORS = (0.03, 0.1, 0.01, 0.3)  # shares of the underfull bins that give their pieces away in a round
 
 
 class Pool:
@@ -92,7 +93,8 @@ def improve(pool: Pool, bin_: list[int], length: np.ndarray, room: int) -> int:
         sizes = sorted({(int(length[p]), p) for p in bin_})
         by_size = dict((s, p) for s, p in reversed(sizes))
         singles = list(by_size)
-        outs = [()] + [(s,) for s in singles] + [(a, b) for i, a in enumerate(singles) for b in singles[i + 1:]][:40]
+        pairs = {a + b: (a, b) for i, a in enumerate(singles) for b in singles[i + 1:]}  # only their sum counts
+        outs = [()] + [(s,) for s in singles] + list(pairs.values())
         best = (0, (), ())
         for out in outs:
             given = sum(out)
@@ -116,35 +118,34 @@ def improve(pool: Pool, bin_: list[int], length: np.ndarray, room: int) -> int:
     return room
 
 
-def pack_lengths(length: np.ndarray, capacity: int) -> list[list[int]]:
-    """Bins of piece numbers, each of at most `capacity` in total."""
-    everything = list(range(len(length)))
-    bins = best_fit(length.tolist(), everything, capacity)
+def pack_lengths(length: np.ndarray, capacity: int, bins: list[list[int]] | None = None) -> list[list[int]]:
+    """Bins of piece numbers, each of at most `capacity` in total; the search starts from `bins` if they are given."""
+    bins = best_fit(length.tolist(), list(range(len(length))), capacity) if bins is None else bins
     least = -(-int(length.sum()) // capacity)
-    for _ in range(ROUNDS):
-        if len(bins) <= least:
-            break
-        rooms = np.array([capacity - int(length[b].sum()) for b in bins])
-        order = np.argsort(-rooms, kind="stable")
-        under = order[rooms[order] > 0]
-        count = max(2, int(len(under) * DONORS), len(bins) - least)
-        donors = set(under[:count].tolist())
-        before, pool = [list(b) for b in bins], Pool(capacity)
-        for d in sorted(donors):
-            for piece in bins[d]:
-                pool.put(int(length[piece]), piece)
-        for b in under[count:][::-1].tolist():
-            improve(pool, bins[b], length, int(rooms[b]))
-        rest = [p for size in sorted(pool.ids) for p in pool.ids[size]]
-        again = best_fit(length[rest].tolist(), rest, capacity)
-        if len(again) > len(donors):
-            return before
-        bins = [b for i, b in enumerate(bins) if i not in donors] + again
-        if len(again) == len(donors):
-            break
+    tried = 0
+    while len(bins) > least and tried < len(DONORS):
+        fewer = exchanged(bins, length, capacity, len(bins) - least if tried == 0 else 2, DONORS[tried])
+        bins, tried = (fewer, 0) if len(fewer) < len(bins) else (bins, tried + 1)
     return bins
 
 
+def exchanged(bins: list[list[int]], length: np.ndarray, capacity: int, fewest: int, share: float) -> list[list[int]]:
+    """The bins after one round of exchanges with a share of the underfull ones, at least `fewest`."""
+    rooms = np.array([capacity - int(length[b].sum()) for b in bins])
+    order = np.argsort(-rooms, kind="stable")
+    under = order[rooms[order] > 0]
+    count = max(2, int(len(under) * share), fewest)
+    donors = set(under[:count].tolist())
+    bins, pool = [list(b) for b in bins], Pool(capacity)
+    for d in sorted(donors):
+        for piece in bins[d]:
+            pool.put(int(length[piece]), piece)
+    for b in under[count:][::-1].tolist():
+        improve(pool, bins[b], length, int(rooms[b]))
+    rest = [p for size in sorted(pool.ids) for p in pool.ids[size]]
+    return [b for i, b in enumerate(bins) if i not in donors] + best_fit(length[rest].tolist(), rest, capacity)
+
+
 def pack(pieces: DataFrame, capacity: int, length: str = "length", shard: int = SHARD) -> DataFrame:
     """Add `sequence_id` and `offset` to pieces of at most `capacity`; other columns are kept.
 
@@ -157,20 +158,40 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", shard: int =
     short = pieces.where(F.col(length) < capacity)
     shards = max(1, -(-short.count() // shard))
 
-    def one(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_place")
-        lengths = rows[length].to_numpy().astype(np.int64)
-        sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        for number, bin_ in enumerate(pack_lengths(lengths, capacity)):
-            sequence[bin_] = number
-            offset[bin_] = np.cumsum(lengths[bin_]) - lengths[bin_]
-        sequence += rows["_shard"].to_numpy().astype(np.int64) << 32
-        out = rows.select(schema.names)
-        return out.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+    def packed_by(first_shard: int, again: bool):
+        def one(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("_place")
+            lengths = rows[length].to_numpy().astype(np.int64)
+            start = None
+            if again:
+                order = np.argsort(rows["sequence_id"].to_numpy(), kind="stable")
+                turns = np.flatnonzero(np.diff(rows["sequence_id"].to_numpy()[order])) + 1
+                start = [b.tolist() for b in np.split(order, turns)]
+            sequence, offset, room = (np.zeros(len(rows), np.int64) for _ in range(3))
+            for number, bin_ in enumerate(pack_lengths(lengths, capacity, start)):
+                sequence[bin_] = number
+                offset[bin_] = np.cumsum(lengths[bin_]) - lengths[bin_]
+                room[bin_] = capacity - lengths[bin_].sum()
+            sequence += (rows["_shard"].to_numpy().astype(np.int64) + first_shard) << 32
+            out = rows.select([*schema.names, "_place"])
+            for name, values in (("_room", room), ("sequence_id", sequence), ("offset", offset)):
+                out = out.append_column(name, pa.array(values))
+            return out
+
+        return one
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    names += ", _place long, _room long, sequence_id long, offset long"
     dealt = short.withColumn("_place", place).withColumn("_shard", F.pmod("_place", F.lit(shards)))
-    packed = dealt.groupBy("_shard").applyInArrow(one, f"{names}, sequence_id long, offset long")
+    packed = dealt.groupBy("_shard").applyInArrow(packed_by(0, False), names)
+    if shards > 1:
+        packed = land(packed, "packed")
+        under = packed.where("_room > 0")
+        anew = max(1, -(-under.count() // shard))
+        under = under.drop("_room", "offset").withColumn("_shard", F.pmod(F.xxhash64("sequence_id"), F.lit(anew)))
+        again = under.groupBy("_shard").applyInArrow(packed_by(shards, True), names)
+        packed = packed.where("_room = 0").unionByName(again)
+    packed = packed.drop("_place", "_room")
     full = pieces.where(F.col(length) >= capacity)
     alone = full.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
     return packed.unionByName(alone)

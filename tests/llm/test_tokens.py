@@ -180,3 +180,19 @@ def test_packing_in_many_shards_keeps_repeated_rows(spark, docs):
     for r in rows:
         fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
     assert max(fill.values()) <= 32
+
+
+def test_bins_with_many_lengths_exchange_any_pair():
+    length = np.array([*range(1, 14), 150, 28])  # with a room of 3, 28 takes the place of 12 and 13 only
+    pool, bin_ = packing.Pool(400), list(range(14))
+    pool.put(28, 14)
+    assert packing.improve(pool, bin_, length, 3) == 0 and 14 in bin_
+
+
+def test_underfull_bins_of_all_shards_are_searched_again(spark):
+    df = spark.createDataFrame([(i, 40 + 20 * (i % 2)) for i in range(400)], "id long, length long")
+    rows = packing.pack(df, 100, shard=100).collect()
+    fill = {}
+    for r in rows:
+        fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
+    assert len({r["id"] for r in rows}) == len(rows) == 400 and set(fill.values()) == {100}
