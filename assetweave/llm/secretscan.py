@@ -2,8 +2,9 @@
 
 Candidates are the matches of three base patterns (assignments to a key word, access ids, long hex strings) and of one
 loose pattern, long strings of mixed letters and digits. The hashes of their values are counted over the whole corpus
-by distinct repositories and owners. A value of many owners is an example that was copied widely; a value that few
-owners have, in few repositories, is a live-looking credential. Base spans are always reported, whatever their
+by distinct repositories and owners. A value of many owners, or of several owners in many repositories, is an example
+that was copied widely; a value that few owners have, in few repositories or all in those of one owner, is a live-looking
+credential. Base spans are always reported, whatever their
 label; of the loose candidates only live-looking ones are, as kind `owned`.
 
 Values are counted after distinct (value, owner, repository) rows were made, so a value that fills a third of the corpus is
@@ -28,6 +29,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 LOOSE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,200}(?![A-Za-z0-9+/_-])"
 MANY_OWNERS = 5
+MANY_REPOSITORIES = 10  # of two owners or more
 KINDS = ("assign", "access", "hex", "owned")
 
 
@@ -51,7 +53,7 @@ def ownership(candidates: DataFrame, value: str = "value", owner: str = "owner",
 
 
 def scan(docs: DataFrame, text: str = "text", owner: Column | None = None, repository: Column | None = None, many_owners: int = MANY_OWNERS) -> DataFrame:
-    """(doc_id, base, spans): sorted arrays of (start, order, end, kind, label) in code points.
+    """(doc_id, base, spans): sorted arrays of (start, order, end, kind, label, owners, repositories) in code points.
 
     The label is `live` or `example`. The source of a document is its owner, source and language its repository, unless
     other columns are given.
@@ -74,10 +76,12 @@ def scanned(
     ), "secret-candidates")
     rows = found.where(F.size("found") > 0).select("number", "owner", "repository", F.inline("found"))
     owners = ownership(rows)
-    label = F.when(F.col("owners") >= many_owners, "example").otherwise("live")
-    labelled = rows.join(owners, "value").select("number", F.struct("start", "order", "end", "kind", label.alias("label")).alias("span"))
+    spread = (F.col("owners") >= 2) & (F.col("repositories") >= MANY_REPOSITORIES)
+    label = F.when((F.col("owners") >= many_owners) | spread, "example").otherwise("live")
+    span = F.struct("start", "order", "end", "kind", label.alias("label"), "owners", "repositories")
+    labelled = rows.join(owners, "value").select("number", span.alias("span"))
     again = labelled.groupBy("number").agg(F.array_sort(F.collect_list("span")).alias("all"))
-    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,label:string>>")
+    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,label:string,owners:bigint,repositories:bigint>>")
     both = found.select("number", "row").join(again, "number", "left").withColumn("all", F.coalesce("all", none))
     return both.select(
         "row", F.filter("all", lambda s: s["order"] < 3).alias("base"),

@@ -247,3 +247,11 @@ def test_next_document_with_ties_nulls_and_one_row(spark, docs):
     one = docs([(1, "x")]).select("doc_id", "text")
     assert winnowing.with_next(one, ["text"]).first()["next"]["text"] == "x"
     assert winnowing.with_next(docs([]).select("doc_id", "text"), ["text"]).count() == 0
+
+
+def test_a_value_in_many_repositories_of_few_owners_is_an_example(spark):
+    copied, own = "AKIA" + "Q" * 16, "AKIA" + "R" * 16
+    rows = [(i, copied, f"owner{i % 4}", f"part{i % 3}") for i in range(12)] + [(90 + i, own, "owner0", f"part{i}") for i in range(12)]
+    found = secretscan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    spans = {r["doc_id"]: [(s["label"], s["owners"], s["repositories"]) for s in r["spans"]] for r in found}
+    assert spans[3] == [("example", 4, 12)] and spans[90] == [("live", 1, 12)]
