@@ -27,7 +27,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run of 24 or more is the whole run, as [0-9a-f]+ finds it
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-LOOSE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,200}(?![A-Za-z0-9+/_-])"
+LOOSE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])"
 MANY_OWNERS = 5
 MANY_REPOSITORIES = 10  # of two owners or more
 KINDS = ("assign", "access", "hex", "owned")

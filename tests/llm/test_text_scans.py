@@ -255,3 +255,9 @@ def test_a_value_in_many_repositories_of_few_owners_is_an_example(spark):
     found = secretscan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
     spans = {r["doc_id"]: [(s["label"], s["owners"], s["repositories"]) for s in r["spans"]] for r in found}
     assert spans[3] == [("example", 4, 12)] and spans[90] == [("live", 1, 12)]
+
+
+def test_bare_long_credentials_are_candidates(docs):
+    long = "Zx9kQ4" * 57
+    found = secretscan.scan(docs([(1, f"signed {long} here")])).first()["spans"]
+    assert [(s["start"], s["end"], s["kind"], s["label"]) for s in found] == [(7, 7 + len(long), "owned", "live")]
