@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assetweave.functions.payload import once
-from assetweave.llm import bpe, chat, exactdup, minhash, packing, pii, quality, secretscan, tokenstore, winnowing
+from assetweave.llm import (
+    bpe, centroids, chat, codes, exactdup, minhash, packing, pii, quality, secretscan, templates, tokenstore, winnowing,
+)
 from assetweave.llm.matches import joined
 from assetweave.llm.scratch import new_folder
 
@@ -192,3 +194,104 @@ r AS (
 ), c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM m JOIN c ON m.rep = c.id
 """
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE = 16, 64, 2, 256
+
+
+@query("op11_vector_codes")
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(embeddings(spark, sf_dir), CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE)
+    done = codes.with_label_error(coded).withColumn("codebooks_sha256", F.lit(codes.digest(books)))
+    return done.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql() -> str:
+    """Codebooks as rows (part, entry, components); each round assigns all parts and moves the entries."""
+    steps = [f"""
+x AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+        list_transform(embedding, lambda c: floor({CODE_SCALE} * c::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), p AS MATERIALIZED (
+    SELECT r, vec_id, label, part, list_slice(v, part * (len(v) // {CODE_PARTS}) + 1, (part + 1) * (len(v) // {CODE_PARTS})) AS q
+    FROM x, range({CODE_PARTS}) AS parts(part)
+), b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, q AS c FROM p WHERE r <= {CODE_ENTRIES})"""]
+    for turn in range(CODE_ROUNDS + 1):
+        steps.append(f"""
+a{turn} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label, part, any_value(q) AS q,
+        min({{'d': list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'entry': entry}}) AS m
+    FROM p JOIN b{turn} USING (part) GROUP BY r, part
+)""")
+        if turn < CODE_ROUNDS:
+            steps.append(f"""
+s{turn} AS (
+    SELECT part, entry, i, (sum(q[i]) - ((sum(q[i]) % count(*)) + count(*)) % count(*)) // count(*) AS c FROM (SELECT part, m.entry AS entry, q, unnest(range(1, len(q) + 1)) AS i FROM a{turn})
+    GROUP BY part, entry, i
+), n{turn} AS (SELECT part, entry, list(c::BIGINT ORDER BY i) AS c FROM s{turn} GROUP BY part, entry
+), b{turn + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n.c, b.c) AS c FROM b{turn} b LEFT JOIN n{turn} n USING (part, entry))""")
+    steps.append(f"""
+t AS (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label,
+        string_agg(lower(printf('%02x', m.entry)), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error
+    FROM a{CODE_ROUNDS} GROUP BY r
+), h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{CODE_ROUNDS})""")
+    return "WITH" + ",".join(steps) + """
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM t, h
+"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql()
+
+
+CLUSTERS, CLUSTER_ROUNDS, CLUSTER_SIZE, CLUSTER_SCALE, CLUSTER_SEED = 8, 10, 64, 1024, 3
+
+
+@query("op13_centroids")
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embeddings(spark, sf_dir)
+    return centroids.report(centroids.cluster(rows, CLUSTERS, CLUSTER_ROUNDS, CLUSTER_SIZE, CLUSTER_SCALE, CLUSTER_SEED), rows)
+
+
+def _centroids_sql() -> str:
+    steps = [f"""
+x AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('{CLUSTER_SEED}:' || coalesce(vec_id::VARCHAR, 'null')), vec_id, embedding) AS r, vec_id,
+        list_transform(embedding, lambda c: floor({CLUSTER_SCALE} * c::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = {CLUSTER_SIZE} AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), c0 AS MATERIALIZED (SELECT (r - 1)::INTEGER AS k, v AS c FROM x WHERE r <= {CLUSTERS})"""]
+    for turn in range(CLUSTER_ROUNDS + 1):
+        steps.append(f"""
+a{turn} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v,
+        min({{'d': list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'k': k}}) AS m
+    FROM x, c{turn} GROUP BY r
+)""")
+        if turn < CLUSTER_ROUNDS:
+            steps.append(f"""
+s{turn} AS (
+    SELECT k, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS c
+    FROM (SELECT m.k AS k, v, unnest(range(1, {CLUSTER_SIZE} + 1)) AS i FROM a{turn}) GROUP BY k, i
+), n{turn} AS (SELECT k, list(c::BIGINT ORDER BY i) AS c FROM s{turn} GROUP BY k
+), c{turn + 1} AS MATERIALIZED (SELECT k, coalesce(n.c, b.c) AS c FROM c{turn} b LEFT JOIN n{turn} n USING (k))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, m.k AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia,
+    (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{CLUSTER_ROUNDS} JOIN c{CLUSTER_ROUNDS} ON m.k = c{CLUSTER_ROUNDS}.k
+"""
+
+
+ORACLES["op13_centroids"] = _centroids_sql()
+
+
+@query("op12_main_text")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -39,3 +39,15 @@ def arrow_stream(function: Callable[[Arrays], Arrays], returns: str) -> Callable
     bound_batches(SparkSession.active())
     run.__annotations__ = {"batches": Arrays, "return": Arrays}
     return F.arrow_udf(run, returns)
+
+
+def arrow_streams(function: Callable[[Iterator[tuple[pa.Array, ...]]], Arrays], returns: str) -> Callable[..., Column]:
+    """The same for functions of several columns, which take batches of tuples."""
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Arrays:
+        yield from function(batches)
+        give_back()
+
+    bound_batches(SparkSession.active())
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Arrays}
+    return F.arrow_udf(run, returns)
