@@ -18,6 +18,7 @@ WITHDRAW_WORDS = ("withdraw", "offline", "down", "delete", "deleted")
 
 TIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}$"
 INTEGER_PATTERN = r"^[+-]?\d+(_\d+)*$"
+MOST_DIGITS = 4300  # longer integer text is no number
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,12 +40,36 @@ def present(col: Column) -> Column:
     return F.when(is_present(col), col)
 
 
-def parse_version(col: Column) -> Column:
+def parse_integer(col: Column) -> Column:
     """Integer text to BIGINT, else null. Underscores between digits are allowed, decimals are not."""
     text = strip(col)
     return F.when(text.rlike(INTEGER_PATTERN), F.replace(text, F.lit("_")).try_cast("bigint"))
 
 
+def parse_version(col: Column) -> Column:
+    """Integer text of any length in its shortest form (no plus, no leading zeros, no underscores), else null."""
+    def shortest(bare: Column) -> Column:
+        digits = F.regexp_replace(bare, r"^[+-]?0*(?=\d)", "")
+        sign = F.when(F.startswith(bare, F.lit("-")) & (digits != "0"), "-").otherwise("")
+        given = F.char_length(F.regexp_replace(bare, r"^[+-]", ""))
+        return F.when(given <= MOST_DIGITS, F.concat(sign, digits))
+
+    text = strip(col)
+    return F.when(text.rlike(INTEGER_PATTERN), let(F.replace(text, F.lit("_")), shortest))
+
+
+def version_key(version: Column) -> Column:
+    """A text whose order is the numeric order of the integers `parse_version` gives: sign, number of digits, digits; a
+    negative one has every digit complemented."""
+    def key(v: Column) -> Column:
+        digits = F.ltrim(v, F.lit("-"))
+        size = F.concat(F.lpad(F.char_length(digits).cast("string"), 4, "0"), digits)
+        return F.when(F.startswith(v, F.lit("-")), F.concat(F.lit("0"), F.translate(size, "0123456789", "9876543210"))).otherwise(
+            F.concat(F.lit("1"), size))
+
+    return let(version, key)
+
+
 def parse_time(col: Column) -> Column:
     """The first 19 characters as a zone-less timestamp, with a blank or T between date and time."""
     text = F.substring(strip(col), 1, 19)

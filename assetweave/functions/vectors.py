@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from assetweave.functions.text import let, parse_version, strip
+from assetweave.functions.text import let, parse_integer, strip
 
 DEFAULT_DIMENSION = 1024
 BYTES_PER_VALUE = 4
@@ -23,7 +23,7 @@ def decoded_length(text: Column) -> Column:
 
 
 def positive_dimension(col: Column, default: int = DEFAULT_DIMENSION) -> Column:
-    parsed = parse_version(col)
+    parsed = parse_integer(col)
     return F.when(parsed > 0, parsed).otherwise(F.lit(default).cast("bigint"))
 
 

@@ -175,7 +175,7 @@ def vector_list_totals(profile: DataFrame) -> DataFrame:
 def list_items(profile: DataFrame, fallback_dimension: int = V.DEFAULT_DIMENSION) -> DataFrame:
     """One row for each object in a vector list, with declared dimension and vector status."""
     objects = profile.select("partition", "offset", "asset_id", F.posexplode("items").alias("pos", "item"))
-    declared = X.parse_version(F.col("item.declared"))
+    declared = X.parse_integer(F.col("item.declared"))
     expected = F.when(declared != 0, declared).otherwise(F.lit(fallback_dimension).cast("bigint"))
     rows = objects.where(F.col("item.is_object"))
     rows = J.once(rows, "_v", V.status(F.col("item.vector"), F.col("item.is_string"), expected))

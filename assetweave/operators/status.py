@@ -17,7 +17,6 @@ WIDGET_DOC, ROOM_DOC = "pendant", "newLive"
 # On-demand message type, and the package it must belong to unless it goes offline.
 ONDEMAND_PACKAGES = {"217": "141", "208": "1"}
 OFFLINE_OPERATION = 2
-CACHE_PREFIX = "video_cp:"
 SCORE_LIFETIME_MS = 2 * 60 * 60 * 1000
 MARKER_LIFETIME_S = 12 * 60 * 60
 
@@ -31,36 +30,65 @@ _ONDEMAND = ("struct<type:string,id:string,operation:string,version:string,time:
 
 
 def _strict(topic: DataFrame, shape: str) -> DataFrame:
+    """Add `m`, the message of the given shape, null where the value is no strict JSON, and `unreadable`, which says why."""
     text = F.try_validate_utf8(F.col("value").cast("string"))
     rows = J.once(topic.withColumn("_text", text), "_p", J.parse_strict(F.col("_text"), shape))
-    return rows.where(J.accepted(F.col("_p"), F.col("_text"))).withColumn("m", F.col("_p")["w"]).drop("_text", "_p", "value")
+    rows = J.once(rows, "m", F.when(J.accepted(F.col("_p"), F.col("_text")), F.col("_p")["w"]))
+    why = F.when(F.col("value").isNull(), "missing").when(F.col("_text").isNull(), "not_utf8").when(F.col("m").isNull(), "not_json")
+    return rows.withColumn("unreadable", why).drop("_text", "_p")
 
 
-def status_envelope(topic: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
-    """Widget and room messages with the body taken out of its JSON string.
+def _record(topic: DataFrame) -> list[str]:
+    return [c for c in ("partition", "offset", "timestamp") if c in topic.columns]
+
+
+def classify_envelopes(topic: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
+    """All widget and room messages, the body taken out of its JSON string; `reject_reason` is null for usable ones.
 
     `number_zero` tells a numeric status of 0, which is offline, from the text "0", which is not. A widget is
     known by the id in its body; a room's id carries a prefix of four characters there.
     """
     rows = _strict(topic, _ENVELOPE)
-    if channels is not None:
-        rows = rows.where(F.col("m.channel").isin(*channels))
     rows = J.once(rows, "_d", J.parse_strict(F.col("m.data"), _BODY))
-    rows = rows.where(J.accepted(F.col("_d"), F.col("m.data"))).withColumn("b", F.col("_d")["w"]["body"])
+    rows = J.once(rows, "b", F.when(J.accepted(F.col("_d"), F.col("m.data")), F.col("_d")["w"]["body"]))
     kind = F.when(F.col("m.activityType").isin(*WIDGET_TYPES), "widget").when(F.col("m.activityType") == ROOM_TYPE, "room")
     state = F.col("m.mgdbStatus")
     numeric = F.try_variant_get(state, "$", "double")
     zero = ~F.schema_of_variant(state).isin("STRING", "VOID") & (numeric == 0)
-    record = [c for c in ("partition", "offset", "timestamp") if c in topic.columns]
     doc_id = F.when(kind == "room", F.substring(F.col("b.mgdbId"), 5, 1 << 30)).otherwise(F.col("b.mgdbId"))
-    usable = (kind == "room") | state.isNotNull()
-    rows = rows.where(kind.isNotNull() & doc_id.isNotNull() & usable & X.parse_version(F.col("m.version")).isNotNull())
+    version = X.parse_integer(F.col("m.version"))
+    listened = F.lit(True) if channels is None else F.coalesce(F.col("m.channel").isin(*channels), F.lit(False))
+    reason = (
+        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
+        .when(~listened, "other_channel")
+        .when(F.col("b").isNull(), "no_body")
+        .when(kind.isNull(), "other_activity")
+        .when(doc_id.isNull(), "missing_id")
+        .when((kind == "widget") & state.isNull(), "missing_status")
+        .when(version.isNull(), "unreadable_version")
+    )
     return rows.select(
-        *record, kind.alias("kind"), doc_id.alias("doc_id"), X.parse_version(F.col("m.version")).alias("version"),
+        *_record(topic), "value", reason.alias("reject_reason"), kind.alias("kind"), doc_id.alias("doc_id"), version.alias("version"),
         F.col("m.time").alias("time"), F.coalesce(zero, F.lit(False)).alias("number_zero"), "b",
     )
 
 
+def usable(classified: DataFrame) -> DataFrame:
+    return classified.where("reject_reason IS NULL").drop("reject_reason", "value")
+
+
+def rejects(classified: DataFrame, limit: int = 200) -> DataFrame:
+    """Where a message that is not used lies, why, and a one-line preview of it. A filter on the topic, so it also
+    runs as a stream of its own."""
+    shown = X.preview(F.make_valid_utf8(F.col("value").cast("string")), limit)
+    return classified.where("reject_reason IS NOT NULL").select("partition", "offset", "reject_reason", shown.alias("preview"))
+
+
+def status_envelope(topic: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
+    """The usable widget and room messages."""
+    return usable(classify_envelopes(topic, channels))
+
+
 def _side_state(rows: DataFrame, ids: str, table: DataFrame, name: str) -> DataFrame:
     """Left join of a status side table; a missing row has no effect, a missing state means `1`.
 
@@ -124,23 +152,36 @@ def widget_room_status(rows: DataFrame, competitions: DataFrame, seasons: DataFr
     return rows.withColumn("status", status).withColumn("offline", offline).drop("b", "_competition", "_season", "number_zero")
 
 
-def ondemand_filter(topic: DataFrame) -> DataFrame:
-    """On-demand messages of a known type that go offline or belong to the package of their type."""
+def classify_ondemand(topic: DataFrame) -> DataFrame:
+    """All on-demand messages; `reject_reason` is null for those of a known type that go offline or belong to the package of
+    their type."""
     rows = _strict(topic, _ONDEMAND)
-    operation = X.parse_version(F.col("m.operation"))
+    operation = X.parse_integer(F.col("m.operation"))
     packages = {"217": F.col("m.data.productInfoPackageId"), "208": F.col("m.data.content.PRODUCT_INFO_PACKAGE_ID")}
     owned = F.lit(False)
     for kind, package in ONDEMAND_PACKAGES.items():
         owned = owned | ((F.col("m.type") == kind) & F.coalesce(packages[kind] == package, F.lit(False)))
-    rows = rows.where(F.col("m.type").isin(*ONDEMAND_PACKAGES) & ((operation == OFFLINE_OPERATION) | owned))
-    version = X.parse_version(F.col("m.version"))
-    record = [c for c in ("partition", "offset", "timestamp") if c in topic.columns]
-    return rows.where(operation.isNotNull() & version.isNotNull() & F.col("m.id").isNotNull()).select(
-        *record, F.lit("ondemand").alias("kind"), F.col("m.type").alias("type"), F.col("m.id").alias("doc_id"),
-        version.alias("version"), F.col("m.time").alias("time"), (operation == OFFLINE_OPERATION).alias("offline"),
+    version = X.parse_integer(F.col("m.version"))
+    reason = (
+        F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
+        .when(~F.coalesce(F.col("m.type").isin(*ONDEMAND_PACKAGES), F.lit(False)), "other_type")
+        .when(operation.isNull(), "unreadable_operation")
+        .when((operation != OFFLINE_OPERATION) & ~owned, "other_product")
+        .when(F.col("m.id").isNull(), "missing_id")
+        .when(version.isNull(), "unreadable_version")
+    )
+    return rows.select(
+        *_record(topic), "value", reason.alias("reject_reason"), F.lit("ondemand").alias("kind"), F.col("m.type").alias("type"),
+        F.col("m.id").alias("doc_id"), version.alias("version"), F.col("m.time").alias("time"),
+        (operation == OFFLINE_OPERATION).alias("offline"),
     )
 
 
+def ondemand_filter(topic: DataFrame) -> DataFrame:
+    """The usable on-demand messages."""
+    return usable(classify_ondemand(topic))
+
+
 def _highest_before(rows: DataFrame, run: Runner) -> DataFrame:
     return run(rows, {"_highest": ("max", F.col("version"))})
 
@@ -204,10 +245,14 @@ def status_fanout(offline: DataFrame, programs: DataFrame, update_time: int) ->
     )
 
 
-def cache_invalidate(cache: DataFrame, offline: DataFrame, key: str = "cache_key", prefix: str = CACHE_PREFIX) -> DataFrame:
+def cache_invalidate(cache: DataFrame, offline: DataFrame, prefix: str, key: str = "cache_key") -> DataFrame:
     """The cache without the entries of documents that went offline."""
-    gone = offline.select(F.concat(F.lit(prefix), "doc_id").alias(key)).distinct()
-    return cache.join(gone, key, "left_anti")
+    return cache.join(cache_keys(offline, prefix, key), key, "left_anti")
+
+
+def cache_keys(offline: DataFrame, prefix: str, key: str = "cache_key") -> DataFrame:
+    """The cache entries of documents that went offline."""
+    return offline.select(F.concat(F.lit(prefix), "doc_id").alias(key)).distinct()
 
 
 def offline_heartbeat(events: DataFrame, lifetime_s: int = MARKER_LIFETIME_S) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assetweave.functions.text import is_present, parse_time, parse_version
+from assetweave.functions.text import is_present, parse_time, parse_version, version_key
 from assetweave.operators.scan import HOT_ROWS, Runner, arrival, rows_at, scan_by_key
 
 WRITTEN = "written"
@@ -97,7 +97,7 @@ def guard_status(
             key,
             place.alias("arrival"),
             F.lit(seed).alias("_seed"),
-            parse_version(F.col("version")).alias("_iv"),
+            version_key(parse_version(F.col("version"))).alias("_iv"),
             parse_time(F.col("time")).alias("_it"),
             is_present(F.col("time")).alias("_timed"),
         )
@@ -148,6 +148,6 @@ def guarded_upsert(
 
 def latest_by_version(documents: DataFrame, columns: Sequence[str], key: str = "row_key") -> DataFrame:
     """Latest record of each key by version, then time, then arrival."""
-    rank = F.struct(parse_version(F.col("version")), parse_time(F.col("time")), arrival().alias("arrival"))
+    rank = F.struct(version_key(parse_version(F.col("version"))), parse_time(F.col("time")), arrival().alias("arrival"))
     places = documents.groupBy(key).agg(F.max(rank).alias("_top")).select("_top.arrival")
     return rows_at(documents, places).select(key, *columns)

@@ -109,7 +109,7 @@ DOCUMENT: Ctes = ITEM + [
 
 PARSED_TIME = """CASE WHEN regexp_full_match(substr(trim({0}), 1, 19), '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}[ T][0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}')
     THEN coalesce(try_strptime(substr(trim({0}), 1, 19), '%Y-%m-%d %H:%M:%S'), try_strptime(substr(trim({0}), 1, 19), '%Y-%m-%dT%H:%M:%S')) END"""
-PARSED_VERSION = "CASE WHEN regexp_full_match(trim({0}), '[+-]?[0-9]+') THEN TRY_CAST(trim({0}) AS BIGINT) END"
+PARSED_VERSION = "CASE WHEN regexp_full_match(trim({0}), '[+-]?[0-9]+') THEN TRY_CAST(trim({0}) AS HUGEINT) END"
 
 STEPPED: Ctes = DOCUMENT + [
     ("ordered", f"""SELECT *, {PARSED_VERSION.format('version')} AS iv, {PARSED_TIME.format('time')} AS it,
@@ -187,12 +187,16 @@ register("flatten_fields", ONDEMAND + [("od", 'SELECT "partition", "offset", CAS
     + [_member("data.productInfoPackageId", "$.data.productInfoPackageId"),
        _member("data.content.PRODUCT_INFO_PACKAGE_ID", "$.data.content.PRODUCT_INFO_PACKAGE_ID")]))
 CONTENT = duck_ctes("chart_content_topic")
-register("field_paths", CONTENT + [("cc", "SELECT CAST(value AS JSON) AS j FROM chart_content_topic")], """
-    SELECT k AS path, 'string' AS type, count(*) AS messages FROM cc, unnest(['id', 'type', 'operation', 'version', 'time']) t(k) GROUP BY k
-    UNION ALL SELECT 'data', 'list[' || json_array_length(j, '$.data') || ']', count(*) FROM cc WHERE json_type(j, '$.data') = 'ARRAY' GROUP BY 2
-    UNION ALL SELECT 'data[0].' || k, CASE json_type(j, '$.data[0].' || k) WHEN 'VARCHAR' THEN 'string' ELSE 'number' END, count(*)
-    FROM cc, unnest(['contentId', 'chartId', 'rank', 'chartScore', 'contentType', 'isShield']) t(k)
-    WHERE json_type(j, '$.data[0].' || k) IS NOT NULL GROUP BY 1, 2""")
+register("field_paths", CONTENT + [
+    ("cc", "SELECT CAST(value AS JSON) AS j FROM chart_content_topic"),
+    ("cd", f"""SELECT *, {opened("(j -> '$.data')")} AS d FROM cc"""),
+], """
+    SELECT k AS path, 'string' AS type, count(*) AS messages FROM cd, unnest(['id', 'type', 'operation', 'version', 'time']) t(k) GROUP BY k
+    UNION ALL SELECT 'data', 'list[' || json_array_length(d) || ']', count(*) FROM cd WHERE json_type(d) = 'ARRAY' GROUP BY 2
+    UNION ALL SELECT 'data', 'string', count(*) FROM cd WHERE json_type(j, '$.data') = 'VARCHAR' AND d IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'data[0].' || k, CASE json_type(d, '$[0].' || k) WHEN 'VARCHAR' THEN 'string' ELSE 'number' END, count(*)
+    FROM cd, unnest(['contentId', 'chartId', 'rank', 'chartScore', 'contentType', 'isShield']) t(k)
+    WHERE json_type(d, '$[0].' || k) IS NOT NULL GROUP BY 1, 2""")
 register("resolve_field", VECTOR, 'SELECT "partition", "offset", found_asset AS asset_id FROM vec WHERE error IS NULL')
 register("find_nested", VECTOR, """SELECT "partition", "offset", CASE WHEN json_type(vi) = 'OBJECT' THEN CAST(vi AS VARCHAR) END AS item,
     CASE WHEN json_type(coalesce(l, l2)) = 'ARRAY' THEN CAST(json_array_length(coalesce(l, l2)) AS INTEGER) END AS items FROM vec WHERE error IS NULL""")
@@ -206,7 +210,7 @@ register("generic_documents", VECTOR, f"""SELECT "partition", "offset", CASE WHE
 register("vector_valid", ITEM, f"""SELECT "partition", "offset", coalesce(v <> '' AND {base64_bytes('v')} = 4 * ({DIMENSION.format('dim')}), false) AS valid
     FROM (SELECT "partition", "offset", trim(item ->> '$.vector') AS v, item ->> '$.vectorDimension' AS dim FROM item WHERE item IS NOT NULL)""")
 register("parse_time", VECTOR, f"""SELECT "partition", "offset", strftime({PARSED_TIME.format("(p ->> '$.time')")}, '%Y-%m-%d %H:%M:%S') AS parsed FROM vec WHERE error IS NULL""")
-register("parse_version", VECTOR, f"""SELECT "partition", "offset", {PARSED_VERSION.format("(p ->> '$.version')")} AS version FROM vec WHERE error IS NULL""")
+register("parse_version", VECTOR, f"""SELECT "partition", "offset", CAST({PARSED_VERSION.format("(p ->> '$.version')")} AS VARCHAR) AS version FROM vec WHERE error IS NULL""")
 register("preview_values", [("d", "SELECT doc_id, text, replace(replace(text, chr(13), chr(92) || 'r'), chr(10), chr(92) || 'n') AS line FROM documents")],
          """SELECT doc_id, CASE WHEN length(text) <= 80 THEN text ELSE substr(text, 1, 80) || '...<len=' || length(text) || '>' END AS short,
     CASE WHEN line = '' THEN '<empty>' WHEN length(line) <= 200 THEN line ELSE substr(line, 1, 200) || '...<len=' || length(line) || '>' END AS preview FROM d""")
@@ -433,8 +437,13 @@ register("index_rows", _INDEX, "SELECT target, row_key, CAST(generate_subscripts
 # Status
 
 STATUS_TOPIC: Ctes = duck_ctes("status_topic") + duck_ctes("competition_table") + duck_ctes("season_table") + [
-    ("st0", f"""SELECT "partition", "offset", {ARRIVAL} AS arrival, CAST(value AS JSON) AS j FROM status_topic"""),
-    ("st1", "SELECT *, CAST(j ->> '$.data' AS JSON) -> '$.body' AS b, CAST(j ->> '$.activityType' AS INTEGER) AS act FROM st0 WHERE j ->> '$.channel' = 'main'"),
+    ("sa0", f"""SELECT "partition", "offset", {ARRIVAL} AS arrival, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM status_topic"""),
+    ("sa1", """SELECT *, CASE WHEN json_valid(j ->> '$.data') THEN CAST(j ->> '$.data' AS JSON) -> '$.body' END AS b,
+              CAST(j ->> '$.activityType' AS INTEGER) AS act FROM sa0"""),
+    ("sa", """SELECT *, CASE WHEN value IS NULL THEN 'missing' WHEN j IS NULL THEN 'not_json' WHEN j ->> '$.channel' <> 'main' THEN 'other_channel'
+              WHEN b IS NULL THEN 'no_body' WHEN act NOT IN (0, 1, 4) THEN 'other_activity'
+              WHEN TRY_CAST(j ->> '$.version' AS BIGINT) IS NULL THEN 'unreadable_version' END AS reject_reason FROM sa1"""),
+    ("st1", "SELECT * FROM sa WHERE reject_reason IS NULL"),
     ("st2", """SELECT *, CASE WHEN act = 4 THEN 'room' ELSE 'widget' END AS kind, CASE WHEN act = 4 THEN substr(b ->> '$.mgdbId', 5) ELSE b ->> '$.mgdbId' END AS doc_id,
               CAST(j ->> '$.version' AS BIGINT) AS version, j ->> '$.time' AS time, CAST(b ->> '$.activityType' AS INTEGER) AS bact,
               coalesce(json_type(j, '$.mgdbStatus') IN ('UBIGINT', 'BIGINT') AND CAST(j ->> '$.mgdbStatus' AS BIGINT) = 0, false) AS number_zero FROM st1"""),
@@ -451,13 +460,18 @@ register("status_envelope", STATUS_TOPIC, """SELECT "partition", "offset", kind,
 for _kind, _name in (("widget", "widget_status"), ("room", "room_status")):
     register(_name, STATUS_TOPIC, f"""SELECT "partition", "offset", doc_id, CAST(status AS INTEGER) AS status, coalesce(status = 0, true) AS offline FROM st WHERE kind = '{_kind}'""")
 DEMAND: Ctes = ONDEMAND + [
-    ("od0", f"""SELECT "partition", "offset", {ARRIVAL} AS arrival, CAST(value AS JSON) AS j FROM ondemand_topic"""),
-    ("od", """SELECT *, j ->> '$.type' AS type, j ->> '$.id' AS doc_id, CAST(j ->> '$.version' AS BIGINT) AS version, j ->> '$.time' AS time,
-              CAST(j ->> '$.operation' AS INTEGER) = 2 AS offline FROM od0
-              WHERE j ->> '$.type' IN ('208', '217') AND (CAST(j ->> '$.operation' AS INTEGER) = 2
-              OR (j ->> '$.type' = '217' AND j ->> '$.data.productInfoPackageId' = '141')
-              OR (j ->> '$.type' = '208' AND j ->> '$.data.content.PRODUCT_INFO_PACKAGE_ID' = '1'))"""),
+    ("od0", f"""SELECT "partition", "offset", {ARRIVAL} AS arrival, value, CAST(value AS JSON) AS j FROM ondemand_topic"""),
+    ("od1", """SELECT *, j ->> '$.type' AS type, j ->> '$.id' AS doc_id, TRY_CAST(j ->> '$.version' AS BIGINT) AS version, j ->> '$.time' AS time,
+              TRY_CAST(j ->> '$.operation' AS INTEGER) AS operation FROM od0"""),
+    ("od2", """SELECT *, operation = 2 AS offline, CASE WHEN type NOT IN ('208', '217') THEN 'other_type' WHEN operation IS NULL THEN 'unreadable_operation'
+              WHEN operation <> 2 AND NOT coalesce(CASE type WHEN '217' THEN j ->> '$.data.productInfoPackageId' = '141'
+                  ELSE j ->> '$.data.content.PRODUCT_INFO_PACKAGE_ID' = '1' END, false) THEN 'other_product'
+              WHEN version IS NULL THEN 'unreadable_version' END AS reject_reason FROM od1"""),
+    ("od", "SELECT * FROM od2 WHERE reject_reason IS NULL"),
 ]
+_PREVIEW = """CASE WHEN value IS NULL THEN '<None>' WHEN length(value) <= 60 THEN value ELSE substr(value, 1, 60) || '...<len=' || length(value) || '>' END AS preview"""
+register("status_rejects", STATUS_TOPIC, f'SELECT "partition", "offset", reject_reason, {_PREVIEW} FROM sa WHERE reject_reason IS NOT NULL')
+register("ondemand_rejects", DEMAND, f'SELECT "partition", "offset", reject_reason, {_PREVIEW} FROM od2 WHERE reject_reason IS NOT NULL')
 register("ondemand_filter", DEMAND, 'SELECT "partition", "offset", type, doc_id, version FROM od')
 register("ondemand_status", DEMAND, 'SELECT "partition", "offset", doc_id FROM od WHERE offline')
 _BEFORE = "max(version) OVER (PARTITION BY doc_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -491,3 +505,5 @@ register("expire_offline_set", STATUS_TOPIC + [
 register("stream_ingest", DOCUMENT, 'SELECT "partition", "offset", row_key, reject_reason FROM document')
 register("stream_guarded_upsert", STEPPED, "SELECT row_key, arrival, status FROM step")
 register("stream_version_gate", DEMAND, f"SELECT doc_id, arrival, version FROM od QUALIFY coalesce(version >= {_BEFORE}, true)")
+for _name in ("guarded_upsert", "offline_events", "status_fanout", "status_rejects"):
+    ORACLES["stream_" + _name.replace("guarded_upsert", "upsert_table")] = ORACLES[_name]

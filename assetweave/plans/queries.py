@@ -10,6 +10,7 @@ from assetweave.functions import payload as J, search, text as X, vectors as V
 from assetweave.operators import charts, ingest, profile, reconcile, status, upsert
 from assetweave.operators.scan import arrival
 from assetweave.plans import stages
+from assetweave.session import new_path
 from assetweave.sources import tables, topic as topics
 from assetweave.sources.derived import land, load
 from assetweave.streaming import gates, jobs
@@ -21,6 +22,8 @@ OPERATE_TIME = "2024-01-01 00:00:00"
 UPDATE_TIME = 1704067200
 NOW_MS = 1700000000000 + 9_000_000
 CHANNELS = ("main",)
+CACHE_PREFIX = "video_cp:"
+PREVIEW = 60
 MERGE_FIELDS = ("program_id", "name", "category")
 
 
@@ -509,6 +512,16 @@ def status_envelope(spark: SparkSession, sf: str) -> DataFrame:
                        F.try_variant_get("b.roomStatus", "$", "string").alias("roomStatus"))
 
 
+@query
+def status_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return status.rejects(status.classify_envelopes(load(spark, sf, "status_topic"), CHANNELS), PREVIEW)
+
+
+@query
+def ondemand_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return status.rejects(status.classify_ondemand(load(spark, sf, "ondemand_topic")), PREVIEW)
+
+
 @query
 def widget_status(spark: SparkSession, sf: str) -> DataFrame:
     return _envelopes(spark, sf).where("kind = 'widget'").select("partition", "offset", "doc_id", "status", "offline")
@@ -546,8 +559,8 @@ def status_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cache_invalidate(spark: SparkSession, sf: str) -> DataFrame:
-    cache = load(spark, sf, "program_table").select(F.concat(F.lit(status.CACHE_PREFIX), "row_key").alias("cache_key"))
-    return status.cache_invalidate(cache, status.offline_ids(_accepted(spark, sf)))
+    cache = load(spark, sf, "program_table").select(F.concat(F.lit(CACHE_PREFIX), "row_key").alias("cache_key"))
+    return status.cache_invalidate(cache, status.offline_ids(_accepted(spark, sf)), CACHE_PREFIX)
 
 
 @query
@@ -585,3 +598,60 @@ def stream_version_gate(spark: SparkSession, sf: str) -> DataFrame:
     path, schema = land(spark, sf, "ondemand_topic")
     messages = status.ondemand_filter(topics.stream_files(spark, path, schema))
     return jobs.run_available(gates.gate_stream(messages), "stream-gate")
+
+
+@query
+def stream_upsert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The table of the guarded upsert out of the change log of a stream that was stopped and started again."""
+    log, checkpoint = new_path(spark, "change-log"), new_path(spark, "change-log-checkpoint")
+
+    def run(topic: DataFrame) -> None:
+        documents = ingest.ingest(topic).where("reject_reason IS NULL")
+        jobs.run_available(gates.upsert_stream(documents, list(ingest.DEFAULT_FIELDS)), "change-log", log, checkpoint)
+
+    stages.in_parts(spark, sf, "vector_topic", run)
+    table = gates.latest_rows(spark.read.parquet(log))
+    return table.withColumn("operate_time", F.lit(OPERATE_TIME))
+
+
+def _propagated(spark: SparkSession, sf: str) -> list[str]:
+    """The roots of the outputs of both status streams, run once in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _roots:
+        programs = load(spark, sf, "program_table")
+        sides = load(spark, sf, "competition_table"), load(spark, sf, "season_table")
+        shown, demanded = new_path(spark, "status-outputs"), new_path(spark, "ondemand-outputs")
+
+        def run_shown(topic: DataFrame) -> None:
+            messages = status.widget_room_status(status.status_envelope(topic, CHANNELS), *sides)
+            jobs.propagate_status(messages, programs, shown, UPDATE_TIME, CACHE_PREFIX)
+
+        def run_demanded(topic: DataFrame) -> None:
+            jobs.propagate_status(status.ondemand_filter(topic), programs, demanded, UPDATE_TIME, CACHE_PREFIX)
+
+        stages.in_parts(spark, sf, "status_topic", run_shown)
+        stages.in_parts(spark, sf, "ondemand_topic", run_demanded)
+        _roots[key] = [shown, demanded]
+    return _roots[key]
+
+
+_roots: dict[tuple[str, str], list[str]] = {}
+
+
+@query
+def stream_offline_events(spark: SparkSession, sf: str) -> DataFrame:
+    shown, demanded = (jobs.read_output(spark, root, "events") for root in _propagated(spark, sf))
+    return shown.unionByName(demanded)
+
+
+@query
+def stream_status_fanout(spark: SparkSession, sf: str) -> DataFrame:
+    shown, demanded = (jobs.store_updates(spark, root) for root in _propagated(spark, sf))
+    return shown.unionByName(demanded)
+
+
+@query
+def stream_status_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    path, schema = land(spark, sf, "status_topic")
+    rejected = status.rejects(status.classify_envelopes(topics.stream_files(spark, path, schema), CHANNELS), PREVIEW)
+    return jobs.run_available(rejected, "stream-rejects")

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assetweave.operators import ingest, profile
-from assetweave.session import materialize
+from assetweave.session import materialize, new_path
 from assetweave.sources.derived import load
+from assetweave.sources.topic import stream_files
+
+PARTITIONS = 4  # of every derived topic
 
 _stages: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -54,3 +57,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return profile.message_profile(typed)
 
     return stage(spark, sf_dir, "messages", build)
+
+
+def in_parts(spark: SparkSession, sf_dir: str, name: str, run: Callable[[DataFrame], None]) -> None:
+    """Let a topic arrive partition by partition, which is its arrival order, and run a job over each part as a stream. Each run
+    is a new start of the job that goes on from its checkpoint."""
+    topic, path = load(spark, sf_dir, name), new_path(spark, f"{name}-parts")
+    for part in range(PARTITIONS):
+        topic.where(F.col("partition") == part).write.mode("append").parquet(path)
+        run(stream_files(spark, path, topic.schema))

@@ -118,7 +118,10 @@ def vector_topic(d: Dialect) -> Recipe:
             "type_part": pick("r % 11", {0: "'\"type\":\"208\",'", 1: "'\"type\":null,'", 2: "''", 3: "''",
                                          4: "'\"type\":140,'", 5: "'\"type\":\"\",'"}, "'\"type\":\"140\",'"),
             "version_part": pick("r % 23", {0: "''", 1: "'\"version\":\"n/a\",'", 2: "'\"version\":\"\",'",
-                                            3: "'\"version\":' || ver || ','", 4: "'\"version\":null,'"},
+                                            3: "'\"version\":' || ver || ','", 4: "'\"version\":null,'",
+                                            # thirty digits, a negative one, leading zeros
+                                            5: "'\"version\":\"' || ver || CASE WHEN r % 29 < 4 THEN repeat('0', 17) ELSE '' END || '\",'",
+                                            6: "'\"version\":\"-' || ver || '\",'", 7: "'\"version\":\"000' || ver || '\",'"},
                                  "'\"version\":\"' || ver || '\",'"),
             "time_part": pick("r % 19", {0: "''", 1: "'\"time\":\"soon\",'",
                                          2: f"'\"time\":\"' || {d.stamp('ts', 'T')} || '\",'",
@@ -255,18 +258,22 @@ def status_topic(d: Dialect) -> Recipe:
             "kind": "CASE WHEN event_type IN ('error', 'view') THEN 4 ELSE cast(event_id % 2 as int) END",
         },
         {"body": f"CASE WHEN kind = 4 THEN {room} ELSE {widget} END"},
+        {"data": "'{\"body\":' || body || CASE WHEN r % 53 = 3 THEN '' ELSE '}' END"},
         {
-            "partition": "cast(event_id % 4 as int)",
-            "offset": div("event_id - event_id % 4", 4),
-            "timestamp": "ts",
-            "value": "'{\"activityType\":' || cast(kind as string) || ',\"channel\":\"' || "
+            "whole": "'{\"activityType\":' || CASE WHEN r % 53 = 4 THEN '7' ELSE cast(kind as string) END || ',\"channel\":\"' || "
                      + pick("r % 8", {0: "'other'"}, "'main'")
                      + " || '\",\"mgdbId\":\"' || key || '\"' || "
                      + pick("r % 9", {0: "',\"mgdbStatus\":0'", 1: "',\"mgdbStatus\":\"0\"'", 2: "',\"mgdbStatus\":null'"},
                             "',\"mgdbStatus\":1'")
-                     + " || ',\"version\":\"' || cast(1700000000000 + 1000 * (event_id + 500 - (r % 6) * 70) as string)"
-                     + f" || '\",\"time\":\"' || {d.stamp('ts')} || '\",\"data\":' || "
-                     + escaped("'{\"body\":' || body || '}'") + " || '}'",
+                     + " || ',\"version\":\"' || CASE WHEN r % 53 = 5 THEN 'soon' ELSE"
+                       " cast(1700000000000 + 1000 * (event_id + 500 - (r % 6) * 70) as string) END"
+                     + f" || '\",\"time\":\"' || {d.stamp('ts')} || '\",\"data\":' || " + escaped("data") + " || '}'",
+        },
+        {
+            "partition": "cast(event_id % 4 as int)",
+            "offset": div("event_id - event_id % 4", 4),
+            "timestamp": "ts",
+            "value": pick("r % 53", {0: "cast(null as string)", 1: "substr(whole, 1, 40)", 2: "whole || '}'"}, "whole"),
         },
     ]
     return "events", steps
@@ -286,8 +293,9 @@ def ondemand_topic(d: Dialect) -> Recipe:
             "timestamp": "o_orderdate",
             "value": "'{\"type\":\"' || " + pick("r % 5", {0: "'208'", 1: "'999'", 2: "'217'"},
                                                 "CASE WHEN r % 2 = 0 THEN '217' ELSE '208' END")
-                     + " || '\",\"id\":\"' || key || '\",\"operation\":' || " + pick("r % 3", {0: "'2'", 1: "'\"1\"'"}, "'\"2\"'")
-                     + " || ',\"version\":\"' || cast(1700000000000 + 1000 * (o_orderkey + 500 - (r % 6) * 70) as string)"
+                     + " || '\",\"id\":\"' || key || '\",\"operation\":' || " + pick("r % 3", {0: "'2'", 1: "CASE WHEN r % 61 = 0 THEN '\"off\"' ELSE '\"1\"' END"}, "'\"2\"'")
+                     + " || ',\"version\":\"' || CASE WHEN r % 59 = 0 THEN 'v1' ELSE"
+                       " cast(1700000000000 + 1000 * (o_orderkey + 500 - (r % 6) * 70) as string) END"
                      + f" || '\",\"time\":\"' || {d.stamp('o_orderdate')} || '\",\"data\":{{\"productInfoPackageId\":\"' || "
                      + package + " || '\"' || CASE WHEN r % 4 = 0 THEN '' ELSE ',\"content\":{\"PRODUCT_INFO_PACKAGE_ID\":\"' || "
                      + package + " || '\"}' END || '}}'",

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from assetweave.operators import status
 from assetweave.operators.scan import HOT_ROWS
-from assetweave.operators.upsert import guard_status, guarded_upsert
+from assetweave.operators.upsert import column_merge, current_rows, guard_status
 from assetweave.session import materialize, new_path
+from assetweave.streaming.gates import gate_stream
 
 # State variables with a lifetime need the RocksDB provider. A processing-time operator asks for one more empty batch
 # after every batch, so a run over the available input would never end with empty batches on.
@@ -55,25 +57,85 @@ def run_available(stream: DataFrame, name: str, path: str | None = None, checkpo
 def guard_in_batches(documents: DataFrame, root: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Guarded upsert of a stream with large micro-batches: (row_key, arrival, status) of each document.
 
-    Every batch runs the batch operator on top of the guard table (key, version, time) of the batch before, so a
-    hot key is split as in a batch job, where the state operator would hand it to one task. Each batch writes its
-    own folders, so that a repeated batch replaces its own output. Started again with the same `root` it goes on.
+    Every batch runs the batch operator on top of what earlier batches stored of its keys (key, version, time), so a
+    hot key is split as in a batch job, where the state operator would hand it to one task. What a batch stores goes
+    into a folder of its own, only for the keys it touched, so no table is rewritten and a repeated batch replaces
+    its own output. Started again with the same `root` it goes on.
     """
     spark = documents.sparkSession
     root = root or new_path(spark, "guard")
+    fields = ["version", "time"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = materialize(batch, "guard-batch")
-        stored = batch.sparkSession.read.parquet(f"{root}/guard/{batch_id - 1}") if batch_id else None
-        statuses = guard_status(rows, stored, hot_rows=hot_rows)
-        statuses.write.mode("overwrite").parquet(f"{root}/status/batch={batch_id}")
-        table = guarded_upsert(rows, ["version", "time"], stored, hot_rows=hot_rows)
-        table.write.mode("overwrite").parquet(f"{root}/guard/{batch_id}")
+        stored = None
+        if batch_id:
+            log = batch.sparkSession.read.parquet(f"{root}/guard").where(F.col("batch") < batch_id)
+            touched = log.join(rows.select("row_key").distinct(), "row_key", "left_semi")
+            latest = touched.groupBy("row_key").agg(F.max("batch").alias("batch"))
+            stored = materialize(touched.join(latest, ["row_key", "batch"], "left_semi").drop("batch"), "guard-stored")
+        statuses = materialize(guard_status(rows, stored, hot_rows=hot_rows, presence=fields), "guard-status")
+        statuses.select("row_key", "arrival", "status").write.mode("overwrite").parquet(f"{root}/status/batch={batch_id}")
+        written = current_rows(rows, statuses, fields)
+        table = written if stored is None else column_merge(stored, written)
+        table.write.mode("overwrite").parquet(f"{root}/guard/batch={batch_id}")
 
-    narrow = documents.select("row_key", "partition", "offset", "version", "time")
+    narrow = documents.select("row_key", "partition", "offset", *fields)
     query = (
         narrow.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/status").drop("batch")
+
+
+_CARRIED = ["kind", "partition", "offset", "time", "offline"]
+
+
+def propagate_status(
+    messages: DataFrame, programs: DataFrame, root: str, update_time: int, cache_prefix: str, lifetime_ms: int | None = None
+) -> None:
+    """Gate a stream of usable status messages and send every batch's effects to all outputs below `root`.
+
+    The gate runs once; `foreachBatch` lands its result and derives the outputs from it: change events, updates for each
+    store, cache entries to delete, liveness markers. Each output of a batch is a folder named by the batch number, so a
+    batch that is repeated after a failure replaces what it wrote before and changes nothing. Started again with the same
+    `root` the job goes on after the last finished batch. Stops at the end of the available input.
+    """
+    spark = messages.sparkSession
+    accepted = gate_stream(messages, carried=_CARRIED) if lifetime_ms is None else gate_stream(messages, lifetime_ms, _CARRIED)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        write_status_batch(batch, batch_id, programs, root, update_time, cache_prefix)
+
+    with stream_settings(spark):
+        query = (
+            accepted.writeStream.foreachBatch(apply).outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+
+def write_status_batch(accepted: DataFrame, batch_id: int, programs: DataFrame, root: str, update_time: int, cache_prefix: str) -> None:
+    """All outputs of one batch of accepted messages; written again they replace themselves."""
+    def put(rows: DataFrame, output: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{root}/{output}/batch={batch_id}")
+        return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{output}/batch={batch_id}")
+
+    rows = put(accepted.select("doc_id", "version", *_CARRIED), "accepted")
+    offline = put(status.offline_ids(rows), "offline")
+    events = put(status.offline_events(rows, programs, update_time), "events")
+    put(status.status_fanout(offline, programs, update_time), "stores")
+    put(status.cache_keys(offline, cache_prefix), "cache_deletes")
+    put(status.offline_heartbeat(events), "markers")
+
+
+def read_output(spark: SparkSession, root: str, output: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{output}").drop("batch")
+
+
+def store_updates(spark: SparkSession, root: str) -> DataFrame:
+    """The updates of all batches, one for each target and document. They only differ in the score, which rises."""
+    rows = read_output(spark, root, "stores")
+    keys = [c for c in rows.columns if c != "score"]
+    return rows.groupBy(*keys).agg(F.max("score").alias("score")).select(*rows.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import random
 import json
 from datetime import datetime
 
@@ -23,9 +24,29 @@ def test_blank_and_strip_follow_unicode_white_space(spark):
     assert column(spark, values[1:], X.strip) == [v.strip() for v in values[1:]]
 
 
-def test_parse_version_is_integer_text_only(spark):
-    values = ["12", " 12 ", "+7", "-3", "1_000", "1.5", "1e3", "", "n/a", None, "99999999999999999999"]
-    assert column(spark, values, X.parse_version) == [12, 12, 7, -3, 1000, None, None, None, None, None, None]
+INTEGERS = ["12", " 12 ", "+7", "-3", "1_000", "1.5", "1e3", "", "n/a", None, "99999999999999999999", "000", "-0", "+0012", "-" + "9" * 30, "1" + "0" * 29,
+            "9" * 4300, "1" * 4301, "__1", "1__0", "-00", "00099999999999999999999", "-100", "-99", "9", "10"]
+
+
+def as_int(text):
+    """What the integer parser of the language makes of a text."""
+    try:
+        return int(text.strip())
+    except (AttributeError, ValueError):
+        return None
+
+
+def test_versions_are_integers_of_any_length(spark):
+    wanted = [as_int(v) for v in INTEGERS]
+    assert column(spark, INTEGERS, X.parse_version) == [None if n is None else str(n) for n in wanted]
+    assert column(spark, INTEGERS, X.parse_integer) == [n if n is not None and abs(n) < 2**63 else None for n in wanted]
+
+
+def test_version_keys_have_the_order_of_the_numbers(spark):
+    rng = random.Random(1)
+    numbers = [as_int(v) for v in INTEGERS if as_int(v) is not None] + [rng.choice((-1, 1)) * rng.randrange(10 ** rng.randrange(1, 40)) for _ in range(300)]
+    keys = column(spark, [str(n) for n in numbers], X.version_key)
+    assert [n for _, n in sorted(zip(keys, numbers))] == sorted(numbers)
 
 
 def test_parse_time_forms(spark):

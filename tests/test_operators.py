@@ -16,10 +16,10 @@ from assetweave.streaming import gates, jobs
 DOC = "row_key string, partition int, offset long, version string, time string, source string"
 
 
-def random_documents(seed: int, rows: int = 1500):
+def random_documents(seed: int, rows: int = 1500, long: bool = False):
     """Half of the rows belong to one key; versions and times are late, repeated, missing or unreadable."""
     rng = random.Random(seed)
-    versions = [None, "n/a", "1", "2", "3", "4"]
+    versions = [None, "n/a", "1", "2", "3", "4", "-7", "02", "123456789012345678901234567890"] if long else [None, "n/a", "1", "2", "3", "4"]
     times = [None, "soon", "2024-01-01 00:00:01", "2024-01-01 00:00:02", "2024-01-01 00:00:03"]
     return [
         ("hot" if rng.random() < 0.5 else f"k{rng.randrange(60)}", n % 3, n // 3, rng.choice(versions), rng.choice(times), rng.choice([None, f"s{n}"]))
@@ -30,7 +30,7 @@ def random_documents(seed: int, rows: int = 1500):
 def model(documents, stored=None):
     state = {k: dict(v) for k, v in (stored or {}).items()}
     out = {}
-    version = lambda v: int(v) if v and v.isdigit() else None
+    version = lambda v: int(v) if v and v.lstrip("-").isdigit() else None
     time = lambda t: t if t and t[0] == "2" else None
     for key, partition, offset, v, t, source in sorted(documents, key=lambda d: (d[1], d[2])):
         row = state.setdefault(key, {})
@@ -54,7 +54,7 @@ def statuses(df):
 
 def test_guard_equals_model_with_and_without_hot_keys(spark):
     for seed in (1, 2):
-        documents = random_documents(seed)
+        documents = random_documents(seed, long=seed == 1)
         df = spark.createDataFrame(documents, DOC)
         expected, state = model(documents)
         assert statuses(upsert.guard_status(df)) == expected
@@ -88,6 +88,23 @@ def test_streaming_upsert_equals_batch_in_any_number_of_batches(spark, tmp_path)
         assert statuses(out) == expected
 
 
+def test_streaming_table_equals_batch_in_any_number_of_batches(spark, tmp_path):
+    documents = sorted(random_documents(14, 600, long=True), key=lambda d: (d[1], d[2]))
+    _, state = model(documents)
+    columns = ["version", "time", "source"]
+    for parts in (1, 3):
+        source, size = str(tmp_path / f"in{parts}"), -(-len(documents) // parts)
+        checkpoint, path = str(tmp_path / f"cp{parts}"), str(tmp_path / f"out{parts}")
+        for n in range(parts):  # every part is a new run that goes on from the state of the one before
+            spark.createDataFrame(documents[n * size:(n + 1) * size], DOC).coalesce(1).write.mode("append").parquet(source)
+            log = jobs.run_available(gates.upsert_stream(spark.readStream.schema(DOC).parquet(source), columns), "log", path, checkpoint)
+        rows = {r["row_key"]: {c: r[c] for c in columns if r[c] is not None} for r in gates.latest_rows(log).collect()}
+        assert rows == state
+        assert log.groupBy("row_key").count().where(f"count > {parts}").count() == 0  # one row for a key and batch at most
+    written = sum(v == upsert.WRITTEN for v in model(documents)[0].values())
+    assert log.agg(F.sum("writes")).first()[0] == written
+
+
 def test_large_batches_equal_the_model(spark, tmp_path):
     documents = sorted(random_documents(6, 600), key=lambda d: (d[1], d[2]))
     expected, _ = model(documents)
@@ -115,6 +132,76 @@ def test_streaming_gate_equals_batch(spark, tmp_path):
     assert sorted((r["doc_id"], r["arrival"], r["version"]) for r in jobs.run_available(stream, "gate").collect()) == sorted(expected)
 
 
+def test_gate_sees_one_row_for_a_hot_key_and_batch(spark):
+    rows = [("hot", n, n * 7919 % 1009) for n in range(5000)] + [(f"d{n}", n, 5) for n in range(50)]
+    df = spark.createDataFrame(rows, "doc_id string, arrival long, version long").coalesce(1)
+    runs = {r["doc_id"]: [(m["arrival"], m["version"]) for m in r["run"]] for r in gates.highest_so_far(df).collect()}
+    assert len(runs) == 51 and len(runs["hot"]) < 20 and runs["d7"] == [(7, 5)]
+    assert runs["hot"] == sorted(runs["hot"]) and [v for _, v in runs["hot"]] == sorted(v for _, v in runs["hot"])
+
+
+MESSAGE = "kind string, doc_id string, partition int, offset long, version long, time string, offline boolean"
+
+
+def status_messages(seed, rows):
+    rng = random.Random(seed)
+    return [(rng.choice(["widget", "room", "ondemand"]), "hot" if rng.random() < 0.4 else f"d{rng.randrange(12)}", 0, n, rng.randrange(9) + n // 40,
+             f"2024-01-01 00:00:{n % 60:02d}", rng.random() < 0.6) for n in range(rows)]
+
+
+def everything(spark, root):
+    names = ("accepted", "offline", "events", "stores", "cache_deletes", "markers")
+    return {n: sorted(map(str, spark.read.parquet(f"{root}/{n}").collect())) for n in names}
+
+
+def test_status_outputs_equal_the_batch_job_and_repeat_without_change(spark, tmp_path):
+    rows, root, source = status_messages(8, 400), str(tmp_path / "out"), str(tmp_path / "in")
+    programs = spark.createDataFrame([("hot", "pendant"), *[(f"d{n}", ("pendant", "newLive", "vod")[n % 3]) for n in range(10)]], "row_key string, doc_type string")
+    for start in (0, 150, 300):
+        spark.createDataFrame(rows[start:start + 150], MESSAGE).coalesce(1).write.mode("append").parquet(source)
+        jobs.propagate_status(spark.readStream.schema(MESSAGE).parquet(source), programs, root, 5, "c:")
+    accepted = status.version_gate(spark.createDataFrame(rows, MESSAGE))
+    order = ["kind", "doc_id", "partition", "offset", "version", "time"]
+    events = jobs.read_output(spark, root, "events")
+    wanted = status.offline_events(accepted, programs, 5)
+    assert sorted(map(tuple, events.select(*order, "update_time").collect())) == sorted(map(tuple, wanted.select(*order, "update_time").collect()))
+    fanout = status.status_fanout(status.offline_ids(accepted), programs, 5)
+    plain = lambda df: sorted(str(tuple(r)) for r in df.select(*fanout.columns).collect())
+    assert plain(jobs.store_updates(spark, root)) == plain(fanout)
+    gone = status.cache_keys(status.offline_ids(accepted), "c:")
+    assert {r[0] for r in jobs.read_output(spark, root, "cache_deletes").collect()} == {r[0] for r in gone.collect()}
+
+    before = everything(spark, root)
+    repeated = spark.read.parquet(f"{root}/accepted").where("batch = 1").drop("batch")
+    from assetweave.session import materialize
+
+    jobs.write_status_batch(materialize(repeated), 1, programs, root, 5, "c:")  # as after a failure before the commit
+    assert everything(spark, root) == before
+
+
+def test_unusable_status_messages_are_rejected_with_a_reason(spark):
+    whole = {"activityType": 0, "channel": "m", "mgdbId": "e", "mgdbStatus": 1, "version": "5", "data": json.dumps({"body": {"activityType": 0, "mgdbId": "w"}})}
+    cases = [
+        (json.dumps(whole), None), (None, "missing"), ("{", "not_json"), (json.dumps({**whole, "channel": "x"}), "other_channel"),
+        (json.dumps({k: v for k, v in whole.items() if k != "channel"}), "other_channel"), (json.dumps({**whole, "data": "{"}), "no_body"),
+        (json.dumps({**whole, "data": "{}"}), "no_body"), (json.dumps({**whole, "activityType": 9}), "other_activity"),
+        (json.dumps({**whole, "data": json.dumps({"body": {"activityType": 0}})}), "missing_id"),
+        (json.dumps({k: v for k, v in whole.items() if k != "mgdbStatus"}), "missing_status"), (json.dumps({**whole, "version": "new"}), "unreadable_version"),
+    ]
+    topic = spark.createDataFrame([(0, n, v) for n, (v, _) in enumerate(cases)], "partition int, offset long, value string")
+    rows = status.classify_envelopes(topic, ["m"]).orderBy("offset").collect()
+    assert [r["reject_reason"] for r in rows] == [c[1] for c in cases]
+    assert status.rejects(status.classify_envelopes(topic, ["m"])).count() + status.status_envelope(topic, ["m"]).count() == len(cases)
+
+    base = {"type": "217", "id": "i", "operation": "1", "version": "3", "data": {"productInfoPackageId": "141"}}
+    cases = [
+        (base, None), ({**base, "type": "9"}, "other_type"), ({**base, "operation": "off"}, "unreadable_operation"), ({**base, "data": {}}, "other_product"),
+        ({**base, "data": {}, "operation": 2}, None), ({k: v for k, v in base.items() if k != "id"}, "missing_id"), ({**base, "version": "v"}, "unreadable_version"),
+    ]
+    topic = spark.createDataFrame([(0, n, json.dumps(v)) for n, (v, _) in enumerate(cases)], "partition int, offset long, value string")
+    assert [r["reject_reason"] for r in status.classify_ondemand(topic).orderBy("offset").collect()] == [c[1] for c in cases]
+
+
 def test_column_merge_keeps_unmentioned_columns(spark):
     old = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y")], "row_key string, p string, q string")
     new = spark.createDataFrame([("b", None, "n"), ("c", "3", None)], "row_key string, p string, r string")
