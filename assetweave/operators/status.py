@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from assetweave.functions import payload as J, text as X
 from assetweave.operators.scan import HOT_ROWS, Runner, arrival, scan_by_key
@@ -30,12 +31,16 @@ _ONDEMAND = ("struct<type:string,id:string,operation:string,version:string,time:
 
 
 def _strict(topic: DataFrame, shape: str) -> DataFrame:
-    """Add `m`, the message of the given shape, null where the value is no strict JSON, and `unreadable`, which says why."""
+    """Add the members of the message as columns with a leading underscore, null where the value is no strict JSON, and
+    `unreadable`, which says why. Flat columns, as the optimizer loses members of a generated struct it wants to prune."""
     text = F.try_validate_utf8(F.col("value").cast("string"))
     rows = J.once(topic.withColumn("_text", text), "_p", J.parse_strict(F.col("_text"), shape))
-    rows = J.once(rows, "m", F.when(J.accepted(F.col("_p"), F.col("_text")), F.col("_p")["w"]))
-    why = F.when(F.col("value").isNull(), "missing").when(F.col("_text").isNull(), "not_utf8").when(F.col("m").isNull(), "not_json")
-    return rows.withColumn("unreadable", why).drop("_text", "_p")
+    message = F.when(J.accepted(F.col("_p"), F.col("_text")), F.col("_p")["w"])
+    names = [f.name for f in DataType.fromDDL(shape).fields]
+    flat = F.transform(F.array(message), lambda m: F.struct(m.isNotNull().alias("_read"), *[m[n].alias(f"_{n}") for n in names]))
+    rows = rows.select("*", F.inline(flat))
+    why = F.when(F.col("value").isNull(), "missing").when(F.col("_text").isNull(), "not_utf8").when(~F.col("_read"), "not_json")
+    return rows.withColumn("unreadable", why).drop("_text", "_p", "_read")
 
 
 def _record(topic: DataFrame) -> list[str]:
@@ -49,15 +54,15 @@ def classify_envelopes(topic: DataFrame, channels: Sequence[str] | None = None)
     known by the id in its body; a room's id carries a prefix of four characters there.
     """
     rows = _strict(topic, _ENVELOPE)
-    rows = J.once(rows, "_d", J.parse_strict(F.col("m.data"), _BODY))
-    rows = J.once(rows, "b", F.when(J.accepted(F.col("_d"), F.col("m.data")), F.col("_d")["w"]["body"]))
-    kind = F.when(F.col("m.activityType").isin(*WIDGET_TYPES), "widget").when(F.col("m.activityType") == ROOM_TYPE, "room")
-    state = F.col("m.mgdbStatus")
+    rows = J.once(rows, "_d", J.parse_strict(F.col("_data"), _BODY))
+    rows = J.once(rows, "b", F.when(J.accepted(F.col("_d"), F.col("_data")), F.col("_d")["w"]["body"]))
+    kind = F.when(F.col("_activityType").isin(*WIDGET_TYPES), "widget").when(F.col("_activityType") == ROOM_TYPE, "room")
+    state = F.col("_mgdbStatus")
     numeric = F.try_variant_get(state, "$", "double")
     zero = ~F.schema_of_variant(state).isin("STRING", "VOID") & (numeric == 0)
     doc_id = F.when(kind == "room", F.substring(F.col("b.mgdbId"), 5, 1 << 30)).otherwise(F.col("b.mgdbId"))
-    version = X.parse_integer(F.col("m.version"))
-    listened = F.lit(True) if channels is None else F.coalesce(F.col("m.channel").isin(*channels), F.lit(False))
+    version = X.parse_integer(F.col("_version"))
+    listened = F.lit(True) if channels is None else F.coalesce(F.col("_channel").isin(*channels), F.lit(False))
     reason = (
         F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
         .when(~listened, "other_channel")
@@ -69,7 +74,7 @@ def classify_envelopes(topic: DataFrame, channels: Sequence[str] | None = None)
     )
     return rows.select(
         *_record(topic), "value", reason.alias("reject_reason"), kind.alias("kind"), doc_id.alias("doc_id"), version.alias("version"),
-        F.col("m.time").alias("time"), F.coalesce(zero, F.lit(False)).alias("number_zero"), "b",
+        F.col("_time").alias("time"), F.coalesce(zero, F.lit(False)).alias("number_zero"), "b",
     )
 
 
@@ -156,23 +161,23 @@ def classify_ondemand(topic: DataFrame) -> DataFrame:
     """All on-demand messages; `reject_reason` is null for those of a known type that go offline or belong to the package of
     their type."""
     rows = _strict(topic, _ONDEMAND)
-    operation = X.parse_integer(F.col("m.operation"))
-    packages = {"217": F.col("m.data.productInfoPackageId"), "208": F.col("m.data.content.PRODUCT_INFO_PACKAGE_ID")}
+    operation = X.parse_integer(F.col("_operation"))
+    packages = {"217": F.col("_data.productInfoPackageId"), "208": F.col("_data.content.PRODUCT_INFO_PACKAGE_ID")}
     owned = F.lit(False)
     for kind, package in ONDEMAND_PACKAGES.items():
-        owned = owned | ((F.col("m.type") == kind) & F.coalesce(packages[kind] == package, F.lit(False)))
-    version = X.parse_integer(F.col("m.version"))
+        owned = owned | ((F.col("_type") == kind) & F.coalesce(packages[kind] == package, F.lit(False)))
+    version = X.parse_integer(F.col("_version"))
     reason = (
         F.when(F.col("unreadable").isNotNull(), F.col("unreadable"))
-        .when(~F.coalesce(F.col("m.type").isin(*ONDEMAND_PACKAGES), F.lit(False)), "other_type")
+        .when(~F.coalesce(F.col("_type").isin(*ONDEMAND_PACKAGES), F.lit(False)), "other_type")
         .when(operation.isNull(), "unreadable_operation")
         .when((operation != OFFLINE_OPERATION) & ~owned, "other_product")
-        .when(F.col("m.id").isNull(), "missing_id")
+        .when(F.col("_id").isNull(), "missing_id")
         .when(version.isNull(), "unreadable_version")
     )
     return rows.select(
-        *_record(topic), "value", reason.alias("reject_reason"), F.lit("ondemand").alias("kind"), F.col("m.type").alias("type"),
-        F.col("m.id").alias("doc_id"), version.alias("version"), F.col("m.time").alias("time"),
+        *_record(topic), "value", reason.alias("reject_reason"), F.lit("ondemand").alias("kind"), F.col("_type").alias("type"),
+        F.col("_id").alias("doc_id"), version.alias("version"), F.col("_time").alias("time"),
         (operation == OFFLINE_OPERATION).alias("offline"),
     )
 
