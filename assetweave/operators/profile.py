@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetweave.functions import payload as J, search, text as X, vectors as V
-from assetweave.operators.scan import arrival, rows_at
+from assetweave.operators.scan import arrival, places, rows_at
+from assetweave.operators.upsert import WRITTEN
 
 ITEM = "struct<type:string,vectorDimension:string,vector:variant>"
 PROFILE_BODY = ("struct<type:string,assetId:string,asset_id:string,assert_id:string,vector:variant,"
@@ -228,26 +231,42 @@ def field_paths(decoded: DataFrame) -> DataFrame:
     return fields.groupBy("f.path", "f.type").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def first_rows(df: DataFrame, limit: int, counted: Column | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
-    """Rows in arrival order up to the `limit`-th one for which `counted` holds (all rows by default).
+def _cut(rows: DataFrame, limit: int, hit: Column, chunk_rows: int) -> int | None:
+    """The arrival of the `limit`-th row for which `hit` holds; None if there are fewer.
 
     Counts by chunk of the arrival order find the chunk of the cut; only that chunk is ranked. So a large limit
     does not sort the topic, and it does not pass through one task.
     """
-    hit = F.coalesce(counted, F.lit(False)) if counted is not None else F.lit(True)
-    rows = df.withColumn("_arrival", arrival())
-    chunk = F.expr(f"_arrival div {chunk_rows}")
+    chunk = F.expr(f"arrival div {chunk_rows}")
     sizes = rows.where(hit).groupBy(chunk.alias("_chunk")).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     cut = before.where(F.col("before") < limit).orderBy(F.desc("_chunk")).limit(1).collect()
     if not cut:
-        return df.limit(0) if limit <= 0 else df
-    inside = rows.where(hit & (chunk == cut[0]["_chunk"])).orderBy("_arrival").limit(int(limit - cut[0]["before"]))
-    last, seen = inside.agg(F.max("_arrival"), F.count(F.lit(1))).first()
-    if seen < limit - cut[0]["before"]:
-        return df
-    return rows.where(F.col("_arrival") <= last).drop("_arrival")
+        return None
+    wanted = int(limit - cut[0]["before"])
+    inside = rows.where(hit & (chunk == cut[0]["_chunk"])).select("arrival").orderBy("arrival").limit(wanted)
+    last, seen = inside.agg(F.max("arrival"), F.count(F.lit(1))).first()
+    return last if seen == wanted else None
+
+
+def first_rows(df: DataFrame, limit: int, counted: Column | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Rows in arrival order up to the `limit`-th one for which `counted` holds (all rows by default)."""
+    if limit <= 0:
+        return df.limit(0)
+    hit = F.coalesce(counted, F.lit(False)) if counted is not None else F.lit(True)
+    last = _cut(df.withColumn("arrival", arrival()), limit, hit, chunk_rows)
+    return df if last is None else df.where(arrival() <= last)
+
+
+def first_written(statuses: DataFrame, limit: int, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Statuses of a guarded upsert (landed, see `upsert.guard_status`) of a run that stops with its `limit`-th written row.
+
+    A verdict depends on earlier documents of its key only, so the verdicts of the whole topic hold for every run
+    that stops earlier; the place of the stop comes from counts of written rows.
+    """
+    last = _cut(statuses, limit, F.col("status") == WRITTEN, chunk_rows)
+    return statuses if last is None else statuses.where(F.col("arrival") <= last)
 
 
 def first_match(documents: DataFrame, key: str = "row_key") -> DataFrame:
@@ -255,19 +274,39 @@ def first_match(documents: DataFrame, key: str = "row_key") -> DataFrame:
     return rows_at(documents, documents.groupBy(key).agg(F.min(arrival()).alias("arrival")))
 
 
-def table_profile(table: DataFrame, key: str = "row_key") -> DataFrame:
-    """For each column how many rows have it, next to the number of rows and of rows without any cell."""
+def first_by_key(table: DataFrame, limit: int, key: str = "row_key") -> DataFrame:
+    """The first `limit` rows in the order of their keys, in which a table is scanned; no limit with 0. The cut is found on
+    the keys alone."""
+    if limit <= 0:
+        return table
+    cut = places(table.select(key), [key]).where(F.col("place") == limit).select(key).first()
+    return table if cut is None else table.where(F.col(key).isNull() | (F.col(key) <= cut[0]))
+
+
+def table_profile(table: DataFrame, key: str = "row_key", limit: int = 0) -> DataFrame:
+    """(column, present): the number of rows, of rows without any cell and of those with a cell of each column, in one pass.
+
+    The first row, without a `column`, has the totals alone, so a table of empty rows keeps them. With a limit only the
+    first rows by key are looked at, and `truncated` says whether the limit was reached.
+    """
+    scanned = first_by_key(table, limit, key)
     columns = [c for c in table.columns if c != key]
     empty = F.coalesce(*[F.col(c).cast("string") for c in columns]).isNull()
-    totals = table.agg(
+    totals = scanned.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(empty).alias("empty_rows"),
         *[F.count(c).alias(f"_{n}") for n, c in enumerate(columns)],
     )
-    cells = F.explode(F.array(*[
+    cells = F.explode(F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("bigint").alias("present")), *[
         F.struct(F.lit(c).alias("column"), F.col(f"_{n}").alias("present")) for n, c in enumerate(columns)
     ])).alias("cell")
-    return totals.select("row_count", "empty_rows", cells).select("row_count", "empty_rows", "cell.*").where("present > 0")
+    rows = totals.select("row_count", "empty_rows", _truncated(limit), cells).select("row_count", "empty_rows", "truncated", "cell.*")
+    return rows.where("column IS NULL OR present > 0")
+
+
+def _truncated(limit: int) -> Column:
+    reached = F.col("row_count") >= limit if limit > 0 else F.lit(False)
+    return reached.alias("truncated")
 
 
 def map_profile(table: DataFrame, cells: str = "cells", family: str = "cf") -> DataFrame:
@@ -277,5 +316,45 @@ def map_profile(table: DataFrame, cells: str = "cells", family: str = "cf") -> D
 
 
 def table_samples(table: DataFrame, size: int = 5, limit: int = 80, key: str = "row_key") -> DataFrame:
+    """The first rows by key with their cells cut short. Every task keeps `size` rows at most."""
     rows = table.orderBy(key).limit(size)
     return rows.select(key, *[F.when(F.col(c).isNotNull(), X.truncate(F.col(c), limit)).alias(c) for c in table.columns if c != key])
+
+
+def table_summary(table: DataFrame, size: int = 3, limit: int = 0, key: str = "row_key") -> DataFrame:
+    """One row for the JSON summary of a table: totals, sorted columns, presence by column, samples, truncated flag.
+
+    Apart from the samples, which are `size` rows, it holds one entry a column.
+    """
+    profiled = table_profile(table, key, limit)
+    named = F.col("column").isNotNull()
+    listed = F.sort_array(F.collect_list(F.when(named, F.struct("column", "present"))))
+    totals = profiled.groupBy("row_count", "empty_rows", "truncated").agg(listed.alias("columns"))
+    cells = [F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in sorted(table.columns) if c != key]
+    samples = table_samples(table, size, key=key).select(F.struct(
+        F.col(key).alias("row_key"), F.map_from_entries(F.filter(F.array(*cells), lambda e: e["value"].isNotNull())).alias("columns")
+    ).alias("sample"))
+    gathered = samples.agg(F.collect_list("sample").alias("samples")).select(
+        F.array_sort("samples", lambda a, b: F.when(a["row_key"] < b["row_key"], -1).when(a["row_key"] > b["row_key"], 1).otherwise(0)).alias("samples")
+    )
+    columns = F.col("columns")
+    return totals.join(gathered, F.lit(True)).select(  # one row each
+        "row_count", "empty_rows", F.transform(columns, lambda c: c["column"]).alias("unique_columns"),
+        F.map_from_entries(columns).alias("column_presence"), "samples", "truncated",
+    )
+
+
+def listing(counters: Sequence[DataFrame]) -> DataFrame:
+    """All counters as one ordered list: (place, section, key, value, n). Sections follow in the given order, keys rise, and
+    within a key counts fall; equal counts are ordered by their values. Each counter has (section, key, value, n)."""
+    rows = counters[0].withColumn("_section", F.lit(0))
+    for number, counter in enumerate(counters[1:], 1):
+        rows = rows.unionByName(counter.withColumn("_section", F.lit(number)))
+    return places(rows, ["_section", F.asc_nulls_first("key"), F.desc("n"), F.asc_nulls_first("value")]).drop("_section")
+
+
+def counter(rows: DataFrame, section: str, value: str, key: str | None = None, n: Column | None = None) -> DataFrame:
+    """Counts of a column, or of a column within each key, as `listing` takes them."""
+    text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+    counts = rows.where(F.col(value).isNotNull()).select(text(key).alias("key"), text(value).alias("value"), (n if n is not None else F.lit(1)).alias("_n"))
+    return counts.groupBy("key", "value").agg(F.sum("_n").cast("bigint").alias("n")).select(F.lit(section).alias("section"), "key", "value", "n")

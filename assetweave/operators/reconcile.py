@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetweave.functions import text as X
+from assetweave.operators.profile import first_by_key
 from assetweave.session import materialize
 
 # Package ids searched by default.
@@ -16,11 +17,12 @@ REPORT_FIELDS = {"program_id": "program_ids", "product_info_package_id": "produc
 
 
 def asset_ids(table: DataFrame, limit: int = 0) -> DataFrame:
-    """(row_key, asset_id): the asset id, else its alternative spelling, else the row key; blank ones are dropped."""
+    """(row_key, asset_id): the asset id, else its alternative spelling, else the row key; blank ones are dropped. With a limit
+    the first ones by row key, counted after the blank ones are gone."""
     texts = [F.when(F.col(c) != "", F.col(c)) for c in ("assetId", "assert_id") if c in table.columns]
     rows = table.select("row_key", F.coalesce(*texts, F.col("row_key")).alias("asset_id"))
     rows = rows.where(X.is_present(F.col("asset_id")))
-    return rows.limit(limit) if limit > 0 else rows
+    return first_by_key(rows, limit)
 
 
 def distinct_ids(rows: DataFrame) -> DataFrame:
@@ -213,6 +215,26 @@ def relation_examples(summary: DataFrame, limit: int = 20) -> DataFrame:
     return missing_diagnosis(summary).orderBy("asset_id").limit(limit)
 
 
+def example_lists(summary: DataFrame, hits: DataFrame, pairs: DataFrame, limit: int = 20) -> DataFrame:
+    """(kind, key, listed): the first missing ids, ids with several programmes and programmes with several ids, by name, each
+    with all it has: a missing id its packages and programmes outside the filter, the others what they are tied to.
+
+    The `limit` keys of a kind are chosen before anything is listed for them.
+    """
+    missing = summary.where(F.col("hits") == 0).select("asset_id").orderBy("asset_id").limit(limit)
+    outside = joined_values(hits.join(F.broadcast(missing), "asset_id", "left_semi"), ["product_info_package_id", "program_id"])
+    packages, programs = (F.coalesce(c, F.lit("")) for c in ("product_info_package_id", "program_id"))
+    known = F.concat(F.lit("package_ids="), packages, F.lit(" program_ids="), programs)
+    listed = F.when((packages == "") & (programs == ""), "package_ids=<not_found>").otherwise(known)
+    rows = missing.join(outside, "asset_id", "left").select(F.lit("missing").alias("kind"), F.col("asset_id").alias("key"), listed.alias("listed"))
+    for kind, one, many in (("many_programs", "asset_id", "program_id"), ("many_assets", "program_id", "asset_id")):
+        several = pairs.groupBy(one).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(one).limit(limit).select(one)
+        chosen = pairs.join(F.broadcast(several), one, "left_semi").groupBy(F.col(one).alias("key")).agg(
+            F.array_join(F.array_sort(F.collect_list(many)), ",").alias("listed"))
+        rows = rows.unionByName(chosen.select(F.lit(kind).alias("kind"), "key", "listed"))
+    return rows
+
+
 def enrich_fields(rows: DataFrame, hits: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(row_key, fields): the cells to merge into the table, in full; rows without any value are left out."""
     cells = materialize(joined_values(hits, fields), "cells")

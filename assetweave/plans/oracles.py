@@ -271,9 +271,50 @@ register("vector_dim_counts", PROFILE, "SELECT type, coalesce(CAST(declared AS V
 register("vector_type_status", PROFILE, f"SELECT type, status, CAST({BYTES} AS BIGINT) AS bytes, CAST({DIMS} AS BIGINT) AS dimension, count(*) AS items FROM el GROUP BY 1, 2, 3, 4")
 register("type_subtotal", PROFILE, "SELECT count(*) AS items, count(*) FILTER (status = 'valid') AS valid FROM el WHERE type = '1'")
 _CELLS = ("assetId", "assert_id", "version", "modelName", "summary")
-register("table_profile", ASSETS, " UNION ALL ".join(
-    f"""SELECT count(*) AS row_count, count(*) FILTER (coalesce({_q(_CELLS)}) IS NULL) AS empty_rows, '{c}' AS "column", count("{c}") AS present
-    FROM asset_table HAVING count("{c}") > 0""" for c in _CELLS))
+
+
+def _profiled(table: str, truncated: str) -> str:
+    head = f"count(*) AS row_count, count(*) FILTER (coalesce({_q(_CELLS)}) IS NULL) AS empty_rows, {truncated} AS truncated"
+    return f'SELECT {head}, CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS BIGINT) AS present FROM {table} UNION ALL ' + " UNION ALL ".join(
+        f"""SELECT {head}, '{c}', count("{c}") FROM {table} HAVING count("{c}") > 0""" for c in _CELLS)
+
+
+STORED: Ctes = ASSETS + [("sr", "SELECT * FROM asset_table WHERE trim(row_key) <> ''")]
+register("table_profile", ASSETS, _profiled("asset_table", "false"))
+register("table_profile_limited", STORED + [("sl", "SELECT * FROM sr ORDER BY row_key LIMIT 1000")], _profiled("sl", "count(*) >= 1000"))
+register("table_samples", STORED, "SELECT row_key, " + ", ".join(
+    f"""CASE WHEN length("{c}") <= 8 THEN "{c}" ELSE substr("{c}", 1, 8) || '...<len=' || length("{c}") || '>' END AS "{c}\"""" for c in _CELLS)
+    + " FROM sr ORDER BY row_key LIMIT 5")
+_SAMPLE = "concat_ws(',', " + ", ".join(f"""'"{c}":"' || "{c}" || '"'""" for c in sorted(_CELLS)) + ")"
+register("table_summary", STORED + [
+    ("pf", _profiled("sr", "false")), ("sm", "SELECT * FROM sr ORDER BY row_key LIMIT 3"),
+], f"""SELECT any_value(row_count) AS row_count, any_value(empty_rows) AS empty_rows, string_agg("column", ',' ORDER BY "column") AS unique_columns,
+    string_agg("column" || '=' || present, ',' ORDER BY "column") AS presence, any_value(truncated) AS truncated,
+    (SELECT '[' || string_agg('{{"row_key":"' || row_key || '","columns":{{' || {_SAMPLE} || '}}}}', ',' ORDER BY row_key) || ']' FROM sm) AS samples FROM pf""")
+register("encoded_cells", STORED, """SELECT row_key, 'assetId' AS "column", "assetId" AS value FROM sr WHERE "assetId" IS NOT NULL
+    UNION ALL SELECT row_key, 'meta', '{' || concat_ws(',', '"version":"' || version || '"', '"modelName":"' || "modelName" || '"') || '}' FROM sr
+    UNION ALL SELECT row_key, 'labels', '[' || concat_ws(',', '"' || assert_id || '"', '"' || summary || '"') || ']' FROM sr""")
+
+
+def _counted(section: str, table: str, value: str, key: str | None = None, n: str = "count(*)") -> str:
+    """One counter of the listing; `n` may be another aggregate."""
+    return (f"SELECT '{section}' AS section, {f'CAST({key} AS VARCHAR)' if key else 'CAST(NULL AS VARCHAR)'} AS key, CAST({value} AS VARCHAR) AS value, "
+            f"CAST({n} AS BIGINT) AS n FROM {table} WHERE {value} IS NOT NULL GROUP BY 2, 3")
+
+
+_MESSAGE_VALUES = {"status": "status", "bytes": BYTES, "dimension": DIMS}
+_COUNTERS = [
+    _counted("type", "ty", "type"), _counted("item type", "(SELECT * FROM message WHERE it IS NOT NULL)", "coalesce(it ->> '$.type', '<missing>')"),
+    *[_counted(n, "message", v) for n, v in _MESSAGE_VALUES.items()],
+    _counted("list items", "el", "type"), _counted("list messages", "el", "type", n='count(DISTINCT ("partition", "offset"))'),
+    _counted("list assets", "el", "type", n="count(DISTINCT asset_id)"),
+    _counted("list declared", "el", "coalesce(CAST(declared AS VARCHAR), '<missing>')", "type"),
+    *[_counted(f"list {n}", "el", v, "type") for n, v in _MESSAGE_VALUES.items()],
+]
+register("counter_listing", PROFILE + [
+    ("ty", "SELECT CASE WHEN error IS NOT NULL THEN '<invalid_json>' WHEN coalesce(msg_type, '') = '' THEN '<missing>' ELSE msg_type END AS type FROM vec"),
+    ("cs", " UNION ALL ".join(f"SELECT {n} AS number, * FROM ({c})" for n, c in enumerate(_COUNTERS))),
+], "SELECT row_number() OVER (ORDER BY number, key NULLS FIRST, n DESC, value NULLS FIRST) AS place, section, key, value, n FROM cs")
 
 # Upserts
 
@@ -283,6 +324,13 @@ register("guarded_upsert_chunked", UPSERTED, f"SELECT row_key, {_q(FIELDS)} FROM
 register("guarded_upsert", UPSERTED, f"SELECT row_key, {_q(FIELDS)}, '2024-01-01 00:00:00' AS operate_time FROM upserted")
 
 
+for _name in ("written_limit", "written_limit_chunked"):
+    register(_name, STEPPED + [
+        ("stop", "SELECT arrival FROM step WHERE status = 'written' ORDER BY arrival LIMIT 700"),
+        ("written", "SELECT v.* FROM valid v WHERE arrival IN (SELECT arrival FROM stop)"),
+    ], "SELECT row_key, " + ", ".join(f'arg_max("{c}", arrival) FILTER ("{c}" IS NOT NULL) AS "{c}"' for c in FIELDS) + " FROM written GROUP BY row_key")
+
+
 def joined(field: str) -> str:
     return f"string_agg(DISTINCT \"{field}\", '|' ORDER BY \"{field}\") FILTER (trim(\"{field}\") <> '')"
 
@@ -318,6 +366,34 @@ register("relation_examples", IDS, _DIAGNOSIS + " ORDER BY asset_id LIMIT 20")
 PAIRS: Ctes = IDS + [("pairs", "SELECT DISTINCT asset_id, program_id FROM hits WHERE trim(program_id) <> '' AND asset_id IN (SELECT asset_id FROM uids)")]
 register("multi_program", PAIRS, "SELECT asset_id, program_id, count(*) OVER (PARTITION BY asset_id) AS program_count FROM pairs QUALIFY program_count > 1")
 register("multi_asset", PAIRS, "SELECT program_id, asset_id, count(*) OVER (PARTITION BY program_id) AS asset_count FROM pairs QUALIFY asset_count > 1")
+_LISTED = """SELECT '{kind}' AS kind, {one} AS key, string_agg({many}, ',' ORDER BY {many}) AS listed FROM pairs GROUP BY {one} HAVING count(*) > 1
+    ORDER BY {one} LIMIT 10"""
+register("relation_example_lists", PAIRS + [
+    ("ms", "SELECT asset_id FROM uids WHERE asset_id NOT IN (SELECT asset_id FROM hits) ORDER BY asset_id LIMIT 10"),
+    ("md", f"""SELECT asset_id, coalesce({joined('product_info_package_id')}, '') AS pk, coalesce({joined('program_id')}, '') AS pr FROM alldocs GROUP BY asset_id"""),
+    ("mp", _LISTED.format(kind="many_programs", one="asset_id", many="program_id")), ("ma", _LISTED.format(kind="many_assets", one="program_id", many="asset_id")),
+], """SELECT 'missing' AS kind, asset_id AS key, CASE WHEN coalesce(pk, '') = '' AND coalesce(pr, '') = '' THEN 'package_ids=<not_found>'
+        ELSE 'package_ids=' || pk || ' program_ids=' || pr END AS listed FROM ms LEFT JOIN md USING (asset_id)
+    UNION ALL SELECT * FROM mp UNION ALL SELECT * FROM ma""")
+register("limited_ids", IDS, "SELECT row_key, asset_id FROM ids WHERE trim(row_key) <> '' ORDER BY row_key LIMIT 500")
+_DOC = ("assert_id", "category", "name", "product_info_package_id", "program_id")
+_PRESENT = "list_filter([" + ", ".join(f"CASE WHEN {f} IS NOT NULL THEN '{f}' END" for f in _DOC) + "], lambda x: x IS NOT NULL)"
+_JSON = "'{' || concat_ws(',', " + ", ".join(f"""'"{f}":"' || {f} || '"'""" for f in _DOC) + ") || '}'"
+register("document_report", IDS + [
+    ("st", "SELECT a.row_key, i.asset_id, list_filter([" + ", ".join(f"CASE WHEN \"{c}\" IS NOT NULL THEN '{c}' END" for c in sorted(_CELLS))
+     + "], lambda x: x IS NOT NULL) AS stored FROM asset_table a JOIN ids i USING (row_key) WHERE trim(row_key) <> ''"),
+    ("tot", "SELECT assert_id AS asset_id, count(*) AS total FROM document_index WHERE assert_id IS NOT NULL GROUP BY 1"),
+    ("dn", "SELECT *, row_number() OVER (PARTITION BY assert_id ORDER BY doc_id) AS hit FROM document_index WHERE assert_id IS NOT NULL QUALIFY hit <= 3"),
+    ("dl", f"""SELECT assert_id AS asset_id, hit, list_concat(['', '--- document ' || hit || ' ---', '_id=' || doc_id, 'program_id=' || coalesce(program_id, 'None'),
+        'assert_id=' || assert_id, 'product_info_package_id=' || product_info_package_id, 'top_level_fields=' || array_to_string({_PRESENT}, ','),
+        'field_path_count=' || len({_PRESENT}), '=== source field paths ==='], list_concat(list_transform({_PRESENT}, lambda x: x || ' (string)'),
+        ['=== source JSON ===', {_JSON}])) AS ls FROM dn"""),
+    ("hd", """SELECT row_key, CAST(0 AS BIGINT) AS hit, list_concat(['=== stored row ===', 'row_key=' || row_key, 'assetId=' || asset_id],
+        list_concat(CASE WHEN len(stored) > 0 THEN ['columns=' || array_to_string(stored, ',')] ELSE [] END,
+        list_concat(['', '=== documents ===', 'total=' || coalesce(total, 0) || ' returned=' || least(coalesce(total, 0), 3)],
+        CASE WHEN total IS NULL THEN ['No document found for ' || asset_id || '.'] ELSE [] END))) AS ls FROM st LEFT JOIN tot USING (asset_id)"""),
+    ("al", "SELECT row_key, hit, ls FROM hd UNION ALL SELECT row_key, hit, ls FROM st JOIN dl USING (asset_id)"),
+], "SELECT row_key, hit, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS line_no, unnest(ls) AS line FROM al")
 register("relation_summary", PAIRS, """SELECT (SELECT count(*) FROM ids) AS table_rows, (SELECT count(*) FROM uids) AS unique_ids,
     (SELECT count(*) FROM uids WHERE asset_id IN (SELECT asset_id FROM hits)) AS matched_ids,
     (SELECT count(*) FROM uids WHERE asset_id NOT IN (SELECT asset_id FROM hits)) AS missing_ids,

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assetweave.functions import payload as J, search, text as X, vectors as V
-from assetweave.operators import charts, ingest, profile, reconcile, status, upsert
+from assetweave.operators import charts, ingest, profile, reconcile, reports, status, upsert
 from assetweave.operators.scan import arrival
 from assetweave.plans import stages
-from assetweave.session import new_path
+from assetweave.session import materialize, new_path
+from assetweave.sinks import files
 from assetweave.sources import tables, topic as topics
 from assetweave.sources.derived import land, load
 from assetweave.streaming import gates, jobs
@@ -263,11 +264,66 @@ def type_subtotal(spark: SparkSession, sf: str) -> DataFrame:
     return profile.type_subtotal(profile.list_items(stages.messages(spark, sf)))
 
 
+@query
+def counter_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """All counters of the profile, in their printed order."""
+    messages, items = stages.messages(spark, sf), profile.list_items(stages.messages(spark, sf))
+    per_type = profile.vector_type_counts(messages)
+    types = profile.type_counts(stages.decoded(spark, sf))
+    return profile.listing([
+        profile.counter(types, "type", "type", n=F.col("messages")),
+        profile.counter(messages, "item type", "item_type"),
+        *[profile.counter(messages, name, f"vector.{name}") for name in ("status", "bytes", "dimension")],
+        *[profile.counter(per_type, f"list {name}", "type", n=F.col(name)) for name in ("items", "messages", "assets")],
+        profile.counter(profile.vector_dim_counts(items), "list declared", "dimension", "type", F.col("items")),
+        *[profile.counter(items, f"list {name}", name, "type") for name in ("status", "bytes", "dimension")],
+    ])
+
+
+def _stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored rows with a key; keys are unique."""
+    return load(spark, sf, "asset_table").where(X.is_present(F.col("row_key")))
+
+
 @query
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.table_profile(load(spark, sf, "asset_table"))
 
 
+@query
+def table_profile_limited(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.table_profile(_stored(spark, sf), limit=1000)
+
+
+@query
+def table_samples(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.table_samples(_stored(spark, sf), size=5, limit=8)
+
+
+@query
+def table_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON summary, written and read back."""
+    path = new_path(spark, "table-summary")
+    files.write_json(profile.table_summary(_stored(spark, sf)), path)
+    entry = "struct<row_key:string,columns:map<string,string>>"
+    shape = f"row_count bigint, empty_rows bigint, unique_columns array<string>, column_presence map<string,bigint>, samples array<{entry}>, truncated boolean"
+    rows = spark.read.schema(shape).json(path)
+    counts = F.transform("unique_columns", lambda c: F.concat(c, F.lit("="), F.element_at("column_presence", c).cast("string")))
+    return rows.select(
+        "row_count", "empty_rows", F.array_join("unique_columns", ",").alias("unique_columns"), F.array_join(counts, ",").alias("presence"),
+        F.to_json("samples").alias("samples"), "truncated",
+    )
+
+
+@query
+def encoded_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored rows as cells, nested values as JSON, and their columns without the family."""
+    rows = _stored(spark, sf).select(
+        "row_key", "assetId", F.struct("version", "modelName").alias("meta"), F.array_compact(F.array("assert_id", "summary")).alias("labels"),
+    )
+    return tables.listed_cells(tables.row_cells(rows))
+
+
 # Upserts
 
 
@@ -291,6 +347,25 @@ def guarded_upsert_chunked(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.guarded_upsert(documents, ingest.subset_fields(documents), hot_rows=500)
 
 
+def _written_limit(spark: SparkSession, sf: str, hot_rows: int, chunk_rows: int) -> DataFrame:
+    documents = stages.valid_documents(spark, sf)
+    fields = ingest.subset_fields(documents)
+    statuses = materialize(upsert.guard_status(documents, hot_rows=hot_rows, presence=fields), "statuses")
+    return upsert.current_rows(documents, profile.first_written(statuses, 700, chunk_rows), fields)
+
+
+@query
+def written_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """The table after a run that stops with its 700th written row."""
+    return _written_limit(spark, sf, upsert.HOT_ROWS, 1_000_000)
+
+
+@query
+def written_limit_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with small chunks, as larger topics and keys have."""
+    return _written_limit(spark, sf, 500, 100)
+
+
 @query
 def column_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     stored = load(spark, sf, "asset_table").where(X.is_present(F.col("row_key")))
@@ -389,6 +464,23 @@ def relation_examples(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.relation_examples(_summary(spark, sf))
 
 
+@query
+def relation_example_lists(spark: SparkSession, sf: str) -> DataFrame:
+    everything = reconcile.package_hits(load(spark, sf, "document_index"), None)
+    return reconcile.example_lists(_summary(spark, sf), everything, _pairs(spark, sf), limit=10)
+
+
+@query
+def limited_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.asset_ids(_stored(spark, sf), limit=500)
+
+
+@query
+def document_report(spark: SparkSession, sf: str) -> DataFrame:
+    table = _stored(spark, sf)
+    return reports.document_report(table, reconcile.asset_ids(table), load(spark, sf, "document_index"), size=3)
+
+
 @query
 def relation_values(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.field_values(_hits(spark, sf), list(reconcile.REPORT_FIELDS))

@@ -1,18 +1,14 @@
-"""File sinks: reports, summaries, samples, and keyed snapshots."""
+"""File sinks: reports, summaries, samples, and keyed tables."""
 
 from __future__ import annotations
 
-import json
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pyspark.sql.types import StructType
-
 from assetweave.operators.upsert import column_merge
+from assetweave.session import materialize
 
 TASKS_PER_BUCKET = 4
-_SCHEMA_ROW = -1
+BUCKET = "_bucket"
 
 
 def write_csv(report: DataFrame, path: str) -> None:
@@ -34,75 +30,34 @@ def write_change_log(events: DataFrame, path: str) -> None:
     events.write.mode("append").partitionBy("kind").parquet(path)
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets))
-
-
-# A snapshot is a folder with versions and manifests. A version holds the buckets that one write made; the manifest of
-# the same number says for every bucket which version holds it now, and the schema of the rows. A manifest is written
-# last, as one file, so a write that fails half way leaves the snapshot as it was.
-
-
-def _write_buckets(rows: DataFrame, path: str, version: int, key: str, buckets: int, tasks: int) -> None:
-    """One version's buckets; a bucket is written by up to `tasks` tasks, so its size does not bound the task's."""
-    dealt = rows.withColumns({"_bucket": bucket_of(key, buckets), "_salt": F.pmod(F.xxhash64(key), F.lit(tasks))})
-    dealt = dealt.repartition(buckets * tasks, "_bucket", "_salt").drop("_salt")
-    dealt.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/version-{version}")
-
+def write_report(lines: DataFrame, path: str, key: str = "row_key") -> None:
+    """Report lines (key, hit, line_no, line) as text, by ranges of the key: the files in their order are the whole report."""
+    order = [key, "hit", "line_no"]
+    lines.repartitionByRange(key).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
-def _write_manifest(spark: SparkSession, path: str, version: int, places: dict[int, int], schema: StructType) -> None:
-    entries = [(b, v, None) for b, v in sorted(places.items())] + [(_SCHEMA_ROW, version, schema.json())]
-    manifest = spark.createDataFrame(entries, "bucket int, version int, schema string").coalesce(1)
-    manifest.write.mode("errorifexists").parquet(f"{path}/manifest/number={version}")
 
-
-def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[int, int], StructType]:
-    """Number, place of each bucket, and schema of the latest manifest; one row for each bucket."""
-    every = spark.read.schema("bucket int, version int, schema string, number int").parquet(f"{path}/manifest")
-    number = every.agg(F.max("number")).first()[0]
-    rows = every.where(F.col("number") == number).collect()
-    schema = next(StructType.fromJson(json.loads(r["schema"])) for r in rows if r["bucket"] == _SCHEMA_ROW)
-    return number, {r["bucket"]: r["version"] for r in rows if r["bucket"] != _SCHEMA_ROW}, schema
-
-
-def _filled(spark: SparkSession, path: str, version: int) -> list[int]:
-    """Buckets that a version holds: at most as many as there are buckets."""
-    try:
-        written = spark.read.parquet(f"{path}/version-{version}")
-    except AnalysisException:
-        return []  # no row at all
-    return [r["_bucket"] for r in written.select("_bucket").distinct().collect()]
-
-
-def _read_buckets(spark: SparkSession, path: str, places: dict[int, int], schema: StructType) -> DataFrame:
-    folders = [f"{path}/version-{version}/_bucket={bucket}" for bucket, version in sorted(places.items())]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def write_snapshot(rows: DataFrame, path: str, buckets: int, key: str = "row_key", tasks: int = TASKS_PER_BUCKET) -> None:
-    """Keyed table laid out in folders by key hash, so that a merge only touches the folders it must."""
-    _write_buckets(rows, path, 0, key, buckets, tasks)
-    spark = rows.sparkSession
-    _write_manifest(spark, path, 0, dict.fromkeys(_filled(spark, path, 0), 0), rows.schema)
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.hash(key), F.lit(buckets))
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    _, places, schema = _manifest(spark, path)
-    return _read_buckets(spark, path, places, schema)
+def write_table(rows: DataFrame, path: str, buckets: int, key: str = "row_key", tasks: int = TASKS_PER_BUCKET) -> None:
+    """Keyed table as Parquet, partitioned by key hash, so that a merge only writes the partitions it must. A partition is
+    written by up to `tasks` tasks, so its size does not bound the task's."""
+    dealt = rows.withColumns({BUCKET: bucket_of(key, buckets), "_salt": F.pmod(F.xxhash64(key), F.lit(tasks))})
+    dealt = dealt.repartition(buckets * tasks, BUCKET, "_salt").drop("_salt")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
-def merge_snapshot(
-    spark: SparkSession, path: str, incoming: DataFrame, buckets: int, key: str = "row_key", tasks: int = TASKS_PER_BUCKET
-) -> int:
-    """Column-merge `incoming` into the snapshot; only folders with incoming keys are read and written anew.
+def merge_table(spark: SparkSession, path: str, incoming: DataFrame, buckets: int, key: str = "row_key", tasks: int = TASKS_PER_BUCKET) -> int:
+    """Column-merge `incoming` into the table; only partitions with incoming keys are read and overwritten.
 
-    `buckets` is the number the snapshot was written with. Returns the number of folders written.
+    `buckets` is the number the table was written with. The merged rows are landed before anything is overwritten, so a merge
+    that fails while it computes leaves the table as it was. A new column has to be merged into all partitions at once
+    or read with a schema that names it. Returns the number of partitions written.
     """
-    touched = {r["_bucket"] for r in incoming.select(bucket_of(key, buckets).alias("_bucket")).distinct().collect()}
+    touched = [r[0] for r in incoming.select(bucket_of(key, buckets)).distinct().collect()]  # at most `buckets` numbers
     if not touched:
         return 0
-    number, places, schema = _manifest(spark, path)
-    merged = column_merge(_read_buckets(spark, path, {b: v for b, v in places.items() if b in touched}, schema), incoming, key)
-    _write_buckets(merged, path, number + 1, key, buckets, tasks)
-    _write_manifest(spark, path, number + 1, places | dict.fromkeys(touched, number + 1), merged.schema)
+    stored = spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    write_table(materialize(column_merge(stored, incoming, key), "merged"), path, buckets, key, tasks)
     return len(touched)

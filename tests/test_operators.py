@@ -8,7 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from assetweave.operators import charts, ingest, profile, reconcile, status, upsert
+from assetweave.operators import charts, ingest, profile, reconcile, reports, status, upsert
+from assetweave.operators.scan import places
 from assetweave.sinks import files
 from assetweave.sources import tables
 from assetweave.streaming import gates, jobs
@@ -209,31 +210,63 @@ def test_column_merge_keeps_unmentioned_columns(spark):
     assert got == [("a", "1", "x", None), ("b", "2", "y", "n"), ("c", "3", None, None)]
 
 
-def test_snapshot_merge_touches_only_needed_buckets(spark, tmp_path):
-    path = str(tmp_path / "snapshot")
-    rows = spark.range(400).selectExpr("cast(id as string) row_key", "cast(id as string) v")
-    files.write_snapshot(rows, path, buckets=8)
-    written = list((tmp_path / "snapshot" / "version-0").rglob("part-*.parquet"))
-    assert len({f.name.split("-")[1] for f in written}) > 8  # more write tasks than buckets
+def test_table_merge_touches_only_needed_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(400).selectExpr("cast(id as string) row_key", "cast(id as string) v", "cast(null as int) w")
+    files.write_table(rows, path, buckets=8)
+    written = set((tmp_path / "table").rglob("part-*.parquet"))
+    assert len(written) > 8  # more write tasks than partitions
     incoming = spark.createDataFrame([("5", "new", 1), ("x", "add", 2)], "row_key string, v string, w int")
-    assert 1 <= files.merge_snapshot(spark, path, incoming, buckets=8) <= 2
-    got = {r["row_key"]: (r["v"], r["w"]) for r in files.read_snapshot(spark, path).collect()}
+    assert 1 <= files.merge_table(spark, path, incoming, buckets=8) <= 2
+    kept = set((tmp_path / "table").rglob("part-*.parquet")) & written
+    assert len({f.parent for f in kept}) >= 6
+    got = {r["row_key"]: (r["v"], r["w"]) for r in spark.read.parquet(path).collect()}
     assert got == {**{str(n): (str(n), None) for n in range(400)}, "5": ("new", 1), "x": ("add", 2)}
-    assert files.merge_snapshot(spark, path, incoming.limit(0), buckets=8) == 0
-
-
-def test_a_failed_snapshot_merge_leaves_the_old_version(spark, tmp_path):
-    path = str(tmp_path / "snapshot")
-    files.write_snapshot(spark.createDataFrame([("a", "1")], "row_key string, v string"), path, buckets=4)
-    broken = spark.createDataFrame([("a", "2"), ("b", "x")], "row_key string, v string").selectExpr("row_key", "if(row_key = 'b', raise_error('no'), v) v")
+    assert files.merge_table(spark, path, incoming.limit(0), buckets=8) == 0
+    broken = incoming.selectExpr("row_key", "if(row_key = 'x', raise_error('no'), v) v", "w")
     with pytest.raises(Exception, match="no"):
-        files.merge_snapshot(spark, path, broken, buckets=4)
-    assert [tuple(r) for r in files.read_snapshot(spark, path).collect()] == [("a", "1")]
-    assert files.merge_snapshot(spark, path, spark.createDataFrame([("a", "3")], "row_key string, v string"), buckets=4) == 1
-    assert [tuple(r) for r in files.read_snapshot(spark, path).collect()] == [("a", "3")]
-    empty = str(tmp_path / "empty")
-    files.write_snapshot(spark.createDataFrame([], "row_key string, v string"), empty, buckets=4)
-    assert files.read_snapshot(spark, empty).count() == 0
+        files.merge_table(spark, path, broken, buckets=8)
+    assert {r["row_key"]: (r["v"], r["w"]) for r in spark.read.parquet(path).collect()} == got
+
+
+def test_places_follow_the_order(spark):
+    rng = random.Random(2)
+    values = [(rng.randrange(40), f"k{n:03d}") for n in range(500)]
+    df = spark.createDataFrame(values, "a int, b string").repartition(7)
+    got = {(r["a"], r["b"]): r["place"] for r in places(df, [F.desc("a"), "b"]).collect()}
+    assert got == {v: n for n, v in enumerate(sorted(values, key=lambda v: (-v[0], v[1])), 1)}
+    assert places(df.limit(0), ["a"]).count() == 0
+
+
+def test_table_profile_keeps_totals_and_says_when_it_was_cut(spark):
+    bare = spark.createDataFrame([("a", None), ("b", None)], "row_key string, v string")
+    assert [tuple(r) for r in profile.table_profile(bare).collect()] == [(2, 2, False, None, None)]
+    assert tuple(profile.table_summary(bare).first())[:3] == (2, 2, [])
+    assert [tuple(r) for r in profile.table_profile(bare.limit(0)).collect()] == [(0, 0, False, None, None)]
+    rows = spark.range(50).selectExpr("format_string('%02d', id) row_key", "if(id < 20, 'x', null) v").repartition(5)
+    for limit, present in ((1, 1), (20, 20), (30, 20), (50, 20)):
+        got = {r["column"]: (r["row_count"], r["truncated"], r["present"]) for r in profile.table_profile(rows, limit=limit).collect()}
+        assert got == {None: (limit, True, None), "v": (limit, True, present)}
+    assert {r["truncated"] for r in profile.table_profile(rows, limit=51).collect()} == {False}
+
+
+def test_report_of_nested_documents_and_of_all_documents(spark, tmp_path):
+    documents = spark.createDataFrame(
+        [(f"d{n}", "a", "p", "1", [{"x": 1, "y": None}] if n else [], {"z": "t"} if n == 1 else None) for n in range(4)],
+        "doc_id string, assert_id string, program_id string, product_info_package_id string, parts array<struct<x:int,y:int>>, more struct<z:string>")
+    table = spark.createDataFrame([("r1", "v"), ("r2", None)], "row_key string, version string")
+    ids = spark.createDataFrame([("r1", "a"), ("r2", "none")], "row_key string, asset_id string")
+    lines = reports.document_report(table, ids, documents, size=0).orderBy("row_key", "hit", "line_no").collect()
+    first = [r["line"] for r in lines if r["row_key"] == "r1"]
+    assert first[:6] == ["=== stored row ===", "row_key=r1", "assetId=a", "columns=version", "", "=== documents ==="]
+    assert first[6] == "total=4 returned=4" and [x for x in first if x.startswith("---")] == [f"--- document {n} ---" for n in range(1, 5)]
+    second = first[first.index("--- document 2 ---"):first.index("--- document 3 ---")]
+    at = second.index("=== source field paths ===")
+    assert second[at + 1:at + 7] == ["assert_id (string)", "more.z (string)", "parts (list[1])", "parts[0].x (int)", "product_info_package_id (string)", "program_id (string)"]
+    assert json.loads(second[-2])["parts"] == [{"x": 1}]
+    assert [r["line"] for r in lines if r["row_key"] == "r2"][-2:] == ["total=0 returned=0", "No document found for none."]
+    files.write_report(reports.document_report(table, ids, documents, size=0), str(tmp_path / "report"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "report")).collect()) == sorted(r["line"] for r in lines)
 
 
 def test_first_rows_cuts_at_the_matched_limit(spark):
@@ -330,7 +363,7 @@ def test_map_tables(spark):
     flat = tables.cells_to_columns(table, ["a", "b"])
     assert sorted(tuple(r) for r in flat.collect()) == [("r1", "1", "\ufffd"), ("r2", "2", None), ("r3", None, None)]
     got = {r["column"]: (r["row_count"], r["empty_rows"], r["present"]) for r in profile.table_profile(flat).collect()}
-    assert got == {"a": (3, 1, 2), "b": (3, 1, 1)}
+    assert got == {None: (3, 1, None), "a": (3, 1, 2), "b": (3, 1, 1)}
     assert profile.table_samples(flat, 1).first()["a"] == "1"
 
 
