@@ -187,7 +187,13 @@ def test_fingerprints_equal_brute_force(spark):
     k, w = winnowing.GRAM, winnowing.WINDOW
     grams = lambda t: [t[p:p + k] for p in range(max(1, len(t) - k + 1))] if t else []
     every = sorted({g for t in texts for g in grams(t)})
-    value = dict(spark.createDataFrame([(g,) for g in every], "g string").select("g", F.expr("shiftrightunsigned(xxhash64(g), 16)")).collect())
+    def joined(first, size):  # the hash of a run from the code points on, four parts each time
+        if size == 1:
+            return f"xxhash64(substring(g, {first}, 1))"
+        return "xxhash64(" + ", ".join(joined(first + n * size // 4, size // 4) for n in range(4)) + ")"
+
+    hashed = F.expr(f"shiftrightunsigned(if(char_length(g) < {k}, xxhash64(g), {joined(1, k)}), 16)")
+    value = dict(spark.createDataFrame([(g,) for g in every], "g string").select("g", hashed).collect())
     signed = lambda x: x - (1 << 48) if x >= 1 << 47 else x
     for i, text in enumerate(texts):
         hashes = [signed(value[g]) for g in grams(text)]
@@ -249,6 +255,26 @@ def test_next_document_with_ties_nulls_and_one_row(spark, docs):
     assert winnowing.with_next(docs([]).select("doc_id", "text"), ["text"]).count() == 0
 
 
+@pytest.mark.parametrize("parts", ["1", "8", "31"])
+def test_hot_and_null_ids_are_dealt_out(spark, parts):
+    rng = random.Random(3)
+    rows = [(5, f"hot {n}") for n in range(300)] + [(None, f"null {n}") for n in range(300)] + [(rng.randrange(-50, 60), f"t{n}") for n in range(300)]
+    rows += [(-2**63, "low"), (2**63 - 1, "high"), (7, "same"), (7, "same")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        sizes = sorted(r[1] for r in winnowing._ranges(df, int(parts))[0].groupBy("_range").count().collect())
+        assert sizes[-1] < 3 * len(rows) / int(parts) + 20
+        found = winnowing.with_next(df, ["doc_id", "text"]).collect()
+        hashes = dict(df.select("text", F.xxhash64("text")).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = sorted(rows, key=lambda r: (r[0] is None, -r[0] if r[0] is not None else 0, hashes[r[1]], r[1]))
+    wanted = sorted(str((a, b)) for a, b in zip([r[1] for r in order], [r[1] for r in order[1:] + order[:1]]))
+    assert sorted(str((r["text"], r["next"]["text"])) for r in found) == wanted
+
+
 def test_a_value_in_many_repositories_of_few_owners_is_an_example(spark):
     copied, own = "AKIA" + "Q" * 16, "AKIA" + "R" * 16
     rows = [(i, copied, f"owner{i % 4}", f"part{i % 3}") for i in range(12)] + [(90 + i, own, "owner0", f"part{i}") for i in range(12)]
