@@ -13,12 +13,16 @@ half of the windows the entity is written in another way first (without country
 spelled out), so the model learns entities the patterns miss.
 
 Defined results: a null or empty text has no spans; repeated rows are searched each; very long texts cost windows only
-where something looks like data; an empty table gives no rows. Other columns are kept out.
+where something looks like data, and time in proportion to their length; of equally good segmentations one that ends in plain
+text is taken, else the shorter entity, else the kind that is listed first; an empty table gives no rows. Other columns,
+whatever their names, are kept out.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,7 +36,7 @@ from assetweave.llm.streams import arrow_stream
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")  # possessive: a run of digits is gone through once
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -41,7 +45,7 @@ MOST_ATOMS, MOST_CHARS, MARGIN = 24, 64, 24
 SURE = 0.75
 EPOCHS, RATE = 6, 0.3
 _ATOM = re.compile(r"[A-Za-z]+|[0-9]+|[^\S\n]+|.", re.S)
-_TRIGGER = re.compile(r"@|[0-9][0-9 ().+-]{5,}[0-9]|[0-9]+\.[0-9]+\.[0-9]+|(?i:[([{ ]at[)\]} ]\S+\s?[([{ ]dot)")
+_TRIGGER = re.compile(r"@|[0-9][0-9 ().+-]{5,}[0-9]|[0-9]+\.[0-9]+\.[0-9]+|(?i:[([{ ]at[)\]} ][^\s([{]++\s?[([{ ]dot)")
 _ANY = re.compile(r"[0-9@]|(?i:[([{ ]dot)")
 
 
@@ -101,39 +105,92 @@ def windows(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def shape(text: str) -> str:
-    """Letters, digits and blanks of a segment as one sign each run, digits with their number."""
-    out = []
-    for atom in _ATOM.findall(text):
-        c = atom[0]
-        out.append(f"d{min(len(atom), 9)}" if "0" <= c <= "9" else "w" if c.isalpha() else "_" if c.isspace() else c)
-    return "".join(out)
-
-
-def segment_features(text: str, before: str, after: str) -> list[str]:
-    digits = _digits(text)
-    signs = "".join(sorted({c for c in text if not c.isalnum()}))
-    words = [w.lower() for w in re.findall(r"[A-Za-z]+", text)]
-    dotted = text.split(".")
-    ip = len(dotted) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in dotted)
-    at = "@" in text or "at" in words
-    return [
-        f"digits={min(len(digits), 20)}", f"signs={signs}", f"luhn={len(digits) >= 13 and luhn(digits)}",
-        f"card={16 <= len(digits) <= 19 and luhn(digits) and not words}", f"ip={ip}", f"at={at}",
-        f"mail={at and ('.' in text or 'dot' in words) and ' ' not in text.strip()}",
-        f"spelled={at and 'dot' in words}", f"words={bool(words)}", f"groups={len(re.findall('[0-9]+', text))}",
-        f"tail={shape(text)[-5:] if not words else 'w'}", f"phone={not words and 8 <= len(digits) <= 15 and len(re.findall('[0-9]+', text)) > 2}",
-        f"first={shape(text[:1])}", f"joins={before[-1:].isalnum() or before[-1:] in ('.', '-', '@')}",
-        f"goes on={after[:1].isalnum() or after[:1] == '@'}", f"balanced={text.count('(') == text.count(')')}",
-    ]
-
-
-def may_be_entity(text: str) -> bool:
-    """What any entity has: it does not begin or end with a blank, and has an at, seven digits or three dots."""
-    if text[0].isspace() or text[-1].isspace() or not (text[-1].isalnum()) or "\n" in text:
-        return False
-    digits = len(_digits(text))
-    return "@" in text or " at " in text.lower() or "at]" in text.lower() or "at)" in text.lower() or 7 <= digits <= 20 or digits >= 4 and text.count(".") == 3
+def _code(atom: str) -> str:
+    c = atom[0]
+    return f"d{min(len(atom), 9)}" if "0" <= c <= "9" else "w" if c.isalpha() else "_" if c.isspace() else c
+
+
+# What the features of a segment are made of, in their order.
+Key = tuple[int, str, bool, bool, bool, bool, bool, bool, bool, int, str, bool, str, bool, bool, bool]
+_NAMES = ("digits", "signs", "luhn", "card", "ip", "at", "mail", "spelled", "words", "groups", "tail", "phone", "first", "joins", "goes on", "balanced")
+
+
+def feature_names(key: Key) -> list[str]:
+    return [f"{name}={value}" for name, value in zip(_NAMES, key, strict=True)]
+
+
+class Atoms:
+    """A window as atoms: letters, digits, blanks, single signs."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.atoms = _ATOM.findall(text)
+        self.bounds = [0]
+        for atom in self.atoms:
+            self.bounds.append(self.bounds[-1] + len(atom))
+        self.codes = [_code(a) for a in self.atoms]
+        self.may_say_at = "@" in text or "at" in text.lower()
+
+    def into(self, j: int) -> Iterator[tuple[int, Key]]:
+        """(first atom, key) of every segment that ends with atom j - 1 and may be an entity: it begins with no blank, ends with a
+        letter or digit, is on one line, and has an at, seven digits or three dots. All features grow with the segment."""
+        text, bounds, atoms = self.text, self.bounds, self.atoms
+        end = bounds[j]
+        if not text[end - 1].isalnum():
+            return
+        after = text[end:end + 1]
+        goes_on = after.isalnum() or after == "@"
+        digits = check = groups = dots = opened = 0
+        words = at_word = dot_word = at_sign = space = False
+        signs: set[str] = set()
+        sorted_signs = tail = ""
+        for i in range(j - 1, max(0, j - MOST_ATOMS) - 1, -1):
+            start, atom = bounds[i], atoms[i]
+            if end - start > MOST_CHARS or atom == "\n":
+                return
+            c = atom[0]
+            blank = False
+            if "0" <= c <= "9":
+                groups += 1
+                for d in reversed(atom):  # the sum counts from the right, so digits before change none of it
+                    n = ord(d) - 48
+                    check += n if digits % 2 == 0 else n * 2 - 9 * (n > 4)
+                    digits += 1
+            elif "a" <= c <= "z" or "A" <= c <= "Z":
+                words = True
+                low = atom.lower() if len(atom) < 4 else ""
+                at_word, dot_word = at_word or low == "at", dot_word or low == "dot"
+            elif not c.isalnum():
+                blank = c.isspace()
+                if not signs.issuperset(atom):
+                    signs.update(atom)
+                    sorted_signs = "".join(sorted(signs))
+                dots += c == "."
+                opened += (c == "(") - (c == ")")
+                at_sign, space = at_sign or c == "@", space or " " in atom
+            if len(tail) < 5:
+                tail = self.codes[i] + tail
+            if blank:
+                continue
+            if not (7 <= digits <= 20 or digits >= 4 and dots == 3 or at_sign or self.may_say_at and self._says_at(start, end)):
+                continue
+            luhn_, at = digits >= 13 and check % 10 == 0, at_sign or at_word
+            before = text[start - 1:start]
+            yield i, (
+                min(digits, 20), sorted_signs, luhn_, 16 <= digits <= 19 and luhn_ and not words, dots == 3 and _is_ip(text[start:end]), at,
+                at and (dots > 0 or dot_word) and not space, at and dot_word, words, groups, "w" if words else tail[-5:],
+                not words and 8 <= digits <= 15 and groups > 2, "d1" if "0" <= c <= "9" else _code(c),
+                before.isalnum() or before in (".", "-", "@"), goes_on, opened == 0,
+            )
+
+    def _says_at(self, start: int, end: int) -> bool:
+        low = self.text[start:end].lower()
+        return " at " in low or "at]" in low or "at)" in low
+
+
+def _is_ip(text: str) -> bool:
+    parts = text.split(".")
+    return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)
 
 
 @dataclass
@@ -146,21 +203,17 @@ class Lattice:
 
 
 def lattice(window: str) -> Lattice:
-    bounds = [0]
-    for found in _ATOM.finditer(window):
-        bounds.append(found.end())
-    out = Lattice(bounds)
-    for j in range(1, len(bounds)):
-        atom = window[bounds[j - 1]:bounds[j]]
+    """All segments at once, for windows to learn from."""
+    atoms = Atoms(window)
+    out = Lattice(atoms.bounds)
+    for j in range(1, len(atoms.bounds)):
         out.edges.append((j - 1, j, 0))
-        out.names.append([f"atom={shape(atom)}"])
-        for i in range(max(0, j - MOST_ATOMS), j):
-            text = window[bounds[i]:bounds[j]]
-            if len(text) <= MOST_CHARS and may_be_entity(text):
-                names = segment_features(text, window[:bounds[i]], window[bounds[j]:])
-                for kind in range(1, len(KINDS) + 1):
-                    out.edges.append((i, j, kind))
-                    out.names.append(names)
+        out.names.append([f"atom={atoms.codes[j - 1]}"])
+        for i, key in atoms.into(j):
+            names = feature_names(key)
+            for kind in range(1, len(KINDS) + 1):
+                out.edges.append((i, j, kind))
+                out.names.append(names)
     return out
 
 
@@ -201,19 +254,76 @@ def posteriors(lat: Lattice, scores: list[float]) -> np.ndarray:
     return np.exp([forward[i] + s + backward[j] - forward[-1] for (i, j, _), s in zip(lat.edges, scores, strict=True)])
 
 
-def best_path(lat: Lattice, scores: list[float]) -> list[int]:
-    """The segments of the best segmentation."""
-    size = len(lat.bounds)
-    best, back = [-np.inf] * size, [-1] * size
-    best[0] = 0.0
-    for k, (i, j, _) in enumerate(lat.edges):  # edges come in order of their ends
-        if best[i] + scores[k] > best[j]:
-            best[j], back[j] = best[i] + scores[k], k
-    path, at = [], size - 1
-    while at:
-        path.append(back[at])
-        at = lat.edges[back[at]][0]
-    return path[::-1]
+_MOST_KEPT = 200_000
+
+
+class Scorer:
+    """Scores of segments by their keys; what was computed is kept, up to a bound."""
+
+    def __init__(self, model: Model):
+        self.weights = {name: [0.0] * (len(KINDS) + 1) for _, name in model.number}
+        for (kind, name), n in model.number.items():
+            self.weights[name][kind] = float(model.weights[n])
+        self.kept: dict[Key, list[float]] = {}
+        self.none = [0.0] * (len(KINDS) + 1)
+
+    def plain(self, code: str) -> float:
+        return self.weights.get("bias", self.none)[0] + self.weights.get(f"atom={code}", self.none)[0]
+
+    def entity(self, key: Key) -> list[float]:
+        """The score of each kind, from 1 on."""
+        found = self.kept.get(key)
+        if found is None:
+            if len(self.kept) >= _MOST_KEPT:
+                self.kept.clear()
+            rows = [self.weights.get(n, self.none) for n in ["bias", *feature_names(key)]]
+            found = self.kept[key] = [sum(r[k] for r in rows) for k in range(1, len(KINDS) + 1)]
+        return found
+
+
+def _log_sum(terms: list[float]) -> float:
+    most = max(terms)
+    return most + math.log(sum(math.exp(t - most) for t in terms))
+
+
+def decode(window: str, scorer: Scorer) -> list[tuple[int, int, int, float]]:
+    """(start, end, kind, probability) of the entities of the best segmentation, in characters.
+
+    Forward sums and best segmentation in one pass, backward sums in another one over the same segments, which are made
+    anew: only a few numbers an atom are kept, however long the window is.
+    """
+    atoms = Atoms(window)
+    size = len(atoms.bounds)
+    plain = [scorer.plain(c) for c in atoms.codes]
+    forward, best, back, several = [0.0] * size, [0.0] * size, [(0, 0, 0.0)] * size, False
+    for j in range(1, size):
+        terms = [forward[j - 1] + plain[j - 1]]
+        best[j], back[j] = best[j - 1] + plain[j - 1], (j - 1, 0, plain[j - 1])
+        for i, key in atoms.into(j):
+            several = True
+            for kind, score in enumerate(scorer.entity(key), 1):
+                terms.append(forward[i] + score)
+                if best[i] + score > best[j]:
+                    best[j], back[j] = best[i] + score, (i, kind, score)
+        forward[j] = _log_sum(terms) if len(terms) > 1 else terms[0]
+    path, j = [], size - 1
+    while j and several:
+        i, kind, score = back[j]
+        if kind:
+            path.append((i, j, kind, score))
+        j = i
+    if not path:
+        return []
+    out: list[list[float]] = [[] for _ in range(size)]  # of the segments that begin at an atom, until it is reached
+    backward = [0.0] * size
+    for j in range(size - 1, 0, -1):
+        if j < size - 1:
+            backward[j] = _log_sum(out[j])
+            out[j] = []
+        out[j - 1].append(plain[j - 1] + backward[j])
+        for i, key in atoms.into(j):
+            out[i].extend(score + backward[j] for score in scorer.entity(key))
+    return [(atoms.bounds[i], atoms.bounds[j], kind, math.exp(forward[i] + score + backward[j] - forward[-1])) for i, j, kind, score in path[::-1]]
 
 
 def rewritten(kind: str, text: str, turn: int) -> str:
@@ -235,12 +345,14 @@ def samples(text: str | None) -> list[tuple[str, str, int, int]]:
     if not text or not _ANY.search(text):
         return []
     spans, out = base_spans(text), []
+    starts, ends = sorted(s for _, s, _ in spans), sorted(e for _, _, e in spans)
+    touching = lambda low, high: bisect_left(starts, high) - bisect_right(ends, low)
     for kind, start, end in spans:
         low, high = max(0, start - MARGIN), min(len(text), end + MARGIN)
-        if end - start <= MOST_CHARS and sum(s < high and e > low for _, s, e in spans) == 1:
+        if end - start <= MOST_CHARS and touching(low, high) == 1:
             out.append((text[low:high], kind, start - low, end - low))
     for low, high in windows(text):
-        if high - low <= 4 * MOST_CHARS and not any(s < high and e > low for _, s, e in spans):
+        if high - low <= 4 * MOST_CHARS and not touching(low, high):
             out.append((text[low:high], "", 0, 0))
     return out
 
@@ -280,29 +392,38 @@ def train(rows: list[tuple[str, str, int, int]]) -> Model:
     return model
 
 
-def find(text: str | None, model: Model) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+def _merged(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the places that spans cover, apart from each other."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def find(text: str | None, model: Model | Scorer) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans with what the model adds, by kind, then start."""
     if not text or not _ANY.search(text):
         return [], []
+    scorer = model if isinstance(model, Scorer) else Scorer(model)
     base = base_spans(text)
+    starts, ends = _merged(base)
+    covered = lambda low, high: range(bisect_right(ends, low), bisect_left(starts, high))
     added = []
     for low, high in windows(text):
-        taken = [(s, e) for _, s, e in base if s < high and e > low]
-        rest = text[low:high]
-        for s, e in taken:
-            rest = rest[:max(0, s - low)] + " " * (min(e, high) - max(s, low)) + rest[max(0, min(e, high) - low):]
-        if not _TRIGGER.search(rest):
-            continue
-        lat = lattice(text[low:high])
-        if all(kind == 0 for _, _, kind in lat.edges):
+        rest, at = [], low
+        for n in covered(low, high):
+            rest += [text[at:max(at, starts[n])], " " * (min(ends[n], high) - max(starts[n], low))]
+            at = min(ends[n], high)
+        if not _TRIGGER.search("".join([*rest, text[at:high]])):
             continue
-        scores = model.scores(model.indexes(lat))
-        sure = posteriors(lat, scores)
-        for k in best_path(lat, scores):
-            i, j, kind = lat.edges[k]
-            start, end = low + lat.bounds[i], low + lat.bounds[j]
-            if kind and sure[k] >= SURE and not any(s < end and e > start for s, e in taken):
-                added.append((KINDS[kind - 1], start, end))
+        for start, end, kind, sure in decode(text[low:high], scorer):
+            if sure >= SURE and not covered(low + start, low + end):
+                added.append((KINDS[kind - 1], low + start, low + end))
     order = {k: n for n, k in enumerate(KINDS)}
     key = lambda s: (order[s[0]], s[1], s[2])
     return sorted(base, key=key), sorted(base + added, key=key)
@@ -339,8 +460,9 @@ def spans_column(docs: DataFrame, text: str | Column, model: Model) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
 
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(shared.value)
         for batch in batches:
-            found = [find(t.as_py(), shared.value) for t in batch]
+            found = [find(t.as_py(), scorer) for t in batch]
             as_rows = lambda spans: [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans]
             yield pa.StructArray.from_arrays(
                 [pa.array(as_rows([b for b, _ in found]), _SPANS_TYPE), pa.array(as_rows([a for _, a in found]), _SPANS_TYPE)],

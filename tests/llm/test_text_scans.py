@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -99,9 +101,36 @@ def test_pii_base_spans_equal_brute_force():
         assert pii.base_spans(text) == brute_pii(text)
 
 
-def test_a_pattern_hazard_takes_linear_time():
-    for text in ("a" * 300_000, "1" * 300_000, "+" * 300_000, "a@" * 100_000, "1." * 100_000):
+def dense(kind, size):
+    rng = random.Random(4)
+    piece = {
+        "letters": lambda: "a", "digits": lambda: "1", "plus": lambda: "+", "ats": lambda: "a@", "dots": lambda: "1.", "at marks": lambda: "[at]",
+        "at words": lambda: " at ", "at run": lambda: "(at)x", "numbers": lambda: f"{rng.randrange(10 ** rng.randrange(1, 9))} ",
+        "phones": lambda: f"+1 (603) {rng.randrange(100, 1000)}-{rng.randrange(1000, 10000)} ", "addresses": lambda: f"u{rng.randrange(99)}@h{rng.randrange(99)}.org ",
+        "spelled": lambda: f"u{rng.randrange(99)} at h{rng.randrange(99)} dot org ", "ips": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)) + " ",
+        "signs": lambda: rng.choice("0123456789().+- "),
+    }[kind]
+    out, length = [], 0
+    while length < size:
+        out.append(piece())
+        length += len(out[-1])
+    return "".join(out)
+
+
+HAZARDS = ["letters", "digits", "plus", "ats", "dots", "at marks", "at words", "at run", "numbers", "phones", "addresses", "spelled", "ips", "signs"]
+
+
+@pytest.mark.parametrize("kind", HAZARDS)
+def test_a_pattern_hazard_takes_linear_time(pii_model, kind):
+    times = []
+    for size in (75_000, 300_000):
+        text = dense(kind, size)
+        began = time.process_time()
         pii.base_spans(text)
+        pii.find(text, pii_model)
+        pii.samples(text)
+        times.append(time.process_time() - began)
+    assert times[1] < 30 and times[1] < 7 * times[0] + 1
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +153,75 @@ def test_pii_posteriors_sum_to_one(pii_model):
         assert abs(sum(p for p, (i, j, _) in zip(sure, lat.edges) if i <= atom < j) - 1) < 1e-6
 
 
+def segmentations(lat, scores):
+    """Every segmentation of a short window as (score, edges)."""
+    after = {}
+    for k, (i, _, _) in enumerate(lat.edges):
+        after.setdefault(i, []).append(k)
+
+    def from_(at):
+        if at == len(lat.bounds) - 1:
+            yield 0.0, ()
+        for k in after.get(at, []):
+            for total, rest in from_(lat.edges[k][1]):
+                yield scores[k] + total, (k, *rest)
+
+    return list(from_(0))
+
+
+@pytest.mark.parametrize("window", [
+    "1.2.3.4", "a 555-8791-22 b", "x at y dot z", "(603) 555-8791", "a@b.cd 1", "+1 603 555 8791", "1234567", "no", "é@1", "4111 1111 1111 1111",
+    "12345678\n87654321", "[at] 1234567", "", "..12345678",
+])
+def test_decoding_equals_an_enumeration_of_all_segmentations(pii_model, window):
+    lat, scorer = pii.lattice(window), pii.Scorer(pii_model)
+    scores = pii_model.scores(pii_model.indexes(lat))
+    every = segmentations(lat, scores)
+    best = max(total for total, _ in every)
+    weight = sum(math.exp(total - best) for total, _ in every)
+    share = lambda k: sum(math.exp(total - best) for total, edges in every if k in edges) / weight
+    number = {(lat.bounds[i], lat.bounds[j], kind): k for k, (i, j, kind) in enumerate(lat.edges)}
+    assert all(abs(p - share(k)) < 1e-9 for k, p in enumerate(pii.posteriors(lat, scores))) if window else True
+    found = pii.decode(window, scorer)
+    chosen = [edges for total, edges in every if total > best - 1e-9]
+    assert [(s, e, k) for s, e, k, _ in found] in [
+        [(lat.bounds[i], lat.bounds[j], kind) for i, j, kind in (lat.edges[k] for k in edges) if kind] for edges in chosen]
+    assert all(abs(sure - share(number[s, e, kind])) < 1e-9 for s, e, kind, sure in found)
+
+
+def plain_features(text, before, after):
+    """The features of a whole segment, from its text."""
+    digits, words = "".join(c for c in text if "0" <= c <= "9"), [w.lower() for w in re.findall(r"[A-Za-z]+", text)]
+    groups, at = len(re.findall("[0-9]+", text)), "@" in text or "at" in words
+    shape = "".join(pii._code(a) for a in pii._ATOM.findall(text))
+    ok = len(digits) >= 13 and pii.luhn(digits)
+    return (
+        min(len(digits), 20), "".join(sorted({c for c in text if not c.isalnum()})), ok, 16 <= len(digits) <= 19 and ok and not words,
+        pii._is_ip(text), at, at and ("." in text or "dot" in words) and " " not in text, at and "dot" in words, bool(words), groups,
+        "w" if words else shape[-5:], not words and 8 <= len(digits) <= 15 and groups > 2, "".join(pii._code(a) for a in pii._ATOM.findall(text[0])),
+        before.isalnum() or before in (".", "-", "@"), after.isalnum() or after == "@", text.count("(") == text.count(")"),
+    )
+
+
+def test_growing_features_equal_those_of_whole_segments():
+    rng = random.Random(6)
+    pieces = ["at", "dot", "AT", " ", "  ", "(", ")", "@", ".", "-", "1", "22", "4111", "1111111", "é", "x", "\n", "٣", "+", "]", "[", "\t", "0" * 13]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        atoms = pii.Atoms(text)
+        for j in range(1, len(atoms.bounds)):
+            got = dict(atoms.into(j))
+            for i in range(max(0, j - pii.MOST_ATOMS), j):
+                part = text[atoms.bounds[i]:atoms.bounds[j]]
+                n, low = len([c for c in part if "0" <= c <= "9"]), part.lower()
+                says = "@" in part or " at " in low or "at]" in low or "at)" in low or 7 <= n <= 20 or n >= 4 and part.count(".") == 3
+                may = len(part) <= pii.MOST_CHARS and not part[0].isspace() and part[-1].isalnum() and "\n" not in part and says
+                assert (i in got) == may, (text, part)
+                if may:
+                    wanted = plain_features(part, text[:atoms.bounds[i]][-1:], text[atoms.bounds[j]:][:1])
+                    assert got[i] == wanted, (text, part)
+
+
 def test_op4_on_the_tables(spark, sf_dir):
     rows = {r["doc_id"]: r for r in queries.op4_pii(spark, sf_dir).collect()}
     for doc_id, text in duckdb.sql(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall():
