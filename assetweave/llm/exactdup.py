@@ -11,7 +11,7 @@ stream's output and all tables between lie in the shared folder.
 
 Defined results: a null text is an empty one; all empty and blank texts are copies of each other; a null doc_id loses
 against any other and groups like any row; repeated rows are copies of each other, and `keep_row` marks one of them; an
-empty table gives no rows. Only doc_id and text are used, other columns cannot clash.
+empty table gives no rows. Only doc_id and text are used; columns with the names of inner ones stay as they are.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assetweave.llm.scratch import land, new_folder
+from assetweave.llm.scratch import free_name, land, new_folder
 
 BLANKS = " \t\n\u000b\f\r"
 SALT = 500  # copies of a group that meet the kept text in one task
@@ -40,12 +40,12 @@ _STATE = {
 }
 
 
-def located(docs: DataFrame) -> DataFrame:
+def located(docs: DataFrame, file: str = FILE, row: str = ROW) -> DataFrame:
     """The documents with file and row; a table that is not read from files is landed first."""
     try:
-        return docs.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
     except AnalysisException:
-        return located(land(docs, "located"))
+        return located(land(docs, "located"), file, row)
 
 
 def normalised(text: str | Column) -> Column:
@@ -145,9 +145,15 @@ def exact_groups(
     )
 
 
+def without_rows(whole: DataFrame, dropped: DataFrame, place: list[str], columns: list[str]) -> DataFrame:
+    """`whole` with the columns `columns`, without the rows at the places of the landed table `dropped`."""
+    return whole.join(small(dropped, BROADCAST_ROWS), place, "left_anti").select(*columns)
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents without all copies but the one that stays, with all their columns."""
-    whole = located(docs)
-    groups = exact_groups(whole.drop(FILE, ROW) if "_metadata" not in docs.columns else docs)
-    dropped = land(groups.where("NOT keep_row").select(FILE, ROW), "dropped")
-    return whole.join(small(dropped, BROADCAST_ROWS), [FILE, ROW], "left_anti").drop(FILE, ROW)
+    """The documents without all copies but the one that stays, with all their columns, whatever these are called."""
+    place = [free_name(docs.columns, FILE), free_name(docs.columns, ROW)]
+    whole = located(docs, *place)
+    groups = exact_groups(whole.drop(*place))
+    dropped = land(groups.where("NOT keep_row").select(F.col(FILE).alias(place[0]), F.col(ROW).alias(place[1])), "dropped")
+    return without_rows(whole, dropped, place, docs.columns)

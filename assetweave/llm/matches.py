@@ -7,6 +7,8 @@ costs n * (256 + n / 256) steps and no join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _BLOCK = 256
@@ -16,16 +18,95 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda total, x: total + x)
 
 
-def before(lengths: Column) -> Column:
-    """For each number of an array, the sum of those before it."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once. Inside a lambda an expression would be computed for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _carried(values: Column, of_block: Callable[[Column], Column]) -> Column:
+    """For each block of an array the aggregate of all blocks before it."""
     blocks = F.transform(
-        F.when(F.size(lengths) > 0, F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int"))).otherwise(F.array().cast("array<int>")),
-        lambda b: _sum(F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))),
+        F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))).otherwise(F.array().cast("array<int>")),
+        lambda b: of_block(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))),
     )
-    carried = F.transform(blocks, lambda _, b: _sum(F.slice(blocks, F.lit(1), b)))
-    return F.transform(lengths, lambda _, i: F.get(carried, F.floor(i / _BLOCK).cast("int")) + _sum(
-        F.slice(lengths, (i - i % _BLOCK + 1).cast("int"), (i % _BLOCK).cast("int"))
-    ))
+    return let(blocks, lambda all_: F.transform(all_, lambda _, b: of_block(F.slice(all_, F.lit(1), b))))
+
+
+def _in_blocks(values: Column, of_block: Callable[[Column], Column], put: Callable[[Column, Column], Column], own: int) -> Column:
+    """For each number `put` of the aggregate of the blocks before and of the numbers before it in its block, with its `own`."""
+    def run(it: Column) -> Column:
+        return F.transform(it["v"], lambda _, i: put(
+            F.get(it["c"], F.floor(i / _BLOCK).cast("int")),
+            of_block(F.slice(it["v"], (i - i % _BLOCK + 1).cast("int"), (i % _BLOCK + own).cast("int"))),
+        ))
+
+    return let(values, lambda v: let(F.struct(v.alias("v"), _carried(v, of_block).alias("c")), run))
+
+
+def before(lengths: Column) -> Column:
+    """For each number of an array, the sum of those before it."""
+    return _in_blocks(lengths, _sum, lambda blocks, inside: blocks + inside, 0)
+
+
+def highest(values: Column) -> Column:
+    """For each number of an array, the largest of those up to it."""
+    return _in_blocks(values, F.array_max, F.greatest, 1)
+
+
+def touches(span: Column, others: Column) -> Column:
+    """Whether a span overlaps one of `others`, a plain column or variable, sorted and apart from each other: the first one
+    that ends behind the span's start is found by halving."""
+    size = F.size(others)
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        before_ = F.get(others, middle)["end"] <= span["start"]
+        open_ = at["low"] < at["high"]
+        return F.struct(
+            F.when(open_ & before_, middle + 1).otherwise(at["low"]).alias("low"), F.when(open_ & ~before_, middle).otherwise(at["high"]).alias("high")
+        )
+
+    turns = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    first = F.aggregate(turns, F.struct(F.lit(0).alias("low"), size.alias("high")), halve, lambda at: at["low"])
+    return (size > 0) & F.coalesce(F.get(others, first)["start"] < span["end"], F.lit(False))
+
+
+def replaced(text: Column, spans_: Column, mark: str) -> Column:
+    """The text with a mark in place of each of the sorted spans; overlapping ones become one mark.
+
+    Merged spans come from running maxima of the ends. What lies between them is cut out of chunks of the text, so a cut
+    costs a chunk and its own length, wherever in a very long text it lies.
+    """
+    chunk = 8192
+
+    def between(it: Column, low: Column, high: Column) -> Column:
+        blocks = F.sequence(F.floor(low / chunk).cast("int"), F.floor((high - 1) / chunk).cast("int"))
+        cut = F.transform(blocks, lambda b: F.substring(
+            F.get(it["chunks"], b), (F.greatest(low - b * chunk, F.lit(0)) + 1).cast("int"),
+            (F.least(high - b * chunk, F.lit(chunk)) - F.greatest(low - b * chunk, F.lit(0))).cast("int"),
+        ))
+        return F.when(low < high, F.array_join(cut, "")).otherwise(F.lit(""))
+
+    def build(it: Column) -> Column:
+        count, last = F.size(it["apart"]), F.size(it["ends"]) - 1
+
+        def gap(k: Column) -> Column:
+            """From the end of the merged span before the k-th to its start."""
+            following = F.get(it["apart"], k)  # null behind the last one
+            low = F.when(k == 0, F.lit(0)).otherwise(F.get(it["ends"], F.coalesce(following - 1, last)))
+            return let(F.struct(low.alias("low"), F.coalesce(F.get(it["starts"], following), it["size"]).alias("high")),
+                       lambda g: between(it, g["low"], g["high"]))
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), count), gap), mark)
+
+    def merged(it: Column) -> Column:
+        """With the places of the spans that begin at or behind the end of all before."""
+        apart = F.filter(F.transform(it["starts"], lambda at, i: F.when((i == 0) | (at >= F.get(it["ends"], i - 1)), i)), lambda i: i.isNotNull())
+        chunks = F.transform(F.sequence(F.lit(0), F.floor(it["size"] / chunk).cast("int")), lambda b: F.substring(text, b * chunk + 1, F.lit(chunk)))
+        return let(it.withField("apart", apart).withField("chunks", chunks), build)
+
+    starts, ends = F.transform(spans_, lambda s: s["start"]), highest(F.transform(spans_, lambda s: s["end"]))
+    return let(F.struct(starts.alias("starts"), ends.alias("ends"), F.length(text).alias("size")), merged)
 
 
 def spans(text: Column, pattern: str, kind: str, order: int, value_group: int = 0) -> Column:

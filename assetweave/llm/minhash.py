@@ -13,8 +13,8 @@
    it has classes. So every candidate pair is confirmed, refuted, or already in one component.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and are linked with nothing; rows without a
-doc_id take no part and have neither component nor `kept`; repeated rows are copies of each other. Columns other than
-the two asked for are not used, so their names cannot clash.
+doc_id take no part and have neither component nor `kept`; repeated rows are copies of each other. `drop_near_copies` decides by
+row, not by doc_id. Columns other than the two asked for are not used, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.llm.components import components
-from assetweave.llm.scratch import land
+from assetweave.llm.exactdup import FILE, ROW, located, without_rows
+from assetweave.llm.scratch import free_name, land
 from assetweave.llm.shingles import WORDS, shingle_hashes, shingle_sets, text_words
 from assetweave.llm.spans import mix
 from assetweave.llm.streams import arrow_stream, give_back
@@ -40,6 +41,7 @@ BITS = 4
 BLOCK = 1024
 SURE = 5  # standard deviations
 BROADCAST_ROWS = 1_000_000  # of (doc_id, 16-byte digest): 40 MB at most
+PLACES = 200_000  # of (file, row), 200 bytes each: 40 MB at most
 _FACTORS = np.random.default_rng(7).integers(1, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _CHANCE = 2.0**-BITS
 
@@ -188,29 +190,41 @@ def bucket_links(classes: list, component: list, signature: list, shingles: list
 
 def near_groups(docs: DataFrame, percent: int = 85, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each document; component_id is the smallest doc_id reachable by links."""
-    ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    signed = land(ids.select("doc_id", signature_column("text", words).alias("s")).select("doc_id", "s.*"), "signatures")
+    ids = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"))
+    found = _groups(ids, percent, words, BROADCAST_ROWS)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
+    )
+
+
+def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFrame:
+    """(id, n_shingles, component) of (id, text) rows; ids of any type with an order, the smallest one names a component.
+
+    Every side that comes from an aggregate is landed before it is joined: with bare shuffles on both sides adaptive
+    execution splits a digest or a band key that very many rows have.
+    """
+    signed = land(ids.select("id", signature_column("text", words).alias("s")).select("id", "s.*"), "signatures")
     classes = land(
-        signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
+        signed.where("n > 0 AND id IS NOT NULL").groupBy("digest")
+        .agg(F.min("id").alias("first_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
         "classes",
     )
     entries = classes.select("digest", F.explode("bands").alias("key"))
-    several = entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    several = land(entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "several")
     buckets = land(entries.join(several, "key"), "buckets")
 
     # The classes in buckets, with signature and full set.
     inside = buckets.select("digest").distinct()
     wanted = land(classes.join(inside, "digest", "left_semi").select("first_id", "digest", "signature"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    chosen = wanted.select(F.col("first_id").alias("doc_id"), "digest")
-    texts = ids.join(F.broadcast(chosen.select("doc_id")) if few else chosen.select("doc_id"), "doc_id", "left_semi")
-    sets = texts.select("doc_id", set_column("text", words).alias("s")).select("doc_id", "s.*")
-    sets = sets.join(chosen, ["doc_id", "digest"]).groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    few = wanted.count() <= few_rows
+    chosen = wanted.select(F.col("first_id").alias("id"), "digest")
+    texts = ids.join(F.broadcast(chosen.select("id")) if few else chosen.select("id"), "id", "left_semi")
+    sets = texts.select("id", set_column("text", words).alias("s")).select("id", "s.*")
+    sets = sets.join(chosen, ["id", "digest"]).groupBy("digest").agg(F.first("shingles").alias("shingles"))
     full = land(wanted.select("digest", "signature").join(sets, "digest"), "sets")
 
     # Every class against the smallest and the largest of each of its buckets.
-    ends = buckets.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    ends = land(buckets.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")), "ends")
     pairs = buckets.join(ends, "key").select(F.explode(F.array("low", "high")).alias("a"), F.col("digest").alias("b"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     signs = full.select("digest", "signature")
@@ -259,17 +273,20 @@ def near_groups(docs: DataFrame, percent: int = 85, words: int = WORDS) -> DataF
     smallest = names.groupBy("component").agg(F.min("first_id").alias("component_id"))
     reach = names.join(smallest, "component").select(F.col("node").alias("digest"), "component_id")
     of_class = classes.select("digest", "first_id").join(reach, "digest", "left").select("digest", F.coalesce("component_id", "first_id").alias("component_id"))
-    several = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return several.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    several = signed.select("id", F.col("n").alias("n_shingles"), "digest").join(land(of_class, "of-class"), "digest", "left")
+    return several.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component"))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without all of a group but the one with its smallest doc_id, with all their columns.
 
-    Rows without a doc_id stay. The documents to drop are broadcast if they are few, otherwise joined.
+    Groups are of rows, known by file and place: of rows with equal doc_ids one in a group stays, and one that is linked
+    with nothing stays whatever its id is. Rows without a doc_id go first where another one of the group has one. The
+    places to drop are broadcast if they are few, otherwise joined.
     """
-    groups = near_groups(docs, percent)
-    dropped = land(groups.where("NOT kept").select("doc_id").distinct(), "dropped")
-    few = dropped.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select(*docs.columns)
+    place = [free_name(docs.columns, FILE), free_name(docs.columns, ROW)]
+    whole = located(docs, *place)
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("doc_id"), *[F.col(p).alias(n) for p, n in zip(place, ("file", "row"))])
+    groups = _groups(whole.select(row.alias("id"), "text"), percent, WORDS, PLACES)
+    dropped = groups.where("id <> component").select(F.col("id.file").alias(place[0]), F.col("id.row").alias(place[1]))
+    return without_rows(whole, land(dropped, "dropped"), place, docs.columns)

@@ -12,7 +12,9 @@ all their features; a text has at most as many as there are weights. Scoring is
 
 Defined results: null and empty texts have no words, and are scored by their bins alone; rows without a rating grade
 or doc_id are not used to fit; of several ratings of a document the lowest counts; with fewer than two grades among
-the ratings there is nothing to learn, and every text has the top grade; an empty table gives no rows.
+the ratings there is nothing to learn, and every text has the top grade; an empty table gives no rows. Of several rows of a
+rated doc_id the smallest text is learned from. All columns are kept; the score takes the name it is given, which
+must be free.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from assetweave.llm.scratch import free_name
 from assetweave.llm.shingles import _BLANK, _LOWER
 from assetweave.llm.spans import hash_spans, mix
 from assetweave.llm.streams import arrow_stream
@@ -183,15 +186,18 @@ def train(docs: DataFrame, ratings: DataFrame, top: int, most: int = MOST_RATED)
     rated = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # `most` rows of 16 bytes
     texts = docs.select(docs["doc_id"], docs["text"]).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))  # one text of an id, so the bound holds for rows too
     rows = texts.select("doc_id", "grade", feature_column("text").alias("features")).toArrow().sort_by("doc_id")
     grades = np.clip(rows["grade"].to_numpy().astype(np.int64), 0, top)
     return fit([x.values.to_numpy() if x.values is not None else np.zeros(0, np.int32) for x in rows["features"]], grades, top)
 
 
-def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text: str = "text") -> DataFrame:
-    """All columns, and struct `quality`: expected_grade and tail, the probability of `keep_grade` or better."""
+def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text: str = "text", name: str = "quality") -> DataFrame:
+    """All columns, and struct `name`: expected_grade and tail, the probability of `keep_grade` or better."""
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name} already")
     if model is None:
-        return docs.withColumn("quality", F.struct(F.lit(float(top)).alias("expected_grade"), F.lit(1.0).alias("tail")))
+        return docs.withColumn(name, F.struct(F.lit(float(top)).alias("expected_grade"), F.lit(1.0).alias("tail")))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB of weights
 
     def grade(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -203,7 +209,7 @@ def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text:
                 [pa.array(tails.sum(axis=1)), pa.array(tails[:, keep_grade - 1])], ["expected_grade", "tail"]
             )
 
-    return docs.withColumn("quality", arrow_stream(grade, "struct<expected_grade:double,tail:double>")(docs[text]))
+    return docs.withColumn(name, arrow_stream(grade, "struct<expected_grade:double,tail:double>")(docs[text]))
 
 
 TOP, KEEP_GRADE, KEEP_TAIL = 2, 2, 0.6
@@ -216,6 +222,12 @@ def graded(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("grade"))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns, and struct `quality`."""
-    return score(docs, train(docs, graded(labels), TOP), TOP, KEEP_GRADE)
+def classify(docs: DataFrame, labels: DataFrame, name: str = "quality") -> DataFrame:
+    """All columns, and struct `name`, which must be no column of the documents."""
+    return score(docs, train(docs, graded(labels), TOP), TOP, KEEP_GRADE, name=name)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose probability of the clean grade is high enough, with their own columns only."""
+    name = free_name(docs.columns, "quality")
+    return classify(docs, labels, name).where(F.col(name)["tail"] >= KEEP_TAIL).select(*docs.columns)

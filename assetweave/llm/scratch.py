@@ -15,6 +15,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def free_name(columns: list[str], wish: str) -> str:
+    """`wish`, with as many underscores before it as no column has."""
+    taken = {c.lower() for c in columns}
+    while wish.lower() in taken:
+        wish = "_" + wish
+    return wish
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once in a shared folder and read it back, so that lost executors cost a read, not the lineage."""
     path = new_folder(df.sparkSession, name)

@@ -1,7 +1,7 @@
 """Secret scan with corpus-wide ownership frequency, with built-in expressions only.
 
 Candidates are the matches of three base patterns (assignments to a key word, access ids, long hex strings) and of one
-loose pattern, long strings of mixed letters and digits. The hashes of their values are counted over the whole corpus
+loose pattern, long strings of mixed letters and digits that overlap no match of the base patterns. The hashes of their values are counted over the whole corpus
 by distinct repositories and owners. A value of many owners, or of several owners in many repositories, is an example
 that was copied widely; a value that few owners have, in few repositories or all in those of one owner, is a live-looking
 credential. Base spans are always reported, whatever their
@@ -11,14 +11,15 @@ Values are counted after distinct (value, owner, repository) rows were made, so
 reduced before it is dealt out. A label is joined to candidate rows only; texts are read once.
 
 Defined results: a null or empty text has no spans; a null owner or repository counts as one owner of its own, named
-by the empty string; repeated rows are reported each; an empty table gives no rows. Only the named columns are used.
+by the empty string; repeated rows are reported each; an empty table gives no rows; very long texts are scanned whole, in steps
+that grow with their length and the number of their matches. Only the named columns are used, so others cannot clash.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assetweave.llm.matches import joined, spans
+from assetweave.llm.matches import replaced, spans, touches
 from assetweave.llm.scratch import land
 
 # The base patterns, in the order of their kinds.
@@ -27,16 +28,32 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run of 24 or more is the whole run, as [0-9a-f]+ finds it
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-LOOSE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])"
+LOOSE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])"
 MANY_OWNERS = 5
 MANY_REPOSITORIES = 10  # of two owners or more
 KINDS = ("assign", "access", "hex", "owned")
 
 
-def base_spans(text: Column) -> Column:
+def _by_kind(text: Column) -> list[Column]:
+    """The base spans of each kind, sorted and apart from each other."""
     assign = F.filter(spans(text, ASSIGN, KINDS[0], 0, 2), lambda s: F.length(s["value"]) >= ASSIGN_LEAST)
     access = F.filter(spans(text, ACCESS, KINDS[1], 1), lambda s: F.length(s["value"]) >= ACCESS_LEAST)
-    return F.array_sort(F.concat(assign, access, spans(text, HEX, KINDS[2], 2)))
+    return [assign, access, spans(text, HEX, KINDS[2], 2)]
+
+
+def base_spans(text: Column) -> Column:
+    return F.array_sort(F.concat(*_by_kind(text)))
+
+
+def candidates(text: Column) -> Column:
+    """Base spans, and loose ones that overlap none of them."""
+    def put(it: Column) -> Column:
+        kinds = [it[k] for k in KINDS[:3]]
+        loose = F.filter(it["loose"], lambda s: ~(touches(s, kinds[0]) | touches(s, kinds[1]) | touches(s, kinds[2])))
+        return F.concat(F.array_sort(F.concat(*kinds)), loose)
+
+    found = F.struct(*[c.alias(k) for c, k in zip(_by_kind(text), KINDS[:3])], loose_spans(text).alias("loose"))
+    return F.get(F.transform(F.array(found), put), F.lit(0))
 
 
 def loose_spans(text: Column) -> Column:
@@ -72,10 +89,10 @@ def scanned(
     found = land(docs.select(
         F.struct(*kept).alias("row"), F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"),
         F.monotonically_increasing_id().alias("number"),
-        _hashed(F.concat(base_spans(whole), loose_spans(whole))).alias("found"),
+        _hashed(candidates(whole)).alias("found"),
     ), "secret-candidates")
     rows = found.where(F.size("found") > 0).select("number", "owner", "repository", F.inline("found"))
-    owners = ownership(rows)
+    owners = land(ownership(rows), "owners")  # a bare table, so that adaptive execution can split a value that fills the corpus
     spread = (F.col("owners") >= 2) & (F.col("repositories") >= MANY_REPOSITORIES)
     label = F.when((F.col("owners") >= many_owners) | spread, "example").otherwise("live")
     span = F.struct("start", "order", "end", "kind", label.alias("label"), "owners", "repositories")
@@ -97,18 +114,7 @@ def _hashed(spans_: Column) -> Column:
 def redact(text: Column, spans_: Column, mark: str = "[SECRET]") -> Column:
     """The text with a mark in place of each live span; overlapping spans become one mark."""
     live = F.filter(spans_, lambda s: s["label"] == "live")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(done: Column, s: Column) -> Column:
-        begins = F.greatest(s["start"], done["at"])
-        gap = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        new = F.when(s["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
-        return F.struct(new.alias("out"), F.greatest(s["end"], begins).alias("at"))
-
-    whole = F.coalesce(text, F.lit(""))
-    return F.when(F.size(live) == 0, text).otherwise(
-        F.aggregate(live, start, step, lambda done: F.concat(done["out"], F.substring(whole, done["at"] + 1, F.length(whole) - done["at"])))
-    )
+    return F.when(F.size(live) == 0, text).otherwise(replaced(F.coalesce(text, F.lit("")), live, mark))
 
 
 def redact_documents(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
 from assetweave.llm.markup import INLINE, Page, attributes, read
-from assetweave.llm.scratch import land
+from assetweave.llm.scratch import free_name, land
 from assetweave.llm.streams import arrow_stream, arrow_streams
 
 LEAST = 3
@@ -214,9 +214,7 @@ def _texts(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 def extract(pages: DataFrame, html: str = "html", url: str = "url", name: str = "text") -> DataFrame:
     """All columns of `pages` and the main text."""
     templates = site_templates(pages, html, url)
-    taken = {c.lower() for c in pages.columns}
-    free = lambda wish: wish if wish not in taken else free("_" + wish)
-    host, nodes = free("_host"), free("_nodes")
+    host, nodes = (free_name(pages.columns, n) for n in ("_host", "_nodes"))
     keyed = pages.withColumn(host, host_of(pages[url]))
     lists = templates.select(F.col("host").alias(host), F.col("nodes").alias(nodes))
     # Pages without a host have no template; in a join they would all meet in one task.

@@ -69,7 +69,41 @@ def test_near_groups_of_nulls_repeats_and_nothing(spark, docs):
     assert found == {(None, None, None), (4, 4, True), (9, 4, False), (5, 5, True)}
     assert minhash.near_groups(docs([])).count() == 0
     kept = minhash.drop_near_copies(docs(rows))
-    assert kept.columns == docs(rows).columns and kept.count() == 4
+    assert kept.columns == docs(rows).columns and sorted(r["doc_id"] for r in kept.collect()) == [4, 5]
+
+
+CLASHING = ("quality", "_at_file", "_at_row", "row", "found", "id", "file", "digest", "_metadata_")
+
+
+def test_near_copies_are_decided_by_row(spark, docs):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
+    rows = [(1, long), (2, long + "end"), (2, "quite another text that is linked with nothing at all"), (2, "quite a third text of the same number here"),
+            (7, "same same same same same same"), (7, "same same same same same same"), (None, long), (None, "nameless and alone in the whole table")]
+    df = docs(rows).withColumns({c: F.lit(c) for c in CLASHING})
+    for drop in (minhash.drop_near_copies, exactdup.drop_copies):
+        kept = drop(df)
+        assert kept.columns == df.columns and all(r[c] == c for r in kept.collect() for c in CLASHING)
+    kept = sorted(map(str, ((r["doc_id"], r["text"]) for r in minhash.drop_near_copies(df).collect())))
+    assert kept == sorted(map(str, [rows[0], rows[2], rows[3], rows[4], rows[7]]))
+    assert minhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_a_digest_and_a_band_key_of_most_rows_are_split(spark):
+    """Two thirds of the documents are copies, and the others near copies, of one text."""
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23 24"
+    df = spark.range(0, 9000, 1, 8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 != 0, text).otherwise(F.concat(F.lit(text + " "), F.col("id"))).alias("text"))
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        found = minhash.near_groups(df)
+        assert {r["component_id"] for r in found.collect()} == {0}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
 
 
 def test_estimates_are_close_to_the_similarity():

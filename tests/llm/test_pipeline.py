@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import duckdb
@@ -125,3 +126,89 @@ def test_stages_take_effect_and_keep_the_columns(spark, sf_dir):
         docs = after
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(kept["secret scans"])
+
+
+def brute_score(text, model, top):
+    """Expected grade and probability of the best grade, one sigmoid after another."""
+    total = sum(float(model.weights[f]) for f in quality.features(text))
+    tails = [1 / (1 + math.exp(float(t) - total)) for t in model.thresholds]
+    return sum(tails), tails[top - 1]
+
+
+def test_op9_equals_brute_force_scores(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, quality.graded(labels), quality.TOP)
+    rows = {r["doc_id"]: r for r in queries.op9_quality(spark, sf_dir).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        expected, tail = brute_score(text, model, quality.TOP)
+        assert abs(rows[doc_id]["expected_grade"] - expected) < 1e-4 and abs(rows[doc_id]["tail_probability"] - tail) < 1e-4
+        assert rows[doc_id]["kept"] == (tail >= quality.KEEP_TAIL) or abs(tail - quality.KEEP_TAIL) < 1e-6
+
+
+def loss(params, x, grades, rarity, ridge):
+    """Mean negative log-likelihood of the ordinal model with three grades, and the ridge, written out text by text."""
+    n = x.shape[1]
+    weights, first, step = params[:n], params[n], params[n + 1]
+    cuts, total = [first, first + math.exp(step)], 0.0
+    sigmoid = lambda v: 1 / (1 + math.exp(-max(min(v, 50), -50)))
+    for row, grade in zip(x, grades):
+        score = sum(w * r for w, r, has in zip(weights, rarity, row) if has)
+        at_most = [sigmoid(c - score) for c in cuts]
+        total -= math.log([at_most[0], at_most[1] - at_most[0], 1 - at_most[1]][grade])
+    return total / len(grades) + ridge / 2 * float(weights @ weights)
+
+
+def test_fit_equals_a_plain_optimiser_on_a_few_features(monkeypatch):
+    monkeypatch.setattr(quality, "SCREEN", 0.0)
+    monkeypatch.setattr(quality, "STEPS", 3000)
+    rng = np.random.default_rng(5)
+    x = rng.random((150, 4)) < 0.5
+    grades = np.digitize(x @ np.array([2.0, -1.0, 1.0, 0.2]) + rng.normal(0, 1, 150), [0.0, 1.5])
+    assert set(grades) == {0, 1, 2}
+    model = quality.fit([np.flatnonzero(row).astype(np.int32) for row in x], grades, 2)
+    rarity = np.log(len(x) / x.sum(axis=0)) + 0.1
+    fitted = np.concatenate([model.weights[:4] / rarity, [model.thresholds[0], math.log(model.thresholds[1] - model.thresholds[0])]])
+
+    def slope(params, step=1e-5):
+        return np.array([(loss(params + step * e, x, grades, rarity, quality.RIDGE) - loss(params - step * e, x, grades, rarity, quality.RIDGE)) / (2 * step)
+                         for e in np.eye(len(params))])
+
+    assert np.abs(slope(fitted)).max() < 5e-3  # numeric differences see no way down either
+    params = np.zeros(6)
+    for _ in range(400):  # plain gradient descent from nowhere
+        params = params - 1.0 * slope(params)
+    assert abs(loss(params, x, grades, rarity, quality.RIDGE) - loss(fitted, x, grades, rarity, quality.RIDGE)) < 1e-3
+    assert np.abs(params - fitted).max() < 0.15
+
+
+CLASHING = ("quality", "_quality", "_at_file", "_at_row", "row", "found", "spans", "id", "digest")
+
+
+def test_stages_take_nulls_repeats_and_clashing_names(spark, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(1, "some clean text of a few words", "en", "s"), (1, "another text under the same number", "en", None), (None, None, None, None),
+            (2, "", "en", "s"), (2, "", "en", "s"), (None, "token=abcdefgh", "de", "t"), (9, "password: hunter2hunter", "en", "s")]
+    docs = spark.createDataFrame([(*r, len(r[1]) if r[1] else None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(c) for c in CLASHING})
+    for table in (docs, docs.limit(0)):
+        table, path = corpus_pipeline.land(table, "odd"), str(tmp_path)
+        for name, stage in corpus_pipeline.STAGES:
+            after = corpus_pipeline.land(stage(spark, table, path), "odd")
+            if name == "best-fit packing":
+                assert (after.count() > 0) == (table.count() > 0)
+                break
+            assert after.columns == table.columns and after.dtypes == table.dtypes, name
+            assert all(r[c] == c for r in after.collect() for c in CLASHING), name
+            table = after
+    texts = {r["text"] for r in table.collect()}
+    assert texts == set()  # the empty table came last
+
+
+def test_a_rating_sends_one_text_to_the_driver(spark, docs, monkeypatch):
+    sent = []
+    monkeypatch.setattr(quality, "fit", lambda texts, grades, top: sent.append(len(texts)))
+    ratings = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, grade int")
+    quality.train(docs([(1, f"text {n}") for n in range(50)] + [(2, "x")]), ratings, 2)
+    assert sent == [2]

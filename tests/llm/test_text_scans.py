@@ -385,3 +385,66 @@ def test_bare_long_credentials_are_candidates(docs):
     long = "Zx9kQ4" * 57
     found = secretscan.scan(docs([(1, f"signed {long} here")])).first()["spans"]
     assert [(s["start"], s["end"], s["kind"], s["label"]) for s in found] == [(7, 7 + len(long), "owned", "live")]
+
+
+def test_assignments_to_other_names_are_candidates(docs):
+    long = "Zx9kQ4" * 8
+    texts = [f"auth={long}", f"auth: {long} x={long}", f"token={long}", f"token={long}; key {long}"]
+    rows = secretscan.scan(docs(list(enumerate(texts)))).orderBy("doc_id").collect()
+    found = [[(s["kind"], texts[r["doc_id"]][s["start"]:s["end"]]) for s in r["spans"]] for r in rows]
+    assert found[0] == [("owned", long)] and found[1] == [("owned", long)] * 2
+    assert found[2] == [("assign", f"token={long}")]  # nothing twice
+    assert found[3] == [("assign", f"token={long}"), ("owned", long)]
+
+
+def brute_replaced(text, spans, mark):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def test_replacing_and_touching_equal_brute_force(spark):
+    from assetweave.llm import matches
+
+    rng, rows = random.Random(12), []
+    for n in range(120):
+        text = "".join(rng.choice("abcé😀 ") for _ in range(rng.choice((0, 5, 300, 9000, 20000))))
+        spans = sorted({(a, min(len(text), a + rng.randint(1, 30))) for a in (rng.randrange(len(text)) for _ in range(rng.choice((1, 5, 700))) if text)})
+        one = (at := rng.randrange(len(text) + 1), at + rng.randint(0, 20))
+        apart, last = [], 0
+        for start, end in spans:
+            if start >= last:
+                apart.append((start, end))
+                last = end
+        rows.append((n, text, spans, one, apart))
+    shape = "struct<start:int,end:int>"
+    df = spark.createDataFrame(rows, f"n int, text string, spans array<{shape}>, one {shape}, apart array<{shape}>")
+    found = df.select("n", matches.replaced(F.col("text"), F.col("spans"), "#").alias("x"), matches.touches(F.col("one"), F.col("apart")).alias("t"),
+                      matches.highest(F.transform("spans", lambda s: s["end"])).alias("h")).collect()
+    for r in found:
+        _, text, spans, (low, high), apart = rows[r["n"]]
+        assert r["x"] == brute_replaced(text, spans, "#")
+        assert r["t"] == any(s < high and e > low for s, e in apart)
+        assert r["h"] == [max(e for _, e in spans[:k + 1]) for k in range(len(spans))]
+
+
+def test_a_value_that_fills_the_corpus_is_split(spark):
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    df = spark.range(0, 20000, 1, 8).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("id") % 50).alias("source"),
+        F.concat(F.lit("token="), F.when(F.col("id") % 2 == 0, "hotvalue").otherwise(F.concat(F.lit("value"), F.col("id")))).alias("text"),
+    )
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        found = secretscan.scan(df)
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
