@@ -7,7 +7,7 @@ one returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from assetweave.llm import exactdup, minhash, packing, quality, secretscan
 from assetweave.llm.queries import SEQUENCE, TOKENIZER
@@ -16,8 +16,7 @@ from assetweave.llm.scratch import land
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the clean grade is high enough; fitted on the labels of these documents."""
-    graded = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return graded.where(F.col("quality.tail") >= quality.KEEP_TAIL).drop("quality")
+    return quality.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
