@@ -32,6 +32,7 @@ CLASS_COLUMNS = {
 }
 # Optional columns of a chart content and the members they come from.
 CONTENT_COLUMNS = {"content_type": "contentType", "rank": "rank", "chart_score": "chartScore", "is_shield": "isShield"}
+# Fixed value: prefix of the row keys of the index.
 INDEX_PREFIX = "__chart_index__"
 
 _HEAD = "id:string,type:string,operation:string,version:string,time:string,tableName:string,data:string"
@@ -114,7 +115,7 @@ def chart_upsert(messages: DataFrame, operate_time: str) -> DataFrame:
         **{c: F.col(c) for c in ("content_classes", *CLASS_COLUMNS)},
     }
     flat = rows.select("target", F.col("id").alias("row_key"), "arrival", *[e.alias(c) for c, e in columns.items()])
-    return last_present(flat, ["target", "row_key"], list(columns), F.col("arrival"))
+    return last_present(flat, ["target", "row_key"], list(columns), "arrival")
 
 
 def content_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
@@ -236,7 +237,7 @@ def content_upsert(messages: DataFrame, operate_time: str, hot_rows: int = HOT_R
         writes = materialize(index_writes(messages), "index-writes")
         marks = mark_old_offline(old_marks(messages, writes, hot_rows), writes)
         rows = rows.unionByName(marks.withColumn("operate_time", F.lit(operate_time)), allowMissingColumns=True)
-    return last_present(rows, ["target", "row_key"], list(columns), F.col("place"))
+    return last_present(rows, ["target", "row_key"], list(columns), "place")
 
 
 def chart_index(messages: DataFrame, operate_time: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -248,7 +249,7 @@ def chart_index(messages: DataFrame, operate_time: str, hot_rows: int = HOT_ROWS
         F.to_json("row_keys").alias("content_row_keys"),
     )
     events = written.unionByName(marks, allowMissingColumns=True)
-    rows = last_present(events, ["target", "chart_id"], ["content_row_keys", "offline_flg"], F.col("place"))
+    rows = last_present(events, ["target", "chart_id"], ["content_row_keys", "offline_flg"], "place")
     return rows.select(
         "target", F.concat(F.lit(INDEX_PREFIX), "chart_id").alias("row_key"), "chart_id", "content_row_keys", "offline_flg",
         F.lit(operate_time).alias("operate_time"),

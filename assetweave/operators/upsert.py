@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.functions.text import is_present, parse_time, parse_version, version_key
 from assetweave.operators.scan import HOT_ROWS, Runner, arrival, rows_at, scan_by_key
+from assetweave.session import materialize
 
 WRITTEN = "written"
 INVALID = "skipped_invalid_payload"
@@ -32,11 +33,22 @@ def column_merge(stored: DataFrame, incoming: DataFrame, key: str = "row_key") -
     ])
 
 
-def last_present(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column) -> DataFrame:
-    """For each key and column the last non-null value in `order`. Combined before the shuffle, so skew is harmless."""
-    return df.groupBy(*keys).agg(*[
-        F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns
-    ])
+def last_present(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], place: str) -> DataFrame:
+    """For each key and column the last non-null value in the order of the number `place`, unique within a key.
+
+    The winning places are found on numbers, combined before the shuffle, so skew is harmless; only winning rows,
+    at most one a column and key, are fetched and put together.
+    """
+    rows = materialize(rows, "last-present")
+    wins = rows.groupBy(*keys).agg(*[F.max(F.when(F.col(c).isNotNull(), F.col(place))).alias(f"_win_{c}") for c in columns])
+    places = F.explode(F.array_compact(F.array_distinct(F.array(*[F.col(f"_win_{c}") for c in columns]))))
+    chosen = wins.withColumn(place, places).join(rows, [*keys, place])
+    gathered = chosen.groupBy(*keys, *[f"_win_{c}" for c in columns]).agg(F.collect_list(F.struct(place, *columns)).alias("_rows"))
+
+    def winning(column: str) -> Column:
+        return F.get(F.filter("_rows", lambda r: r[place] == F.col(f"_win_{column}")), F.lit(0))[column].alias(column)
+
+    return gathered.select(*keys, *map(winning, columns))
 
 
 def _guard(rows: DataFrame, run: Runner) -> DataFrame:
