@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.functions import search
-from assetweave.functions.text import strip
 
 JSON_BLANKS = " \t\n\r"
 JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "bad"}
@@ -68,12 +67,6 @@ def member_text(payload: Column, key: str) -> Column:
     return F.get_json_object(payload, f"$['{key}']")
 
 
-def open_member(payload: Column, key: str) -> Column:
-    """A member that is an object or array, or a string that strictly holds one; else null."""
-    text = strip(member_text(payload, key))
-    return F.when(opening(text).isin("{", "[") & is_json(text), text)
-
-
 def mentions(payload: Column, *names: str) -> Column:
     """How often the names may appear as members, also inside JSON strings; zero means there is no such member.
 
@@ -87,7 +80,3 @@ def text_list(cell: Column) -> Column:
     """Cell holding a JSON list to an array of texts; a missing, broken or other cell is an empty list."""
     parsed = F.when((opening(cell) == "[") & is_json(cell), F.from_json(cell, "array<string>"))
     return F.coalesce(parsed, F.array().cast("array<string>"))
-
-
-def compact(value: Column) -> Column:
-    return F.to_json(value)

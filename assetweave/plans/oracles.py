@@ -350,6 +350,7 @@ _LATEST: Ctes = UPSERTED + [("firsts", f"""SELECT * FROM valid QUALIFY row_numbe
     {PARSED_TIME.format('time')} DESC NULLS LAST, arrival DESC) = 1""")]
 register("verify_rows", _FIRSTS, _VERIFY)
 register("verify_latest", _LATEST, _VERIFY)
+register("verify_union", _LATEST, _VERIFY + """ UNION ALL SELECT row_key, 'operate_time', NULL, '2024-01-01 00:00:00', false, NULL, 19 FROM upserted""")
 register("verify_totals", _LATEST, f"""SELECT field, count(*) FILTER (match) AS matches, count(*) FILTER (NOT match) AS mismatches,
     count(*) FILTER (expected IS NOT NULL AND actual IS NULL) AS missing FROM ({_VERIFY}) GROUP BY field""")
 

@@ -390,6 +390,16 @@ def verify_latest(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.verify_rows(upsert.latest_by_version(documents, fields), upsert.guarded_upsert(documents, fields), fields)
 
 
+@query
+def verify_union(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over the columns of either side: the stored row also has the time of the run."""
+    documents = stages.valid_documents(spark, sf)
+    fields = ingest.subset_fields(documents)
+    stored = upsert.guarded_upsert(documents, fields, operate_time=OPERATE_TIME)
+    mapped = upsert.latest_by_version(documents, fields)
+    return reconcile.verify_rows(mapped, stored, list(dict.fromkeys([*fields, *(c for c in stored.columns if c != "row_key")])))
+
+
 @query
 def verify_totals(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.verify_totals(verify_latest(spark, sf))
