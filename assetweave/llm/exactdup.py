@@ -145,9 +145,9 @@ def exact_groups(
     )
 
 
-def without_rows(whole: DataFrame, dropped: DataFrame, place: list[str], columns: list[str]) -> DataFrame:
-    """`whole` with the columns `columns`, without the rows at the places of the landed table `dropped`."""
-    return whole.join(small(dropped, BROADCAST_ROWS), place, "left_anti").select(*columns)
+def without_rows(whole: DataFrame, dropped: DataFrame, place: list[str], columns: list[str], few: int = BROADCAST_ROWS) -> DataFrame:
+    """`whole` with the columns `columns`, without the rows at the places of the landed table `dropped`, broadcast if these are `few`."""
+    return whole.join(small(dropped, few), place, "left_anti").select(*columns)
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ BITS = 4
 BLOCK = 1024
 SURE = 5  # standard deviations
 BROADCAST_ROWS = 1_000_000  # of (doc_id, 16-byte digest): 40 MB at most
-PLACES = 200_000  # of (file, row), 200 bytes each: 40 MB at most
+PLACES = 20_000  # of (doc_id, file, row), 500 bytes each as objects: 10 MB at most
 _FACTORS = np.random.default_rng(7).integers(1, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _CHANCE = 2.0**-BITS
 
@@ -289,4 +289,4 @@ def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("doc_id"), *[F.col(p).alias(n) for p, n in zip(place, ("file", "row"))])
     groups = _groups(whole.select(row.alias("id"), "text"), percent, WORDS, PLACES)
     dropped = groups.where("id <> component").select(F.col("id.file").alias(place[0]), F.col("id.row").alias(place[1]))
-    return without_rows(whole, land(dropped, "dropped"), place, docs.columns)
+    return without_rows(whole, land(dropped, "dropped"), place, docs.columns, PLACES)

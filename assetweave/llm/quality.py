@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetweave.llm.scratch import free_name
 from assetweave.llm.shingles import _BLANK, _LOWER
 from assetweave.llm.spans import hash_spans, mix
-from assetweave.llm.streams import arrow_stream
+from assetweave.llm.streams import arrow_stream, give_back
 
 MOST_RATED = 6000
 FEATURE_BITS = 18
@@ -189,7 +189,10 @@ def train(docs: DataFrame, ratings: DataFrame, top: int, most: int = MOST_RATED)
     texts = texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))  # one text of an id, so the bound holds for rows too
     rows = texts.select("doc_id", "grade", feature_column("text").alias("features")).toArrow().sort_by("doc_id")
     grades = np.clip(rows["grade"].to_numpy().astype(np.int64), 0, top)
-    return fit([x.values.to_numpy() if x.values is not None else np.zeros(0, np.int32) for x in rows["features"]], grades, top)
+    model = fit([x.values.to_numpy() if x.values is not None else np.zeros(0, np.int32) for x in rows["features"]], grades, top)
+    del rows
+    give_back()  # the driver goes on with other stages
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, top: int, keep_grade: int, text: str = "text", name: str = "quality") -> DataFrame:
