@@ -41,7 +41,7 @@ BITS = 4
 BLOCK = 1024
 SURE = 5  # standard deviations
 BROADCAST_ROWS = 1_000_000  # of (doc_id, 16-byte digest): 40 MB at most
-PLACES = 20_000  # of (doc_id, file, row), 500 bytes each as objects: 10 MB at most
+PLACES = 200_000  # of four numbers each: 16 MB at most
 _FACTORS = np.random.default_rng(7).integers(1, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _CHANCE = 2.0**-BITS
 
@@ -280,13 +280,13 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without all of a group but the one with its smallest doc_id, with all their columns.
 
-    Groups are of rows, known by file and place: of rows with equal doc_ids one in a group stays, and one that is linked
+    Groups are of rows, known by place and the hash of the file's path: of rows with equal doc_ids one in a group stays, and one that is linked
     with nothing stays whatever its id is. Rows without a doc_id go first where another one of the group has one. The
     places to drop are broadcast if they are few, otherwise joined.
     """
     place = [free_name(docs.columns, FILE), free_name(docs.columns, ROW)]
-    whole = located(docs, *place)
+    whole = located(docs, *place).withColumn(place[0], F.xxhash64(place[0]))  # numbers travel, not paths
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("doc_id"), *[F.col(p).alias(n) for p, n in zip(place, ("file", "row"))])
     groups = _groups(whole.select(row.alias("id"), "text"), percent, WORDS, PLACES)
     dropped = groups.where("id <> component").select(F.col("id.file").alias(place[0]), F.col("id.row").alias(place[1]))
-    return without_rows(whole, land(dropped, "dropped"), place, docs.columns, PLACES)
+    return without_rows(whole, land(dropped, "dropped"), place, docs.columns, BROADCAST_ROWS)
