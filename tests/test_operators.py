@@ -8,8 +8,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from assetweave.operators import charts, ingest, profile, reconcile, reports, status, upsert
+from assetweave.operators import charts, ingest, profile, reconcile, reports, scan, status, upsert
 from assetweave.operators.scan import places
+from assetweave.session import materialize
 from assetweave.sinks import files
 from assetweave.sources import tables
 from assetweave.streaming import gates, jobs
@@ -325,6 +326,36 @@ def test_hot_ids_are_split(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_long_cells_stream_past_their_rows(spark):
+    """The rows of an id are never the built side of the join that gives each the id's long cell, however few they are, and an
+    id with many rows is dealt out over tasks."""
+    ids = spark.range(300).selectExpr("'r' || id AS row_key", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id = 1 THEN null ELSE 'a' || id % 7 END AS asset_id")
+    hits = spark.range(500_000).selectExpr("CASE WHEN id < 9 THEN 'hot' ELSE 'a' || id END AS asset_id", "'d' || id AS doc_id", "'n' || id % 50 AS name")
+    name = "|".join(sorted(f"n{n}" for n in range(9)))
+    queries = {"enrich_fields": reconcile.enrich_fields(ids, hits, ["name"]), "merge_report": reconcile.merge_report(ids, hits, ["name"])}
+    for query, df in queries.items():
+        assert {r["name"] for r in df.where("row_key = 'r0'").collect()} == {name}, query
+        df.write.format("noop").mode("overwrite").save()
+        assert "BuildLeft" not in df._jdf.queryExecution().executedPlan().toString(), query
+    shared = materialize(spark.createDataFrame([("hot", "x" * 1000), ("a1", "y"), ("b", "z")], "asset_id string, v string"))
+    got = scan.fetch_shared(ids.unionAll(ids), shared, "asset_id", "row_key", share_rows=20)
+    plain = ids.unionAll(ids).join(shared, "asset_id").select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    parts = got.where("asset_id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+
+
+def test_column_merge_fetches_shared_cells(spark):
+    stored = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y"), ("b", "4", "w"), ("c", "3", "z")], "row_key string, p string, q string")
+    ids = spark.createDataFrame([("a", "i"), ("b", "i"), ("c", "none"), ("d", "j")], "row_key string, asset_id string")
+    cells = materialize(spark.createDataFrame([("i", "P", None), ("j", None, "R")], "asset_id string, p string, r string"))
+    got = upsert.column_merge(stored, ids, cells=cells)
+    whole = upsert.column_merge(stored, ids.join(cells, "asset_id").drop("asset_id"))
+    assert got.columns == whole.columns
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+
+
 def test_chart_contents_mark_former_rows(spark):
     def message(n, chart, operation, items):
         return (0, n, json.dumps({"id": chart, "type": "chart_content", "operation": operation, "data": items}))
