@@ -53,24 +53,12 @@ def document_report(
 
     Hit 0 is the head: the row, its columns and the number of its documents. Then come the first `size` documents by
     document id, or all with 0, each with its fields, paths and JSON. `ids` has (row_key, asset_id) as `reconcile.asset_ids`
-    gives it; row keys and document ids are unique. The lines of a document are made once, and documents are landed before
-    they meet the rows, so an asset with very many rows is split like any hot key of a join.
+    gives it; row keys and document ids are unique. Documents are landed before they meet the rows, so an asset with very many rows is split like any hot key of a join.
     """
     fields = [c for c in documents.columns if c != "doc_id"]
-    shown = documents.where(F.col(asset).isNotNull())
-    source = F.to_json(F.struct(*[F.col(c) for c in sorted(fields)]))
     present = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), c) for c in sorted(fields)]))
-    shown = shown.withColumn("_paths", document_paths(documents.select(*fields)))
-    body = F.concat(
-        _lines(
-            F.concat(F.lit("_id="), "doc_id"), *[F.concat(F.lit(f"{f}="), F.coalesce(F.col(f).cast("string"), F.lit("None"))) for f in ("program_id", asset, "product_info_package_id")],
-            F.concat(F.lit("top_level_fields="), F.array_join(present, ",")), F.concat(F.lit("field_path_count="), F.size("_paths").cast("string")),
-            F.lit("=== source field paths ==="),
-        ),
-        F.transform("_paths", lambda p: F.concat(p["path"], F.lit(" ("), p["type"], F.lit(")"))),
-        _lines(F.lit("=== source JSON ==="), source),
-    )
-    shown = shown.select(F.col(asset).alias("asset_id"), "doc_id", body.alias("body"))
+    given = F.struct(*[F.col(c) for c in fields if c != asset]).alias("_given")
+    shown = documents.where(F.col(asset).isNotNull()).select(F.col(asset).alias("asset_id"), "doc_id", given)
     hits = _numbered(shown, size).join(shown, ["asset_id", "doc_id"])
     first = shown.groupBy("asset_id").agg(F.count(F.lit(1)).alias("total"))
     first = materialize(first, "report-totals")
@@ -90,6 +78,17 @@ def document_report(
         F.when(F.col("total").isNull(), F.array(F.concat(F.lit("No document found for "), "asset_id", F.lit(".")))).otherwise(F.array().cast("array<string>")),
     )
     top = heads.select(key, F.lit(0).cast("bigint").alias("hit"), F.posexplode(head).alias("line_no", "line"))
-    numbered = F.concat(_lines(F.lit(""), F.concat(F.lit("--- document "), F.col("hit").cast("string"), F.lit(" ---"))), F.col("body"))
-    below = materialize(hits.select("asset_id", "hit", numbered.alias("lines")), "report-hits").join(wanted, "asset_id")
-    return top.unionByName(below.select(key, "hit", F.posexplode("lines").alias("line_no", "line")))
+    # Up to here documents travel as they are; their lines, several times as long, are made where they are written.
+    below = materialize(hits, "report-hits").join(wanted, "asset_id").select(key, "hit", "doc_id", F.col("asset_id").alias(asset), "_given.*")
+    below = below.withColumn("_paths", document_paths(documents.select(*fields)))
+    lines = F.concat(
+        _lines(
+            F.lit(""), F.concat(F.lit("--- document "), F.col("hit").cast("string"), F.lit(" ---")), F.concat(F.lit("_id="), "doc_id"),
+            *[F.concat(F.lit(f"{f}="), F.coalesce(F.col(f).cast("string"), F.lit("None"))) for f in ("program_id", asset, "product_info_package_id")],
+            F.concat(F.lit("top_level_fields="), F.array_join(present, ",")), F.concat(F.lit("field_path_count="), F.size("_paths").cast("string")),
+            F.lit("=== source field paths ==="),
+        ),
+        F.transform("_paths", lambda p: F.concat(p["path"], F.lit(" ("), p["type"], F.lit(")"))),
+        _lines(F.lit("=== source JSON ==="), F.to_json(F.struct(*[F.col(c) for c in sorted(fields)]))),
+    )
+    return top.unionByName(below.select(key, "hit", F.posexplode(lines).alias("line_no", "line")))

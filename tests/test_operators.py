@@ -345,6 +345,20 @@ def test_long_cells_stream_past_their_rows(spark):
     assert parts > 1
 
 
+def test_report_lines_are_made_last(spark, monkeypatch):
+    """What is landed and shuffled of a document are its fields, not the lines made of them."""
+    landed = {}
+    monkeypatch.setattr(reports, "materialize", lambda df, name: landed.setdefault(name, materialize(df, name)))
+    table = spark.createDataFrame([("r1", "a"), ("r2", "a"), ("r3", "z")], "row_key string, assetId string")
+    ids = table.withColumnRenamed("assetId", "asset_id")
+    documents = spark.createDataFrame([("d1", "a", "p", "1", None), ("d2", "a", None, "9", "n"), ("d3", "b", "q", "1", "m")],
+                                      "doc_id string, assert_id string, program_id string, product_info_package_id string, name string")
+    lines = reports.document_report(table, ids, documents, size=1).where("row_key = 'r2' AND hit = 1").orderBy("line_no").collect()
+    assert [r["line"] for r in lines][1:5] == ["--- document 1 ---", "_id=d1", "program_id=p", "assert_id=a"]
+    assert lines[-1]["line"] == '{"assert_id":"a","product_info_package_id":"1","program_id":"p"}'
+    assert not [f for f in landed["report-hits"].schema.fields if f.dataType.typeName() == "array"]
+
+
 def test_column_merge_fetches_shared_cells(spark):
     stored = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y"), ("b", "4", "w"), ("c", "3", "z")], "row_key string, p string, q string")
     ids = spark.createDataFrame([("a", "i"), ("b", "i"), ("c", "none"), ("d", "j")], "row_key string, asset_id string")
