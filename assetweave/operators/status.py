@@ -191,13 +191,19 @@ def _highest_before(rows: DataFrame, run: Runner) -> DataFrame:
     return run(rows, {"_highest": ("max", F.col("version"))})
 
 
-def version_gate(messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def version_gate(messages: DataFrame, hot_rows: int = HOT_ROWS, stored: DataFrame | None = None) -> DataFrame:
     """Drop a message whose version is below the highest one seen before for its document; an equal one passes.
 
-    Within one bounded run nothing expires; the streaming gate adds the lifetime of stored versions.
+    `stored` has (doc_id, version) of earlier runs, which come before all messages. Within one bounded run nothing expires;
+    the streaming gates add the lifetime of stored versions.
     """
-    rows = scan_by_key(messages.withColumn("arrival", arrival()), "doc_id", _highest_before, hot_rows=hot_rows)
-    return rows.where(F.col("_highest").isNull() | (F.col("version") >= F.col("_highest"))).drop("_highest")
+    rows = messages.withColumn("arrival", arrival())
+    if stored is not None:
+        before = stored.select("doc_id", "version", F.lit(-1).cast("bigint").alias("arrival"))
+        rows = rows.withColumn("_old", F.lit(False)).unionByName(before.withColumn("_old", F.lit(True)), allowMissingColumns=True)
+    rows = scan_by_key(rows, "doc_id", _highest_before, hot_rows=hot_rows)
+    passed = rows.where(F.col("_highest").isNull() | (F.col("version") >= F.col("_highest"))).drop("_highest")
+    return passed if stored is None else passed.where(~F.col("_old")).drop("_old")
 
 
 def matching_kind(kind: Column, doc_type: Column) -> Column:

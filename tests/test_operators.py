@@ -181,6 +181,35 @@ def test_status_outputs_equal_the_batch_job_and_repeat_without_change(spark, tmp
     assert everything(spark, root) == before
 
 
+def test_the_gate_in_batches_goes_on_and_forgets_expired_versions(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [("hot" if rng.random() < 0.6 else f"d{rng.randrange(9)}", 0, n, rng.randrange(6)) for n in range(300)]
+    schema = "doc_id string, partition int, offset long, version long"
+    for lifetime in (jobs.VERSION_LIFETIME_MS, 0):
+        source, root = str(tmp_path / f"in{lifetime}"), str(tmp_path / f"out{lifetime}")
+        highest, expected = {}, []
+        for start in (0, 100, 200):
+            highest = highest if lifetime else {}
+            for doc, _, offset, version in rows[start:start + 100]:
+                if version >= highest.get(doc, version):
+                    highest[doc] = version
+                    expected.append((doc, offset, version))
+            spark.createDataFrame(rows[start:start + 100], schema).coalesce(1).write.mode("append").parquet(source)
+            passed = jobs.gate_in_batches(spark.readStream.schema(schema).parquet(source), root, lifetime, hot_rows=20)
+        assert sorted((r["doc_id"], r["arrival"], r["version"]) for r in passed.collect()) == sorted(expected)
+
+
+def test_status_streams_ask_no_state_for_each_key(spark, tmp_path, monkeypatch):
+    """The outputs of a batch cost no call for each of its keys."""
+    monkeypatch.setattr(gates.VersionGate, "handleInputRows", None)
+    rows, root, source = status_messages(3, 200), str(tmp_path / "out"), str(tmp_path / "in")
+    spark.createDataFrame(rows, MESSAGE).coalesce(1).write.parquet(source)
+    programs = spark.createDataFrame([("hot", "pendant")], "row_key string, doc_type string")
+    jobs.propagate_status(spark.readStream.schema(MESSAGE).parquet(source), programs, root, 5, "c:", hot_rows=20)
+    accepted = status.version_gate(spark.createDataFrame(rows, MESSAGE))
+    assert jobs.read_output(spark, root, "accepted").count() == accepted.count()
+
+
 def test_unusable_status_messages_are_rejected_with_a_reason(spark):
     whole = {"activityType": 0, "channel": "m", "mgdbId": "e", "mgdbStatus": 1, "version": "5", "data": json.dumps({"body": {"activityType": 0, "mgdbId": "w"}})}
     cases = [
