@@ -37,7 +37,7 @@ INDEX_PREFIX = "__chart_index__"
 
 _HEAD = "id:string,type:string,operation:string,version:string,time:string,tableName:string,data:string"
 CHART_BODY = f"struct<{_HEAD}>"
-_CHART_DATA = "chartId string, contentClasses string, " + ", ".join(f"{m} string" for m in CHART_COLUMNS.values())
+_CHART_SHAPE = "chartId:string,contentClasses:string," + ",".join(f"{m}:string" for m in CHART_COLUMNS.values())
 _ITEM = "contentId string, chartId string, " + ", ".join(f"{m} string" for m in CONTENT_COLUMNS.values())
 
 
@@ -49,10 +49,14 @@ def class_rollup(df: DataFrame, listing: Column) -> DataFrame:
     shape = ", ".join(f"{m} string" for m in CLASS_COLUMNS.values())
 
     def read(text: Column) -> Column:
-        return X.let(F.struct(J.is_json(text).alias("json"), J.parse_strict(text, "string")["w"].alias("compact")), lambda p: F.struct(
-            F.when(~p["json"], text).when(J.opening(text) == "[", p["compact"]).alias("kept"),
-            F.when(p["json"] & (J.opening(text) == "["), F.from_json(p["compact"], "array<string>")).alias("entries"),
-        ))
+        def kept(p: Column) -> Column:
+            json = F.coalesce(p["bad"].isNull() & (p["z"] == J.seal(text)), F.lit(False))
+            return F.struct(
+                F.when(~json, text).when(J.opening(text) == "[", p["w"]).alias("kept"),
+                F.when(json & (J.opening(text) == "["), F.from_json(p["w"], "array<string>")).alias("entries"),
+            )
+
+        return X.let(J.parse_strict(text, "string"), kept)
 
     rows = J.once(df, "_classes", F.when(X.is_present(listing), X.let(listing, read)))
     objects = F.filter(F.col("_classes.entries"), lambda e: J.opening(e) == "{")
@@ -88,8 +92,9 @@ def chart_messages(decoded: DataFrame, test_tables: bool = True) -> DataFrame:
     """Chart description messages with their class (release, withdraw, unsupported) and `reject_reason`."""
     rows = _head(decoded, "chart", "description", test_tables)
     # Text that was held in a JSON string counts as JSON only as a whole; `from_json` alone would ignore what follows.
-    data = F.when((J.opening(F.col("data")) == "{") & J.is_json(F.col("data")), F.from_json("data", _CHART_DATA))
-    rows = J.once(rows.withColumn("_empty", ~F.coalesce(F.col("data") != "", F.lit(False))), "chart", data)
+    rows = rows.withColumn("_empty", ~F.coalesce(F.col("data") != "", F.lit(False)))
+    rows = J.once(rows, "_chart", F.when(J.opening(F.col("data")) == "{", J.parse_strict(F.col("data"), f"struct<{_CHART_SHAPE}>")))
+    rows = J.once(rows, "chart", F.when(J.accepted(F.col("_chart"), F.col("data")), F.col("_chart")["w"])).drop("_chart")
     reason = (
         F.when(F.col("id").isNull(), "blank_id")
         .when(F.col("class") == "unsupported", "unsupported_operation")
