@@ -161,3 +161,18 @@ def test_document_falls_back_to_fields_elsewhere(spark):
     assert [tuple(r) for r in got] == [
         ("a", None, "m2"), ("b", None, None), ("c", None, None), ("d", "missing_vector_item", None),
         ("e", "invalid_vector", None), (None, "missing_asset_id", None)]
+
+
+def test_several_searches_parse_a_payload_once(spark, monkeypatch):
+    text = '{"a":{"vectorItem":{"n":1}},"vectorList":[2]}'
+    wanted = [(search.VECTOR_ITEM_NAMES, "object"), (search.VECTOR_LIST_NAMES, "array"), (("none",), "array")]
+    assert column(spark, [text, None], lambda c: search.find_all_nested(c, wanted)) == [['{"n":1}', "[2]", None], None]
+    rows = spark.createDataFrame([(text,)], "v string").select(search.find_all_nested(F.col("v"), wanted).alias("f"))
+    assert str(rows._jdf.queryExecution().optimizedPlan()).count("run(") == 1
+
+
+def test_long_strings_are_left_out_where_mentions_are_counted(spark):
+    texts = ['{"type":"%s","x":"\\"type\\" \\u0041%s"}' % ("A" * 60, "b" * 60), '{"%s":{"type":[%s]}}' % ("k" * 50, "1," * 60 + "1")]
+    counts = lambda names: column(spark, texts, lambda c: J.mentions(names(c), "type"))
+    assert counts(J.without_long_strings) == counts(lambda c: c) == [3, 1]
+    assert all(len(t) < 60 for t in column(spark, texts[1:], J.without_long_strings))

@@ -8,8 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from assetweave.functions import search
 from assetweave.operators import charts, ingest, profile, reconcile, reports, scan, status, upsert
 from assetweave.operators.scan import places
+from assetweave.plans import stages
 from assetweave.session import materialize
 from assetweave.sinks import files
 from assetweave.sources import tables
@@ -181,6 +183,72 @@ def test_status_outputs_equal_the_batch_job_and_repeat_without_change(spark, tmp
     assert everything(spark, root) == before
 
 
+def test_parts_of_a_topic_are_bounded_and_keep_its_order(spark, tmp_path, monkeypatch):
+    topic = spark.createDataFrame([(n % 2, n // 2 * (1000 if n > 50 else 1)) for n in range(100)], "partition int, offset long")
+    monkeypatch.setattr(stages, "load", lambda *_: topic)
+    monkeypatch.setattr(stages, "new_path", lambda *_: str(tmp_path / "parts"))
+    seen = []
+
+    def run(stream):
+        rows = {tuple(r) for r in spark.read.schema(topic.schema).parquet(str(tmp_path / "parts")).collect()}
+        seen.append(sorted(rows - {r for part in seen for r in part}))
+
+    stages.in_parts(spark, "sf", "topic", run, part_rows=20)
+    assert [r for part in seen for r in part] == sorted(tuple(r) for r in topic.collect())
+    assert len([part for part in seen if part]) >= 6 and max(map(len, seen)) <= 25
+
+
+def test_counts_by_dimension_do_not_look_at_vectors(spark):
+    item = "named_struct('is_object', true, 'type', '1', 'declared', '8', 'vector', 'AAAA', 'is_string', true)"
+    rows = spark.range(3).selectExpr("0 AS partition", "id AS offset", "'a' AS asset_id", f"array({item}) AS items")
+    counts = profile.vector_dim_counts(profile.list_items(rows))
+    assert [tuple(r) for r in counts.collect()] == [("1", "8", 3)]
+    assert "A-Za-z0-9+/" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("payload, kind, searched", [
+    ({"data": {"vectorList": [{"type": "2"}, {"type": "1"}]}}, "2", False),
+    ({"data": {"vectorList": [{"n": 1}, {"type": "1"}]}}, None, False),
+    ({"data": {"type": "140", "vectorList": [{"type": "2"}]}}, "140", False),
+    ({"data": {"vectorList": [{"type": "2"}], "type": "140"}}, "2", False),
+    ({"data": {"vectorList": [{"type": 1.50}]}}, "1.5", True),
+    ({"data": {"vectorList": [{"type": " {\"a\": 1}"}]}}, None, True),
+    ({"data": {"vectorList": [{"type": "{\"type\": \"3\"}"}]}}, "3", True),
+    ({"x": {"type": "7"}, "data": {"vectorList": [{"type": "2"}]}}, "7", True),
+    ({"data": {"vectorList": [{"source": "type"}, {"type": "2"}]}}, None, True),
+    ({"data": "{\"vectorList\": [{\"type\": \"5\"}]}"}, "5", True),
+    ({"vectorItem": {"type": "9", "pad": "x" * 60}}, "9", True),
+    ({"type": None, "data": {"type": "140"}}, None, False),
+])
+def test_a_nested_type_is_searched_for_only_where_known_members_do_not_explain_it(spark, payload, kind, searched):
+    topic = spark.createDataFrame([(0, 0, json.dumps(payload))], "partition int, offset long, value string")
+    for body in (ingest.VECTOR_BODY, profile.PROFILE_BODY):
+        typed = ingest.resolve_type(ingest.decode_messages(topic, body))
+        assert typed.first()["msg_type"] == kind
+        mentioned = F.when(F.col("payload").isNotNull(), F.lit(str(payload).count("'type'")))
+        known = ingest._known_type(typed, mentioned)
+        if not searched and "type" not in payload:
+            assert typed.select(known.alias("k")).first()["k"] is not None
+
+
+def test_fields_of_documents_are_found_without_a_search(spark, monkeypatch):
+    """The search gives what it gave; where known members explain every mention it gets no payload."""
+    vector = "AAAA" * 16
+    item = {"type": "1", "vector": "AAAAAA==", "vectorDimension": 1}
+    cases = [
+        ({"assetId": "a", "data": {"vectorList": [item]}}, "a", None),
+        ({"data": {"asset_id": "b", "vectorList": [{**item, "modelName": ""}]}}, "b", None),
+        ({"data": {"assetId": "c", "vectorList": [{"type": "2", "modelName": "m"}, item]}}, "c", "m"),
+        ({"data": {"assetId": "d", "vectorList": [{"type": "2", "vector": vector}, item]}}, "d", None),
+        ({"data": {"assert_id": "e", "vectorList": [item], "x": {"modelName": "n"}}}, "e", "n"),
+    ]
+    topic = spark.createDataFrame([(0, n, json.dumps({"type": "140", **c[0]})) for n, c in enumerate(cases)], "partition int, offset long, value string")
+    searched = []
+    monkeypatch.setattr(search, "search_fields", lambda payload, wanted, run=search.search_fields: searched.append(payload) or run(payload, wanted))
+    rows = ingest.ingest(topic).orderBy("offset").collect()
+    assert [(r["row_key"], r["modelName"]) for r in rows] == [c[1:] for c in cases] and len(searched) == 2
+
+
 def test_the_gate_in_batches_goes_on_and_forgets_expired_versions(spark, tmp_path):
     rng = random.Random(9)
     rows = [("hot" if rng.random() < 0.6 else f"d{rng.randrange(9)}", 0, n, rng.randrange(6)) for n in range(300)]
