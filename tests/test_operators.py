@@ -265,6 +265,7 @@ def test_the_gate_in_batches_goes_on_and_forgets_expired_versions(spark, tmp_pat
             spark.createDataFrame(rows[start:start + 100], schema).coalesce(1).write.mode("append").parquet(source)
             passed = jobs.gate_in_batches(spark.readStream.schema(schema).parquet(source), root, lifetime, hot_rows=20)
         assert sorted((r["doc_id"], r["arrival"], r["version"]) for r in passed.collect()) == sorted(expected)
+        assert passed.columns == ["doc_id", "arrival", "version"]
 
 
 def test_status_streams_ask_no_state_for_each_key(spark, tmp_path, monkeypatch):
