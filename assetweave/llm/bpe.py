@@ -20,7 +20,7 @@ from __future__ import annotations
 import functools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,7 @@ class Automaton:
             spec = json.load(file)
         # The library's normalizer and splitter without its model, which the tables replace.
         self.path, self.bare = path, json.dumps(spec | {"model": spec["model"] | {"vocab": {}, "merges": []}, "added_tokens": []})
+        self.encoder: Encoder | None = None  # of a Python worker
         model, self.specials = spec["model"], {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
@@ -380,15 +381,13 @@ class Encoder:
         return np.array(ids[::-1], np.uint32)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def worker_encoder(shared) -> Encoder:
-    """The encoder of this Python worker for a broadcast automaton."""
+    """The encoder of this Python worker for a broadcast automaton. It lives as long as the automaton, which Spark takes from a
+    worker whose next task does not use it."""
     automaton = shared.value
-    if automaton.path not in _encoders:
-        _encoders[automaton.path] = Encoder(automaton)
-    return _encoders[automaton.path]
+    if automaton.encoder is None:
+        automaton.encoder = Encoder(automaton)
+    return automaton.encoder
 
 
 _shared: dict[tuple[str, str], object] = {}
@@ -427,8 +426,12 @@ def label_texts(labels: dict[int, str], ids: np.ndarray, bounds: np.ndarray) ->
     return [" ".join(t if None not in t else [x for x in t if x is not None]) for t in texts]
 
 
-def encode_column(spark: SparkSession, text: str | Column, path: str, end: int | None = None) -> Column:
-    """Ids of a text column, as array<int>; with the id `end` at the end of each text if given."""
+def encode_column(
+    spark: SparkSession, text: str | Column, path: str, end: int | None = None,
+    made: Callable[[pa.ListArray], pa.Array] = lambda ids: ids, returns: str = "array<int>",
+) -> Column:
+    """Ids of a text column, as array<int>; with the id `end` at the end of each text if given. Or what `made` makes of lists of
+    ids, of the type `returns`: one Python worker for both then."""
     shared = share(spark, path)
 
     def encode(batches: Arrays) -> Arrays:
@@ -438,9 +441,9 @@ def encode_column(spark: SparkSession, text: str | Column, path: str, end: int |
                 ids, bounds = encoder.encode(block)
                 if end is not None:
                     ids, bounds = np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))
-                yield id_lists(ids, bounds)
+                yield made(id_lists(ids, bounds))
 
-    return arrow_stream(encode, "array<int>")(text)
+    return arrow_stream(encode, returns)(text)
 
 
 def decode_column(spark: SparkSession, ids: str | Column, path: str) -> Column:

@@ -16,7 +16,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     Every round is landed, so a lost executor costs a read.
     """
     pairs = links.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
-    edges, before = land(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"), None
+    rows = links.count()
+    edges, before = land(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links", rows), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -24,10 +25,10 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = land(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        edges = land(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links", rows)
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
         if now == before:
             break
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return land(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "components")
+    return land(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "components", 2 * rows)

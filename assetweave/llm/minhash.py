@@ -32,7 +32,7 @@ from assetweave.llm.exactdup import FILE, ROW, located, without_rows
 from assetweave.llm.scratch import free_name, land
 from assetweave.llm.shingles import WORDS, shingle_hashes, shingle_sets, text_words
 from assetweave.llm.spans import mix
-from assetweave.llm.streams import arrow_stream, give_back
+from assetweave.llm.streams import arrow_stream, arrow_streams, give_back
 
 ROWS = 7
 BANDS = 50
@@ -144,21 +144,19 @@ def _bytes(column: pa.Array, dtype) -> list[np.ndarray]:
 
 
 def _estimate_column(a: str, b: str) -> Column:
-    def estimate(x: pa.Array, y: pa.Array) -> pa.Array:
-        if not len(x):
-            return pa.array([], pa.float64())
-        return pa.array(estimates(np.stack(_bytes(x, np.uint8)), np.stack(_bytes(y, np.uint8))))
+    def estimate(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for x, y in batches:
+            yield pa.array(estimates(np.stack(_bytes(x, np.uint8)), np.stack(_bytes(y, np.uint8))) if len(x) else [], pa.float64())
 
-    estimate.__annotations__ = {"x": pa.Array, "y": pa.Array, "return": pa.Array}
-    return F.arrow_udf(estimate, "double")(a, b)
+    return arrow_streams(estimate, "double")(a, b)
 
 
 def _linked_column(a: str, b: str, percent: int) -> Column:
-    def confirm(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([linked(p, q, percent) for p, q in zip(_bytes(x, np.uint64), _bytes(y, np.uint64))], pa.bool_())
+    def confirm(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for x, y in batches:
+            yield pa.array([linked(p, q, percent) for p, q in zip(_bytes(x, np.uint64), _bytes(y, np.uint64))], pa.bool_())
 
-    confirm.__annotations__ = {"x": pa.Array, "y": pa.Array, "return": pa.Array}
-    return F.arrow_udf(confirm, "boolean")(a, b)
+    return arrow_streams(confirm, "boolean")(a, b)
 
 
 def bucket_links(classes: list, component: list, signature: list, shingles: list, percent: int) -> list[tuple]:
@@ -209,13 +207,15 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
         .agg(F.min("id").alias("first_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
         "classes",
     )
+    of_classes = classes.count()
     entries = classes.select("digest", F.explode("bands").alias("key"))
-    several = land(entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "several")
-    buckets = land(entries.join(several, "key"), "buckets")
+    several = land(entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "several", of_classes * BANDS // 2)
+    in_buckets = several.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    buckets = land(entries.join(several, "key"), "buckets", in_buckets)
 
     # The classes in buckets, with signature and full set.
     inside = buckets.select("digest").distinct()
-    wanted = land(classes.join(inside, "digest", "left_semi").select("first_id", "digest", "signature"), "wanted")
+    wanted = land(classes.join(inside, "digest", "left_semi").select("first_id", "digest", "signature"), "wanted", of_classes)
     few = wanted.count() <= few_rows
     chosen = wanted.select(F.col("first_id").alias("id"), "digest")
     texts = ids.join(F.broadcast(chosen.select("id")) if few else chosen.select("id"), "id", "left_semi")
@@ -224,7 +224,7 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
     full = land(wanted.select("digest", "signature").join(sets, "digest"), "sets")
 
     # Every class against the smallest and the largest of each of its buckets.
-    ends = land(buckets.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")), "ends")
+    ends = land(buckets.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")), "ends", in_buckets // 2)
     pairs = buckets.join(ends, "key").select(F.explode(F.array("low", "high")).alias("a"), F.col("digest").alias("b"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     signs = full.select("digest", "signature")
@@ -244,7 +244,7 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
     labelled = land(
         buckets.join(joined.withColumnRenamed("node", "digest"), "digest", "left")
         .select("key", "size", "digest", F.coalesce("component", "digest").alias("component")),
-        "labelled",
+        "labelled", in_buckets,
     )
     left = (
         labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other"), F.max("size").alias("size"),
@@ -273,7 +273,7 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
     smallest = names.groupBy("component").agg(F.min("first_id").alias("component_id"))
     reach = names.join(smallest, "component").select(F.col("node").alias("digest"), "component_id")
     of_class = classes.select("digest", "first_id").join(reach, "digest", "left").select("digest", F.coalesce("component_id", "first_id").alias("component_id"))
-    several = signed.select("id", F.col("n").alias("n_shingles"), "digest").join(land(of_class, "of-class"), "digest", "left")
+    several = signed.select("id", F.col("n").alias("n_shingles"), "digest").join(land(of_class, "of-class", of_classes), "digest", "left")
     return several.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component"))
 
 

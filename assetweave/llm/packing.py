@@ -17,15 +17,14 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from assetweave.llm.bpe import encode_column
 from assetweave.llm.scratch import land
-from assetweave.llm.streams import arrow_stream
+from assetweave.llm.streams import give_back
 
 SHARD = 50_000
 DONORS = (0.03, 0.1, 0.01, 0.3)  # shares of the underfull bins that give their pieces away in a round
@@ -176,6 +175,7 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", shard: int =
             out = rows.select([*schema.names, "_place"])
             for name, values in (("_room", room), ("sequence_id", sequence), ("offset", offset)):
                 out = out.append_column(name, pa.array(values))
+            give_back()
             return out
 
         return one
@@ -200,24 +200,19 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", shard: int =
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
 
-def cut_column(ids: str | Column, capacity: int) -> Column:
-    """The pieces of a list of ids: none longer than `capacity`, all but the last of that length; with their crc32."""
-
-    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            data = memoryview(np.ascontiguousarray(batch.flatten().to_numpy(zero_copy_only=False), "<i4")).cast("B")
-            at, rows = 0, []
-            for size in batch.value_lengths().fill_null(0).to_pylist():
-                starts = range(0, size, capacity)
-                ends = [min(size, s + capacity) for s in starts]
-                rows.append([
-                    {"piece": k, "start": s, "length": e - s, "ids_crc32": zlib.crc32(data[4 * (at + s):4 * (at + e)])}
-                    for k, (s, e) in enumerate(zip(starts, ends))
-                ])
-                at += size
-            yield pa.array(rows, PIECE_TYPE)
-
-    return arrow_stream(cut, PIECE)(ids)
+def cut(ids: pa.ListArray, capacity: int) -> pa.Array:
+    """The pieces of lists of ids: none longer than `capacity`, all but the last of that length; with their crc32."""
+    data = memoryview(np.ascontiguousarray(ids.flatten().to_numpy(zero_copy_only=False), "<i4")).cast("B")
+    at, rows = 0, []
+    for size in ids.value_lengths().fill_null(0).to_pylist():
+        starts = range(0, size, capacity)
+        ends = [min(size, s + capacity) for s in starts]
+        rows.append([
+            {"piece": k, "start": s, "length": e - s, "ids_crc32": zlib.crc32(data[4 * (at + s):4 * (at + e)])}
+            for k, (s, e) in enumerate(zip(starts, ends))
+        ])
+        at += size
+    return pa.array(rows, PIECE_TYPE)
 
 
 PIECE_TYPE = pa.list_(pa.struct([
@@ -227,6 +222,5 @@ PIECE_TYPE = pa.list_(pa.struct([
 
 def pack_documents(docs: DataFrame, tokenizer: str, end: int, capacity: int, shard: int = SHARD) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of each piece of each document's ids."""
-    ids = encode_column(docs.sparkSession, docs["text"], tokenizer, end)
-    cut = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.inline(cut_column(ids, capacity)))
-    return pack(cut, capacity, shard=shard)
+    pieces = encode_column(docs.sparkSession, docs["text"], tokenizer, end, lambda ids: cut(ids, capacity), PIECE)
+    return pack(docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.inline(pieces)), capacity, shard=shard)

@@ -156,3 +156,17 @@ def test_exact_groups_of_nulls_repeats_and_nothing(spark, docs):
 
 def test_op8_on_the_tables(spark, sf_dir, oracle, same_rows):
     same_rows(queries.op8_exact_dedup(spark, sf_dir), oracle.execute(queries.ORACLES["op8_exact_dedup"]))
+
+
+def test_narrow_tables_have_few_files(spark):
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for name, value in zip(before, ("64", "false")):
+        spark.conf.set(name, value)
+    try:
+        links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1000 * (F.col("id") % 7 + 1)).alias("b"))
+        found = components(links)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found.count() == 600
+    assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism

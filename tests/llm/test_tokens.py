@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
+import weakref
 import zlib
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -196,3 +199,22 @@ def test_underfull_bins_of_all_shards_are_searched_again(spark):
     for r in rows:
         fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
     assert len({r["id"] for r in rows}) == len(rows) == 400 and set(fill.values()) == {100}
+
+
+def test_an_encoder_goes_with_its_automaton():
+    path = queries.TOKENIZER
+    shared = SimpleNamespace(value=bpe.Automaton(path))
+    encoder = weakref.ref(bpe.worker_encoder(shared))
+    assert bpe.worker_encoder(shared) is encoder()
+    shared.value = None
+    gc.collect()
+    assert encoder() is None
+
+
+def test_ids_are_cut_in_the_worker_that_makes_them(spark, docs, monkeypatch):
+    taken = []
+    monkeypatch.setattr(packing, "pack", lambda pieces, capacity, **more: taken.append(pieces))
+    packing.pack_documents(docs([(1, "one two three"), (2, None)]), queries.TOKENIZER, 0, 2)
+    assert taken[0]._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    rows = sorted(tuple(r) for r in taken[0].select("doc_id", "piece", "start", "length").collect())
+    assert rows[-1] == (2, 0, 0, 1) and [r[3] for r in rows[:-1]].count(1) <= 1
