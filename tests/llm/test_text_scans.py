@@ -302,6 +302,11 @@ def test_fingerprints_equal_brute_force(spark):
         assert got[i] == [(p, value[text[p:p + k]]) for p in sorted(chosen)]
 
 
+def test_half_windows_are_cut_once():
+    expression = winnowing._whole("text", winnowing.GRAM, winnowing.WINDOW)
+    assert expression.count("slice(v,") == expression.count("slice(s,") == 1  # every slice copies its whole input
+
+
 def test_spliced_fingerprints_equal_those_of_the_text(spark):
     rng = random.Random(8)
     texts = [t for t in winnowing_texts() if t is not None]
