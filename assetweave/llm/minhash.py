@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetweave.llm.components import components
 from assetweave.llm.exactdup import FILE, ROW, located, without_rows
-from assetweave.llm.scratch import free_name, land
+from assetweave.llm.scratch import files_for, free_name, land
 from assetweave.llm.shingles import WORDS, shingle_hashes, shingle_sets, text_words
 from assetweave.llm.spans import mix
 from assetweave.llm.streams import arrow_stream, arrow_streams, give_back
@@ -204,8 +204,8 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
     signed = land(ids.select("id", signature_column("text", words).alias("s")).select("id", "s.*"), "signatures")
     classes = land(
         signed.where("n > 0 AND id IS NOT NULL").groupBy("digest")
-        .agg(F.min("id").alias("first_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
-        "classes",
+        .agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
+        "classes", 4 * signed.count(),  # a row has 600 bytes
     )
     of_classes = classes.count()
     entries = classes.select("digest", F.explode("bands").alias("key"))
@@ -215,13 +215,14 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
 
     # The classes in buckets, with signature and full set.
     inside = buckets.select("digest").distinct()
-    wanted = land(classes.join(inside, "digest", "left_semi").select("first_id", "digest", "signature"), "wanted", of_classes)
-    few = wanted.count() <= few_rows
+    wanted = land(classes.join(inside, "digest", "left_semi").select("first_id", "digest", "n", "signature"), "wanted", of_classes)
+    of_wanted, in_sets = wanted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    few = of_wanted <= few_rows
     chosen = wanted.select(F.col("first_id").alias("id"), "digest")
     texts = ids.join(F.broadcast(chosen.select("id")) if few else chosen.select("id"), "id", "left_semi")
     sets = texts.select("id", set_column("text", words).alias("s")).select("id", "s.*")
     sets = sets.join(chosen, ["id", "digest"]).groupBy("digest").agg(F.first("shingles").alias("shingles"))
-    full = land(wanted.select("digest", "signature").join(sets, "digest"), "sets")
+    full = land(wanted.select("digest", "signature").join(sets, "digest"), "sets", max(of_wanted, in_sets // 100))  # 16 MB a file
 
     # Every class against the smallest and the largest of each of its buckets.
     ends = land(buckets.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")), "ends", in_buckets // 2)
@@ -233,9 +234,10 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
         .where(_estimate_column("x", "y") >= least_estimate(percent / 100)).select("a", "b")
     )
     hashes = full.select("digest", "shingles")
+    few_files = files_for(ids.sparkSession, of_classes)
     links = land(
         near.join(hashes.toDF("a", "x"), "a").join(hashes.toDF("b", "y"), "b")
-        .where(_linked_column("x", "y", percent)).select("a", "b"),
+        .where(_linked_column("x", "y", percent)).select("a", "b").repartition(few_files),
         "links",
     )
 
@@ -266,7 +268,7 @@ def _groups(ids: DataFrame, percent: int, words: int, few_rows: int) -> DataFram
         give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
 
-    more = land(dealt.groupBy("key", "i", "j").applyInArrow(search, "a binary, b binary"), "more-links")
+    more = land(dealt.groupBy("key", "i", "j").applyInArrow(search, "a binary, b binary").repartition(few_files), "more-links")
     joined = components(links.unionByName(more))
 
     names = joined.join(classes.select(F.col("digest").alias("node"), "first_id"), "node")
@@ -289,4 +291,4 @@ def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("doc_id"), *[F.col(p).alias(n) for p, n in zip(place, ("file", "row"))])
     groups = _groups(whole.select(row.alias("id"), "text"), percent, WORDS, PLACES)
     dropped = groups.where("id <> component").select(F.col("id.file").alias(place[0]), F.col("id.row").alias(place[1]))
-    return without_rows(whole, land(dropped, "dropped"), place, docs.columns, BROADCAST_ROWS)
+    return without_rows(whole, land(dropped, "dropped", whole.count()), place, docs.columns, BROADCAST_ROWS)

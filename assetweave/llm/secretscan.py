@@ -92,7 +92,7 @@ def scanned(
         _hashed(candidates(whole)).alias("found"),
     ), "secret-candidates")
     rows = found.where(F.size("found") > 0).select("number", "owner", "repository", F.inline("found"))
-    owners = land(ownership(rows), "owners")  # a bare table, so that adaptive execution can split a value that fills the corpus
+    owners = land(ownership(rows), "owners", found.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0])  # a bare table, so that adaptive execution can split a value that fills the corpus
     spread = (F.col("owners") >= 2) & (F.col("repositories") >= MANY_REPOSITORIES)
     label = F.when((F.col("owners") >= many_owners) | spread, "example").otherwise("live")
     span = F.struct("start", "order", "end", "kind", label.alias("label"), "owners", "repositories")

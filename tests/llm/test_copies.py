@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assetweave.llm import exactdup, minhash, queries, shingles
+from assetweave.llm import exactdup, minhash, queries, secretscan, shingles
 from assetweave.llm.components import components
 
 from .brute import brute_copies, brute_groups, set_of
@@ -170,3 +172,29 @@ def test_narrow_tables_have_few_files(spark):
             spark.conf.set(name, value)
     assert found.count() == 600
     assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+
+
+def test_a_step_writes_no_file_for_each_partition(spark, docs):
+    wide = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in wide}
+    texts = docs([(n, " ".join(f"w{n // 3}x{k}" for k in range(30)) + f" token=abcdefgh{n}") for n in range(600)]).repartition(4)
+    texts = exactdup.land(texts, "texts")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    old = set(shared.iterdir())
+    for name, value in wide.items():
+        spark.conf.set(name, value)
+    try:
+        assert exactdup.drop_copies(texts).count() == 600
+        assert minhash.drop_near_copies(texts).count() == 200
+        secretscan.redact_documents(texts)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    new = set(shared.iterdir()) - old
+    folders = Counter(p.name.rpartition("-")[0] for p in new)
+    files = Counter(p.name.rpartition("-")[0] for p in new for _ in p.rglob("*.parquet"))
+    assert {"kept", "dropped", "classes", "sets", "links", "more-links", "owners"} <= set(files)
+    assert {n: f / folders[n] for n, f in files.items() if f / folders[n] > spark.sparkContext.defaultParallelism} == {}
+    # Of a store of the one batch there is a log, no snapshot and no checksum file; a file's own check sum is the system's.
+    state = [p.name for state_ in new for p in state_.glob("state/0/*/*") if p.is_file() and p.parent.name.isdigit() and not p.name.startswith(".")]
+    assert set(state) == {"1.changelog"} and len(state) == 64
