@@ -12,7 +12,7 @@ from assetweave.functions import search
 from assetweave.operators import charts, ingest, profile, reconcile, reports, scan, status, upsert
 from assetweave.operators.scan import places
 from assetweave.plans import stages
-from assetweave.session import materialize
+from assetweave.session import expect_long_values, materialize
 from assetweave.sinks import files
 from assetweave.sources import tables
 from assetweave.streaming import gates, jobs
@@ -443,6 +443,46 @@ def test_long_cells_stream_past_their_rows(spark):
     assert parts > 1
 
 
+@pytest.fixture
+def long_cells(spark, tmp_path):
+    """Rows and documents of one id whose joined cell has 2 MB, and the bytes that some rows take as Parquet."""
+    names = ["parquet.dictionary.page.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"]
+    hits = spark.range(60_000).selectExpr("'hot' AS asset_id", "'d' || id AS doc_id", "md5(cast(id AS string)) AS name", "'p' AS program_id", "1 AS product_info_package_id")
+    rows = spark.range(160).selectExpr("'r' || id AS row_key", "'hot' AS asset_id")
+
+    def written(df):
+        df.write.parquet(str(tmp_path / "written"))
+        back = spark.read.parquet(str(tmp_path / "written"))
+        return back, sum(f.stat().st_size for f in (tmp_path / "written").glob("*.parquet"))
+
+    yield rows, hits, written
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_enriched_rows_share_a_long_cell_when_written(spark, long_cells):
+    """A cell beyond the 1 MB of Parquet's default dictionary is kept once a file, not once a row."""
+    rows, hits, written = long_cells
+    back, size = written(reconcile.enrich_fields(rows, hits, ["name"]))
+    assert back.agg(F.count("*"), F.min(F.char_length("name")), F.countDistinct("name")).first() == (160, 60_000 * 33 - 1, 1)
+    assert size < 40_000_000
+    assert spark.conf.get("parquet.block.size.row.check.min") == "4"
+
+
+def test_long_values_leave_better_settings_alone(spark, long_cells):
+    own = {"parquet.dictionary.page.size": "99000000", "parquet.page.size.row.check.min": "2"}
+    for name, value in own.items():
+        spark.conf.set(name, value)
+    expect_long_values(spark, 3_000_000)
+    assert {name: spark.conf.get(name) for name in own} == own
+    assert spark.conf.get("parquet.block.size.row.check.min") == "2"
+    spark.conf.unset("parquet.dictionary.page.size")
+    expect_long_values(spark, 1000)
+    assert spark.conf.get("parquet.dictionary.page.size", None) is None
+    assert scan.longest_value(spark.createDataFrame([("é", None, 1), (None, "xyz", 2)], "a string, b string, n int")) == 3
+    assert scan.longest_value(spark.range(3)) == 0
+
+
 def test_report_lines_are_made_last(spark, monkeypatch):
     """What is landed and shuffled of a document are its fields, not the lines made of them."""
     landed = {}
