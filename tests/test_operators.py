@@ -469,6 +469,13 @@ def test_enriched_rows_share_a_long_cell_when_written(spark, long_cells):
     assert spark.conf.get("parquet.block.size.row.check.min") == "4"
 
 
+def test_merge_report_rows_share_a_long_cell_when_written(spark, long_cells):
+    rows, hits, written = long_cells
+    back, size = written(reconcile.merge_report(rows, hits, ["name"]))
+    assert back.agg(F.count("*"), F.min(F.char_length("name")), F.countDistinct("name")).first() == (160, 60_000 * 33 - 1, 1)
+    assert size < 40_000_000
+
+
 def test_long_values_leave_better_settings_alone(spark, long_cells):
     own = {"parquet.dictionary.page.size": "99000000", "parquet.page.size.row.check.min": "2"}
     for name, value in own.items():
