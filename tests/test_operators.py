@@ -476,6 +476,27 @@ def test_merge_report_rows_share_a_long_cell_when_written(spark, long_cells):
     assert size < 40_000_000
 
 
+def test_relation_report_lands_what_it_reports(spark, long_cells, monkeypatch):
+    """Of an id with documents in the packages no text of all its documents is landed; written rows share their cell."""
+    rows, hits, written = long_cells
+    landed = {}
+    monkeypatch.setattr(reconcile, "materialize", lambda df, name: landed.setdefault(name, materialize(df, name)))
+    outside = hits.withColumns({"product_info_package_id": F.lit(9), "name": F.lit("other")})
+    other = outside.limit(1).withColumn("asset_id", F.lit("o"))
+    documents = hits.unionAll(outside).unionAll(other).withColumnRenamed("asset_id", "assert_id")
+    asked = rows.unionAll(spark.sql("SELECT 'o1', 'o' UNION ALL SELECT 'z1', 'z' UNION ALL SELECT 'n1', null"))
+    back, size = written(reconcile.relation_report(asked, documents))
+    assert size < 40_000_000
+    hot = back.where("asset_id = 'hot'")
+    assert hot.agg(F.count("*"), F.min(F.char_length("names")), F.countDistinct("names")).first() == (160, 60_000 * 33 - 1, 1)
+    assert tuple(hot.drop("row_key", "names").distinct().first()) == ("hot", "p", 1, 60_000, "1", 0, "", "", "")
+    rest = {tuple(r) for r in back.where("row_key IN ('o1', 'z1', 'n1')").collect()}
+    assert rest == {("o1", "o", "", 0, 0, "", "", 1, "9", "p", "other"), ("z1", "z", "", 0, 0, "", "", 0, "", "", ""),
+                    ("n1", None, "", 0, 0, "", "", 0, "", "", "")}
+    row = landed["documents-of-ids"].where("asset_id = 'hot'").first()
+    assert sum(len(v) for v in row if isinstance(v, str)) < 60_000 * 33 + 100
+
+
 def test_long_values_leave_better_settings_alone(spark, long_cells):
     own = {"parquet.dictionary.page.size": "99000000", "parquet.page.size.row.check.min": "2"}
     for name, value in own.items():
