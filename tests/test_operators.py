@@ -497,6 +497,14 @@ def test_relation_report_lands_what_it_reports(spark, long_cells, monkeypatch):
     assert sum(len(v) for v in row if isinstance(v, str)) < 60_000 * 33 + 100
 
 
+def test_column_merge_shares_a_long_cell_when_written(spark, long_cells):
+    rows, hits, written = long_cells
+    incoming, cells = reconcile.enrich_parts(rows, hits, ["name"])
+    back, size = written(upsert.column_merge(rows.select("row_key", F.lit("old").alias("name"), F.lit("s").alias("summary")), incoming, cells=cells))
+    assert back.agg(F.count("*"), F.min(F.char_length("name")), F.countDistinct("name"), F.min("summary")).first() == (160, 60_000 * 33 - 1, 1, "s")
+    assert size < 40_000_000
+
+
 def test_long_values_leave_better_settings_alone(spark, long_cells):
     own = {"parquet.dictionary.page.size": "99000000", "parquet.page.size.row.check.min": "2"}
     for name, value in own.items():
