@@ -198,6 +198,36 @@ def test_parts_of_a_topic_are_bounded_and_keep_its_order(spark, tmp_path, monkey
     assert len([part for part in seen if part]) >= 6 and max(map(len, seen)) <= 25
 
 
+def test_a_topic_is_dealt_out_to_its_parts_once(spark, tmp_path, monkeypatch):
+    """No part reads the whole topic, and rows that belong to no part (another partition) do not arrive."""
+    topic = spark.createDataFrame([(n % 5, n // 5, f"v{n}") for n in range(200)], "partition int, offset long, value string")
+    monkeypatch.setattr(stages, "load", lambda *_: topic)
+    monkeypatch.setattr(stages, "new_path", lambda *_: str(tmp_path / "parts"))
+    runs = []
+    stages.in_parts(spark, "sf", "topic", runs.append, part_rows=10)
+    dealt = sorted(int(f.name.split("=")[1]) for f in (tmp_path / "parts-dealt").glob("_part=*"))
+    assert dealt == list(range(len(runs))) and len(runs) == 16
+    arrived = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "parts")).collect())
+    assert arrived == sorted(tuple(r) for r in topic.where("partition < 4").collect())
+    assert not list((tmp_path / "parts-dealt").glob("_part=__HIVE*"))
+
+
+def test_a_stream_has_state_partitions_by_cores(spark, tmp_path):
+    documents = spark.createDataFrame([(f"k{n % 7}", 0, n, str(n), None, f"s{n}") for n in range(50)], DOC)
+    documents.write.parquet(str(tmp_path / "documents"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        stream = spark.readStream.schema(documents.schema).parquet(str(tmp_path / "documents"))
+        log = jobs.run_available(gates.upsert_stream(stream, ["source"]), "log", str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+        assert {tuple(r) for r in gates.latest_rows(log).collect()} == {(f"k{n % 7}", f"s{n}") for n in range(43, 50)}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    partitions = [f.name for f in (tmp_path / "checkpoint" / "state" / "0").iterdir() if f.name.isdigit()]
+    assert len(partitions) == 2 * spark.sparkContext.defaultParallelism
+
+
 def test_counts_by_dimension_do_not_look_at_vectors(spark):
     item = "named_struct('is_object', true, 'type', '1', 'declared', '8', 'vector', 'AAAA', 'is_string', true)"
     rows = spark.range(3).selectExpr("0 AS partition", "id AS offset", "'a' AS asset_id", f"array({item}) AS items")
