@@ -496,7 +496,7 @@ def test_enriched_rows_share_a_long_cell_when_written(spark, long_cells):
     back, size = written(reconcile.enrich_fields(rows, hits, ["name"]))
     assert back.agg(F.count("*"), F.min(F.char_length("name")), F.countDistinct("name")).first() == (160, 60_000 * 33 - 1, 1)
     assert size < 40_000_000
-    assert spark.conf.get("parquet.block.size.row.check.min") == "4"
+    assert spark.conf.get("parquet.block.size.row.check.min") == "33"
 
 
 def test_merge_report_rows_share_a_long_cell_when_written(spark, long_cells):
@@ -541,10 +541,12 @@ def test_long_values_leave_better_settings_alone(spark, long_cells):
         spark.conf.set(name, value)
     expect_long_values(spark, 3_000_000)
     assert {name: spark.conf.get(name) for name in own} == own
-    assert spark.conf.get("parquet.block.size.row.check.min") == "2"
+    assert spark.conf.get("parquet.block.size.row.check.min") == "22"
     spark.conf.unset("parquet.dictionary.page.size")
     expect_long_values(spark, 1000)
     assert spark.conf.get("parquet.dictionary.page.size", None) is None
+    expect_long_values(spark, 9_000_000)  # a first page has several rows, or the dictionary is given up
+    assert spark.conf.get("parquet.block.size.row.check.min") == "10"
     assert scan.longest_value(spark.createDataFrame([("é", None, 1), (None, "xyz", 2)], "a string, b string, n int")) == 3
     assert scan.longest_value(spark.range(3)) == 0
 
